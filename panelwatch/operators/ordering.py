@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwatch.session import cut_lineage
+
 BITS = 7
 SALTS = 32
 
@@ -37,18 +39,24 @@ def _bucket(value: Column, cuts: Column, bits: int) -> Column:
 
 
 def with_bucket(
-    df: DataFrame, value: str, keys: Sequence[str] = (), bits: int = BITS, name: str = "_bucket"
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str] = (),
+    bits: int = BITS,
+    name: str = "_bucket",
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Adds a bucket number that grows with ``value``, about equally filled within each key.
 
     ``keys`` must be few (features, folds, candidates): one row of cut points per
-    key is broadcast.
+    key is broadcast. The cuts are those of ``sample`` if given, else of ``df``.
     """
+    source = df if sample is None else sample
     if keys:
-        cuts = df.groupBy(*keys).agg(_cut_points(value, bits).alias("_cuts"))
+        cuts = source.groupBy(*keys).agg(_cut_points(value, bits).alias("_cuts"))
         df = df.join(F.broadcast(cuts), list(keys), "left")
     else:
-        df = df.withColumn("_cuts", df.agg(_cut_points(value, bits)).scalar())
+        df = df.withColumn("_cuts", source.agg(_cut_points(value, bits)).scalar())
     return df.withColumn(name, _bucket(F.col(value), F.col("_cuts"), bits)).drop("_cuts")
 
 
@@ -66,9 +74,12 @@ def cumulative_by_value(
     merged with map-side partial sums, so ties of any size cost nothing.
     """
     keys = list(keys)
-    bucketed = with_bucket(df, value, keys, bits)
-    merged = bucketed.groupBy(*keys, "_bucket", value).agg(*[F.sum(c).alias(c) for c in sums])
-    per_bucket = merged.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    merged = df.groupBy(*keys, value).agg(*[F.sum(c).alias(c) for c in sums])
+    # Looking at every sum keeps this branch on the very exchange the others read,
+    # so that the input is evaluated once.
+    same = merged.where(F.coalesce(*[F.col(c).cast("double") for c in sums]).isNotNull())
+    bucketed = with_bucket(merged, value, keys, bits, sample=same)
+    per_bucket = bucketed.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(c) for c in sums])
     # The frames below hold at most 2**bits rows per key.
     earlier = (
         Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,7 +97,7 @@ def cumulative_by_value(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     # Offsets have 2**bits rows for each of a few keys: a proven bound.
-    return merged.join(F.broadcast(offsets), [*keys, "_bucket"]).select(
+    return bucketed.join(F.broadcast(offsets), [*keys, "_bucket"]).select(
         *keys,
         value,
         *sums,
@@ -147,9 +158,10 @@ def with_global_rank(
     """Position 1..n of every row by ``value`` and then ``tie`` upwards, without one big sort.
 
     Rows with one value are split further by buckets of the tie-break, so a value
-    shared by a third of all rows is numbered by many tasks.
+    shared by a third of all rows is numbered by many tasks. The rows are needed
+    three times (cuts, counts, numbering) and are therefore stored first.
     """
-    rows = with_bucket(df, tie, name="_part")
+    rows = with_bucket(cut_lineage(df), tie, name="_part")
     counts = rows.groupBy(value, "_part").agg(F.count(F.lit(1)).alias("_n"))
     runs = cumulative_by_value(counts, value, ["_n"])
     before = (

@@ -28,15 +28,16 @@ def panel_grid(units: DataFrame, events: DataFrame, first: Column, last: Column)
     """Every week of every unit with its number of events and a 0/1 label.
 
     The weeks are exploded from each unit row, so no cartesian join is planned. The
-    units are spread by number first: they are few bytes before they multiply, and
-    adaptive coalescing would otherwise leave the whole panel to one task.
+    units are spread over a fixed number of partitions first: they are few bytes before
+    they multiply, and adaptive coalescing would otherwise leave the whole panel to one
+    task. ``distinct`` comes after and reuses that partitioning.
     """
     spark = units.sparkSession
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cells = (
         units.select("unit_id")
-        .distinct()
         .repartition(wide, "unit_id")
+        .distinct()
         .withColumn("week_start", F.explode(week_list(first, last)))
     )
     counted = cells.join(event_counts(events), ["unit_id", "week_start"], "left")
@@ -113,10 +114,14 @@ def pseudo_absences(
     settings: Settings = Settings(),
     value: str = "precip_acum_14d",
 ) -> DataFrame:
-    """All positives, plus negatives of dry weeks in units with little drainage area."""
-    rain_cut = exact_quantiles(weekly, value, {"q": settings.rain_percentile}).scalar()
+    """All positives, plus negatives of dry weeks in units with little drainage area.
+
+    ``weekly`` is the regional series, one row per week of the calendar: small enough
+    for the built-in exact percentile and for a broadcast, which units need not be.
+    """
+    rain_cut = weekly.agg(F.percentile(value, F.lit(settings.rain_percentile))).scalar()
     area_cut = exact_quantiles(units, "up_area", {"q": settings.area_percentile}).scalar()
-    dry = F.broadcast(  # one row per week of the calendar at most
+    dry = F.broadcast(
         weekly.where(F.col(value) <= rain_cut).select("week_start", F.lit(True).alias("_dry"))
     )
     stable = units.where(F.col("up_area") <= area_cut).select(
@@ -267,8 +272,8 @@ def feature_summary(cells: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def low_coverage(weekly: DataFrame, value: str, percentile: float = 0.25) -> DataFrame:
-    """Weeks whose sensor coverage lies below the given percentile of all weeks."""
-    cut = exact_quantiles(weekly, value, {"q": percentile}).scalar()
+    """Weeks of the calendar whose sensor coverage lies below the given percentile of them."""
+    cut = weekly.agg(F.percentile(value, F.lit(percentile))).scalar()
     return weekly.withColumn("umbral", cut).where(F.col(value) < F.col("umbral"))
 
 

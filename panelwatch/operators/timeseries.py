@@ -10,6 +10,8 @@ span, whatever the number of raw rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,7 +50,9 @@ def week_slots(
         .groupBy(*keys, week_start(F.col(day)).alias("week_start"))
         .agg(*aggregates)
     )
-    series, ordered = _by_series(keys), _by_series(keys).orderBy("week_start")
+    ordered = _by_series(keys).orderBy("week_start")
+    # The whole frame, in the same order: one sort serves all three expressions.
+    series = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     following = F.lead("week_start").over(ordered)
     present = weeks.select(
         *keys,
@@ -94,12 +98,13 @@ def _window_at_week_end(slots: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _last_days(n: int) -> Column:
-    return F.slice("_three", F.col("_stop") - (n - 1), F.lit(n))
+def _last_days(n: int) -> list[Column]:
+    """The n days up to the end of the week, as plain element reads (compiled, no lambdas)."""
+    return [F.get("_three", F.col("_stop") - i) for i in range(1, n + 1)]
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+def _total(values: list[Column]) -> Column:
+    return reduce(add, reversed(values))
 
 
 def weekly_rain_features(
@@ -124,10 +129,10 @@ def weekly_rain_features(
         "week_start",
         "fecha_fin_semana",
         *[enough(least, _total(_last_days(n))).alias(f) for f, (n, least) in ROLLING_SUMS.items()],
-        enough(WET_MINIMUM, F.array_max(_last_days(WET_WINDOW))).alias("precip_max_diario_14d"),
+        enough(WET_MINIMUM, F.greatest(*_last_days(WET_WINDOW))).alias("precip_max_diario_14d"),
         enough(
             WET_MINIMUM,
-            F.size(F.filter(_last_days(WET_WINDOW), lambda x: x > 0)).cast("double"),
+            _total([(x > 0).cast("int") for x in _last_days(WET_WINDOW)]).cast("double"),
         ).alias("precip_dias_lluvia_14d"),
         *(
             [

@@ -1,7 +1,13 @@
-"""Classifiers on Spark ML: pipelines, bagging for unlabelled negatives, panel validation."""
+"""Classifiers on Spark ML: preparation, bagging for unlabelled negatives, panel validation.
+
+A model family is fitted on rows prepared once: imputed, assembled and scaled by
+statistics of the training side alone. Loops here only submit jobs (folds, draws,
+bags); every fit and every score is distributed.
+"""
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -24,8 +30,10 @@ from panelwatch.operators.metrics import fold_summary, full_metrics
 from panelwatch.operators.panel import year_slice
 from panelwatch.settings import MODEL_FEATURES, TARGET, Settings
 
-KEYS = ("week_start", "unit_id")
+KEYS = ["week_start", "unit_id"]
 SEED = 42
+MIN_ROWS_PER_TASK = 5_000
+CV_METRICS = ("auc_roc", "f1", "precision", "recall")
 
 
 def hash_unit(columns: Sequence[str], seed: int) -> Column:
@@ -41,159 +49,168 @@ def usable_features(cells: DataFrame, features: Sequence[str] = MODEL_FEATURES)
     return [f for f in present if row[f] > 0]
 
 
-def training_rows(cells: DataFrame, features: Sequence[str], target: str = TARGET) -> DataFrame:
+def model_rows(cells: DataFrame, features: Sequence[str], target: str = TARGET) -> DataFrame:
     """Keys, double features and the label; columns derived from the label are refused."""
     if {"n_eventos", target} & set(features):
         raise ValueError("label-derived columns cannot be features")
-    return cells.where(F.col(target).isNotNull()).select(
-        *[k for k in KEYS if k in cells.columns],
+    label = F.col(target) if target in cells.columns else F.lit(None)
+    return cells.select(
+        *KEYS,
         *[F.col(f).cast("double").alias(f) for f in features],
-        F.col(target).cast("double").alias("label"),
+        label.cast("double").alias("label"),
     )
 
 
-def balanced(rows: DataFrame) -> DataFrame:
-    """Adds weight n / (2 n_class) from two counts of the training side."""
-    n = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
-    positive, negative = n["n"] / (2.0 * n["pos"]), n["n"] / (2.0 * (n["n"] - n["pos"]))
-    return rows.withColumn("weight", F.when(F.col("label") == 1, positive).otherwise(negative))
-
-
-def make_pipeline(classifier, features: Sequence[str]) -> Pipeline:
-    """Median imputation, standardisation and the classifier, all fitted on training rows."""
+def preparation(features: Sequence[str]) -> Pipeline:
+    """Median imputation, then standardisation."""
     filled = [f"{f}__f" for f in features]
     return Pipeline(
         stages=[
             Imputer(strategy="median", inputCols=list(features), outputCols=filled),
             VectorAssembler(inputCols=filled, outputCol="raw"),
             StandardScaler(inputCol="raw", outputCol="features", withMean=True),
-            classifier,
         ]
     )
 
 
-def logistic(n_rows: int, c: float = Settings.logistic_c) -> LogisticRegression:
+@dataclass
+class Prepared:
+    """Training rows as vectors with balanced weights n / (2 n_class), kept for many fits."""
+
+    rows: DataFrame
+    transformer: PipelineModel
+    features: list[str]
+    n: int
+    positives: int
+
+    @staticmethod
+    def of(cells: DataFrame) -> Prepared:
+        features = usable_features(cells)
+        rows = model_rows(cells, features).where(F.col("label").isNotNull())
+        transformer = preparation(features).fit(rows)
+        counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
+        n, pos = counts["n"], int(counts["pos"] or 0)
+        if not 0 < pos < n:
+            raise ValueError("training rows must hold both classes")
+        weight = F.when(F.col("label") == 1, n / (2.0 * pos)).otherwise(n / (2.0 * (n - pos)))
+        vectors = transformer.transform(rows).select(
+            *KEYS, "features", "label", weight.alias("weight")
+        )
+        # Fitting runs many short passes: keep tasks from being nearly empty.
+        parts = max(1, n // MIN_ROWS_PER_TASK)
+        return Prepared(vectors.coalesce(parts).persist(), transformer, features, n, pos)
+
+    def release(self) -> None:
+        self.rows.unpersist()
+
+
+def logistic(data: Prepared, c: float = Settings.logistic_c) -> list:
     """L2 logistic regression; ``c`` is the inverse penalty of the summed loss."""
-    return LogisticRegression(
-        featuresCol="features", labelCol="label", weightCol="weight", maxIter=500,
-        regParam=1.0 / (c * n_rows), elasticNetParam=0.0, standardization=False,
+    model = LogisticRegression(
+        weightCol="weight", maxIter=500, regParam=1.0 / (c * data.n), elasticNetParam=0.0,
+        standardization=False, tol=1e-4,
     )
+    return [model.fit(data.rows)]
 
 
-def forest(
+def random_forest(
+    data: Prepared,
     trees: int = Settings.forest_trees,
     depth: int = Settings.forest_depth,
     min_leaf: int = Settings.forest_min_leaf,
-    weighted: bool = True,
-    seed: int = SEED,
-) -> RandomForestClassifier:
+) -> list:
     model = RandomForestClassifier(
-        featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth,
-        minInstancesPerNode=min_leaf, seed=seed,
-    )
-    return model.setWeightCol("weight") if weighted else model
+        weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, seed=SEED
+    )
+    return [model.fit(data.rows)]
 
 
-def boosting(rounds: int = 50, depth: int = 3) -> GBTClassifier:
-    return GBTClassifier(
-        featuresCol="features", labelCol="label", weightCol="weight", maxIter=rounds,
-        maxDepth=depth, seed=SEED,
-    )
+def gradient_boosting(data: Prepared, rounds: int = 100, depth: int = 3) -> list:
+    return [GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=SEED).fit(data.rows)]
 
 
-def _scores(model, rows: DataFrame) -> DataFrame:
-    p = vector_to_array("probability")[1]
-    return model.transform(rows).select(
-        *[k for k in KEYS if k in rows.columns], F.col("label").cast("int").alias("y"), p.alias("p")
-    )
+def pu_bagging(
+    data: Prepared,
+    bags: int = Settings.pu_bags,
+    depth: int = Settings.pu_depth,
+    trees: int = 100,
+    parallel: int = 4,
+) -> list:
+    """Positive-unlabelled bagging: each bag has all positives and as many unlabelled rows.
+
+    Unlabelled rows are drawn by a hash of their key, so a lost task draws the same
+    ones again.
+    """
+    share = min(1.0, data.positives / (data.n - data.positives))
+
+    def bag(i: int):
+        drawn = (F.col("label") == 1) | (hash_unit(KEYS, SEED + i) < share)
+        forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED + i)
+        return forest.fit(data.rows.where(drawn))
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(bag, range(bags)))
+
+
+FAMILIES: dict[str, Callable[..., list]] = {
+    "logistic_regression": logistic,
+    "random_forest": random_forest,
+    "gradient_boosting": gradient_boosting,
+    "bagging_pu": pu_bagging,
+}
+
+
+def _probability(rows: DataFrame, models: Sequence, name: str) -> DataFrame:
+    """Adds the mean probability of the models; all look at a row in the same pass."""
+    parts = []
+    for i, model in enumerate(models):
+        parts.append(f"_{name}_{i}")
+        rows = model.transform(rows)
+        rows = rows.withColumn(parts[-1], vector_to_array("probability")[1]).drop(
+            "rawPrediction", "probability", "prediction"
+        )
+    mean = reduce(add, [F.col(c) for c in parts]) / len(parts)
+    return rows.withColumn(name, mean).drop(*parts)
 
 
 @dataclass
 class Fitted:
-    """A fitted model and the features it reads."""
+    """A fitted family and the preparation it needs."""
 
-    model: PipelineModel | list
+    models: list
+    transformer: PipelineModel
     features: list[str]
-    prepare: PipelineModel | None = None
 
-    def score(self, cells: DataFrame, target: str = TARGET) -> DataFrame:
-        """Keys, y and p of every row (y is null where the label is unknown)."""
-        rows = cells.select(
-            *[k for k in KEYS if k in cells.columns],
-            *[F.col(f).cast("double").alias(f) for f in self.features],
-            (F.col(target) if target in cells.columns else F.lit(None)).cast("double").alias("label"),
+    def vectors(self, cells: DataFrame) -> DataFrame:
+        return self.transformer.transform(model_rows(cells, self.features)).select(
+            *KEYS, "features", "label"
         )
-        if self.prepare is None:
-            return _scores(self.model, rows)
-        # All bags look at each row in one pass; nothing is joined back.
-        ready = self.prepare.transform(rows).drop("raw")
-        for i, bag in enumerate(self.model):
-            ready = bag.transform(ready).drop("rawPrediction", "prediction")
-            ready = ready.withColumn(f"_p{i}", vector_to_array("probability")[1]).drop("probability")
-        mean = reduce(add, [F.col(f"_p{i}") for i in range(len(self.model))]) / len(self.model)
-        return ready.select(
-            *[k for k in KEYS if k in cells.columns],
-            F.col("label").cast("int").alias("y"),
-            mean.alias("p"),
+
+    def score(self, cells: DataFrame) -> DataFrame:
+        """Keys, y and p of every row (y is null where the label is unknown)."""
+        return _probability(self.vectors(cells), self.models, "p").select(
+            *KEYS, F.col("label").cast("int").alias("y"), "p"
         )
 
     def importances(self) -> list[tuple[str, float]]:
         """Features by importance (trees) or by size of coefficient (logistic)."""
-        stage = self.model.stages[-1]
-        values = (
-            stage.featureImportances.toArray()
-            if hasattr(stage, "featureImportances")
-            else abs(stage.coefficients.toArray())
-        )
-        return sorted(zip(self.features, map(float, values)), key=lambda kv: (-kv[1], kv[0]))
+        totals = [0.0] * len(self.features)
+        for model in self.models:
+            values = (
+                model.featureImportances if hasattr(model, "featureImportances") else model.coefficients
+            )
+            totals = [t + abs(float(v)) for t, v in zip(totals, values.toArray())]
+        ranked = zip(self.features, [t / len(self.models) for t in totals])
+        return sorted(ranked, key=lambda kv: (-kv[1], kv[0]))
 
 
-def fit_weighted(cells: DataFrame, build: Callable[[int], object]) -> Fitted:
-    """Fits a pipeline with balanced weights; ``build`` gets the number of training rows."""
-    features = usable_features(cells)
-    rows = balanced(training_rows(cells, features)).persist()
+def fit(cells: DataFrame, family: str, **params) -> Fitted:
+    """Fits one family on a labelled panel."""
+    data = Prepared.of(cells)
     try:
-        return Fitted(make_pipeline(build(rows.count()), features).fit(rows), features)
+        return Fitted(FAMILIES[family](data, **params), data.transformer, data.features)
     finally:
-        rows.unpersist()
-
-
-def fit_pu_bagging(
-    cells: DataFrame,
-    bags: int = Settings.pu_bags,
-    depth: int = Settings.pu_depth,
-    trees: int = 100,
-    seed: int = SEED,
-    parallel: int = 4,
-) -> Fitted:
-    """Positive-unlabelled bagging: each bag has all positives and as many unlabelled rows.
-
-    Unlabelled rows are drawn by a hash of their key, so a lost task draws the same
-    ones again. The vectors are assembled once and shared by all bags.
-    """
-    features = usable_features(cells)
-    rows = training_rows(cells, features)
-    filled = [f"{f}__f" for f in features]
-    prepare = Pipeline(
-        stages=[
-            Imputer(strategy="median", inputCols=features, outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="raw"),
-            StandardScaler(inputCol="raw", outputCol="features", withMean=True),
-        ]
-    ).fit(rows)
-    ready = prepare.transform(rows).select(*KEYS, "features", "label").persist()
-    try:
-        sizes = ready.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
-        share = min(1.0, sizes["pos"] / max(1.0, sizes["n"] - sizes["pos"]))
-
-        def bag(i: int):
-            drawn = (F.col("label") == 1) | (hash_unit(KEYS, seed + i) < share)
-            return forest(trees, depth, 1, weighted=False, seed=seed + i).fit(ready.where(drawn))
-
-        with ThreadPoolExecutor(parallel) as pool:
-            return Fitted(list(pool.map(bag, range(bags))), features, prepare)
-    finally:
-        ready.unpersist()
+        data.release()
 
 
 def baseline_scores(cells: DataFrame, train: DataFrame, seed: int = SEED) -> DataFrame:
@@ -203,116 +220,85 @@ def baseline_scores(cells: DataFrame, train: DataFrame, seed: int = SEED) -> Dat
     return cells.select(*KEYS, F.col(TARGET).alias("y"), guess.alias("p"))
 
 
-def candidates(settings: Settings = Settings()) -> dict[str, Callable[[DataFrame], Fitted]]:
-    """The model families by name; each fits on a panel."""
-    return {
-        "logistic_regression": lambda c: fit_weighted(c, lambda n: logistic(n, settings.logistic_c)),
-        "random_forest": lambda c: fit_weighted(
-            c,
-            lambda n: forest(settings.forest_trees, settings.forest_depth, settings.forest_min_leaf),
-        ),
-        "gradient_boosting": lambda c: fit_weighted(c, lambda n: boosting()),
-        "bagging_pu": lambda c: fit_pu_bagging(c, settings.pu_bags, settings.pu_depth),
-    }
-
-
 def _both_classes(cells: DataFrame) -> bool:
     row = cells.agg(F.min(TARGET).alias("a"), F.max(TARGET).alias("b")).first()
     return row["a"] == 0 and row["b"] == 1
 
 
-def panel_cv(
-    cells: DataFrame, fit: Callable[[DataFrame], Fitted], folds: int = 4, parallel: int = 4
-) -> DataFrame:
-    """Metrics of each chronological fold, as (fold, auc_roc, f1, precision, recall).
+def _fold_sides(cells: DataFrame, table: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
+    def side(name: str) -> DataFrame:
+        weeks = table.where((F.col("fold") == fold) & (F.col("side") == name))
+        return cells.join(F.broadcast(weeks.select("week_start")), "week_start", "left_semi")
 
-    Spark's own fold columns would train on later weeks too, hence this loop, which
-    only submits the folds; every fit and score is a distributed job. Folds with one class
-    on a side are skipped.
-    """
-    table = fold_table(cells, folds)
+    return side("train"), side("val")
 
-    def one(fold: int) -> DataFrame | None:
-        sides = {
-            s: cells.join(
-                F.broadcast(
-                    table.where((F.col("fold") == fold) & (F.col("side") == s)).select("week_start")
-                ),
-                "week_start",
-                "left_semi",
-            )
-            for s in ("train", "val")
-        }
-        if not all(_both_classes(side) for side in sides.values()):
-            return None
-        m = full_metrics(fit(sides["train"]).score(sides["val"]))
-        return m.select(
-            F.lit(fold).alias("fold"),
-            F.col("auc_roc_full").alias("auc_roc"),
-            F.col("f1_full").alias("f1"),
-            F.col("precision_full").alias("precision"),
-            F.col("recall_full").alias("recall"),
-        )
-
-    with ThreadPoolExecutor(parallel) as pool:
-        done = [m for m in pool.map(one, range(1, folds + 1)) if m is not None]
-    if not done:
-        return cells.sparkSession.createDataFrame(
-            [], "fold int, auc_roc double, f1 double, precision double, recall double"
-        )
-    return reduce(DataFrame.unionByName, done)
 
-
-def cv_summary(per_fold: DataFrame) -> DataFrame:
-    return fold_summary(per_fold, ("auc_roc", "f1", "precision", "recall"))
+def _fold_metrics(
+    cells: DataFrame,
+    table: DataFrame,
+    fold: int,
+    family: str,
+    draws: Sequence[dict],
+    parallel: int,
+) -> DataFrame | None:
+    """Metrics of all parameter draws on one fold: prepared once, scored in one pass."""
+    train, val = _fold_sides(cells, table, fold)
+    if not (_both_classes(train) and _both_classes(val)):
+        return None
+    data = Prepared.of(train)
+    try:
+        with ThreadPoolExecutor(parallel) as pool:
+            fitted = list(pool.map(lambda p: FAMILIES[family](data, **p), draws))
+    finally:
+        data.release()
+    scored = Fitted([], data.transformer, data.features).vectors(val)
+    for i, models in enumerate(fitted):
+        scored = _probability(scored, models, f"p{i}")
+    columns = [f"p{i}" for i in range(len(draws))]
+    long = scored.select(
+        F.col("label").cast("int").alias("y"),
+        F.posexplode(F.array(*columns)).alias("iteracion", "p"),
+    )
+    m = full_metrics(long, ["iteracion"])
+    return m.select(
+        F.lit(fold).alias("fold"),
+        "iteracion",
+        F.col("auc_roc_full").alias("auc_roc"),
+        F.col("f1_full").alias("f1"),
+        F.col("precision_full").alias("precision"),
+        F.col("recall_full").alias("recall"),
+    )
 
 
-def full_grid_eval(
-    train: DataFrame,
-    full: DataFrame,
-    fit: Callable[[DataFrame], Fitted],
-    train_until: int | None,
-    first: int | None = None,
-    last: int | None = None,
+def search_folds(
+    cells: DataFrame, family: str, draws: Sequence[dict], folds: int = 4, parallel: int = 4
 ) -> DataFrame:
-    """Metrics on the unfiltered grid of some years, by a model that saw nothing after ``train_until``.
+    """Metrics of every (fold, draw). Folds with one class on a side are skipped.
 
-    ``train_until=None`` trains on every year, as the published flow does.
+    Spark's own fold columns would train on later weeks too, hence this loop over folds.
     """
-    seen = train if train_until is None else year_slice(train, last=train_until)
-    return full_metrics(fit(seen).score(year_slice(full, first, last)))
+    table = fold_table(cells, folds)
+    done = [
+        _fold_metrics(cells, table, fold, family, draws, parallel) for fold in range(1, folds + 1)
+    ]
+    done = [m for m in done if m is not None]
+    if not done:
+        schema = "fold int, iteracion int, " + ", ".join(f"{m} double" for m in CV_METRICS)
+        return cells.sparkSession.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, done)
 
 
-def holdout_gap(
-    train: DataFrame, full: DataFrame, fit: Callable[[DataFrame], Fitted], year: int
-) -> DataFrame:
-    """Trained before a year: AUC from that year on selected rows and on the full grid."""
-    fitted = fit(year_slice(train, last=year - 1))
-    sides = {"seleccionado": train, "completo": full}
-    rows = [
-        full_metrics(fitted.score(year_slice(side, first=year))).select(
-            F.lit(name).alias("grid"), "*"
-        )
-        for name, side in sides.items()
-    ]
-    both = reduce(DataFrame.unionByName, rows)
-    inner = F.max(F.when(F.col("grid") == "seleccionado", F.col("auc_roc_full")))
-    outer = F.max(F.when(F.col("grid") == "completo", F.col("auc_roc_full")))
-    return both.agg(
-        inner.alias("auc_seleccionado"),
-        outer.alias("auc_completo"),
-        (100 * (inner - outer) / inner).alias("degradacion_pct"),
-        F.max(F.when(F.col("grid") == "completo", F.col("recall_full"))).alias("recall_completo"),
-        F.max(F.when(F.col("grid") == "completo", F.col("precision_full"))).alias(
-            "precision_completo"
-        ),
-    )
+def panel_cv(cells: DataFrame, family: str, folds: int = 4, **params) -> DataFrame:
+    """Metrics of each chronological fold: (fold, auc_roc, f1, precision, recall)."""
+    return search_folds(cells, family, [params], folds).drop("iteracion")
+
+
+def cv_summary(per_fold: DataFrame) -> DataFrame:
+    return fold_summary(per_fold, CV_METRICS)
 
 
 def draw_parameters(family: str, draws: int, seed: int = SEED) -> list[dict]:
     """Random settings from the published ranges."""
-    import random
-
     rng = random.Random(seed)
     spaces = {
         "logistic_regression": lambda: {"c": 0.01 + 10 * rng.random()},
@@ -326,35 +312,57 @@ def draw_parameters(family: str, draws: int, seed: int = SEED) -> list[dict]:
     return [spaces[family]() for _ in range(draws)]
 
 
-def _with_parameters(family: str, p: dict) -> Callable[[DataFrame], Fitted]:
-    if family == "logistic_regression":
-        return lambda c: fit_weighted(c, lambda n: logistic(n, p["c"]))
-    if family == "random_forest":
-        return lambda c: fit_weighted(c, lambda n: forest(p["trees"], p["depth"], p["min_leaf"]))
-    return lambda c: fit_pu_bagging(c, p["bags"], p["depth"])
-
-
 def param_search(
     cells: DataFrame, family: str, draws: int = 20, folds: int = 4, parallel: int = 4
 ) -> DataFrame:
-    """Mean AUC and recall over the folds of every draw, best first.
+    """Mean AUC and recall over the folds of every random draw, best first."""
+    settings = draw_parameters(family, draws)
+    names = [",".join(f"{k}={v:.6g}" for k, v in sorted(p.items())) for p in settings]
+    results = search_folds(cells, family, settings, folds, parallel)
+    return (
+        results.groupBy("iteracion")
+        .agg(F.avg("auc_roc").alias("auc_roc_mean"), F.avg("recall").alias("recall_mean"))
+        .withColumn("params", F.get(F.array(*[F.lit(n) for n in names]), F.col("iteracion")))
+        .orderBy(F.desc("auc_roc_mean"), "iteracion")
+    )
+
 
-    Draws run side by side from a small pool; each is a set of distributed jobs.
+def full_grid_eval(
+    train: DataFrame,
+    full: DataFrame,
+    family: str,
+    train_until: int | None,
+    first: int | None = None,
+    last: int | None = None,
+    **params,
+) -> DataFrame:
+    """Metrics on the unfiltered grid of some years by a model that saw nothing after ``train_until``.
+
+    ``train_until=None`` trains on every year, as the published flow does.
     """
-    spark = cells.sparkSession
-    settings = draw_parameters(family, draws)
+    seen = train if train_until is None else year_slice(train, last=train_until)
+    return full_metrics(fit(seen, family, **params).score(year_slice(full, first, last)))
 
-    def one(i: int) -> dict:
-        row = cv_summary(panel_cv(cells, _with_parameters(family, settings[i]), folds, 1)).first()
-        return {
-            "iteracion": i,
-            "params": ",".join(f"{k}={v:.6g}" for k, v in sorted(settings[i].items())),
-            "auc_roc_mean": row["auc_roc_mean"],
-            "recall_mean": row["recall_mean"],
-        }
 
-    with ThreadPoolExecutor(parallel) as pool:
-        rows = list(pool.map(one, range(draws)))  # one short row per draw
-    return spark.createDataFrame(
-        rows, "iteracion int, params string, auc_roc_mean double, recall_mean double"
-    ).orderBy(F.desc("auc_roc_mean"), "iteracion")
+def holdout_gap(
+    train: DataFrame, full: DataFrame, family: str, year: int, **params
+) -> DataFrame:
+    """Trained before a year: metrics from that year on selected rows and on the full grid."""
+    fitted = fit(year_slice(train, last=year - 1), family, **params)
+    both = reduce(
+        DataFrame.unionByName,
+        [
+            fitted.score(year_slice(side, first=year)).select(F.lit(name).alias("grid"), "y", "p")
+            for name, side in (("seleccionado", train), ("completo", full))
+        ],
+    )
+    measured = full_metrics(both, ["grid"])
+    of = lambda name, c: F.max(F.when(F.col("grid") == name, F.col(c)))
+    inner, outer = of("seleccionado", "auc_roc_full"), of("completo", "auc_roc_full")
+    return measured.agg(
+        inner.alias("auc_seleccionado"),
+        outer.alias("auc_completo"),
+        (100 * (inner - outer) / inner).alias("degradacion_pct"),
+        of("completo", "recall_full").alias("recall_completo"),
+        of("completo", "precision_full").alias("precision_completo"),
+    )

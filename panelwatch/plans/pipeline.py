@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from panelwatch.operators.panel import (
 )
 from panelwatch.operators.spatial import geocode, point_in_polygon
 from panelwatch.operators.timeseries import weekly_rain_features, weekly_soil_features
-from panelwatch.plans.models import Fitted, candidates, cv_summary, full_grid_eval, panel_cv
+from panelwatch.plans.models import FAMILIES, Fitted, cv_summary, full_grid_eval, panel_cv
 from panelwatch.session import shared_dir
 from panelwatch.settings import RAIN_FEATURES, Settings
 from panelwatch.sources.landing import regional_events
@@ -97,20 +98,22 @@ def store_panels(full: DataFrame, training: DataFrame) -> tuple[DataFrame, DataF
 def training_report(
     train: DataFrame,
     full: DataFrame,
-    families: dict[str, Callable[[DataFrame], Fitted]] | None = None,
+    families: dict[str, dict] | None = None,
     train_until: int | None = None,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Cross-validation and unfiltered-grid metrics of every family, with promotion verdicts."""
-    rows = None
-    for name, fit in (families or candidates(settings)).items():
-        cv = cv_summary(panel_cv(train, fit, settings.folds)).select(F.lit(name).alias("modelo"), "*")
-        grid = full_grid_eval(
-            train, full, fit, train_until, first=None if train_until is None else train_until + 1
-        )
-        row = cv.join(grid.select(F.lit(name).alias("modelo"), "*"), "modelo")
-        rows = row if rows is None else rows.unionByName(row)
-    return promotion(rows, settings)
+    """Cross-validation and unfiltered-grid metrics of every family, with promotion verdicts.
+
+    ``families`` maps a family to its parameters; by default all, with published ones.
+    """
+    first = None if train_until is None else train_until + 1
+    rows = []
+    for name, params in (families or dict.fromkeys(FAMILIES, {})).items():
+        label = F.lit(name).alias("modelo")
+        cv = cv_summary(panel_cv(train, name, settings.folds, **params)).select(label, "*")
+        grid = full_grid_eval(train, full, name, train_until, first, **params).select(label, "*")
+        rows.append(cv.join(grid, "modelo"))
+    return promotion(reduce(DataFrame.unionByName, rows), settings)
 
 
 def pick_model(report: DataFrame) -> str:

@@ -794,9 +794,9 @@ def promotion_check(spark, d):
 def fit_pipeline(spark, d):
     _, train = _stored(spark, d)
     rows = []
-    for name in ("logistic_regression", "random_forest", "gradient_boosting"):
-        fitted = models.candidates(_small())[name](train)
-        rows += [(name, i + 1, f, v) for i, (f, v) in enumerate(fitted.importances())]
+    for family in ("logistic_regression", "random_forest", "gradient_boosting"):
+        ranked = models.fit(train, family).importances()
+        rows += [(family, i + 1, f, v) for i, (f, v) in enumerate(ranked)]
     return spark.createDataFrame(
         rows, "modelo string, posicion int, feature string, importancia double"
     )
@@ -811,39 +811,37 @@ def baseline_scores(spark, d):
 @query
 def pu_bagging(spark, d):
     full, train = _stored(spark, d)
-    fitted = models.candidates(_small())["bagging_pu"](train)
-    return metrics.full_metrics(fitted.score(full))
+    return metrics.full_metrics(models.fit(train, "bagging_pu").score(full))
 
 
 @query
 def panel_cv(spark, d):
     _, train = _stored(spark, d)
-    return models.panel_cv(train, models.candidates()["logistic_regression"])
+    return models.panel_cv(train, "logistic_regression")
 
 
 @query
 def full_grid_eval(spark, d):
     full, train = _stored(spark, d)
-    fit = models.candidates(_small())["random_forest"]
-    return models.full_grid_eval(train, full, fit, 1998, first=1999, last=2001)
+    return models.full_grid_eval(train, full, "random_forest", 1998, first=1999, last=2001)
 
 
 @query
 def param_search(spark, d):
     _, train = _stored(spark, d)
-    return models.param_search(train, "logistic_regression", draws=20)
+    return models.param_search(train, "logistic_regression")
 
 
 @query
 def holdout_gap(spark, d):
     full, train = _stored(spark, d)
-    return models.holdout_gap(train, full, models.candidates()["logistic_regression"], 1999)
+    return models.holdout_gap(train, full, "random_forest", 1999)
 
 
 @query
 def score_week(spark, d):
     full, train = _stored(spark, d)
-    fitted = models.candidates()["logistic_regression"](train)
+    fitted = models.fit(train, "logistic_regression")
     published, _ = pipeline.score_week(fitted, full, F.lit("2002-01-01").cast("timestamp"))
     return published
 
@@ -854,7 +852,7 @@ def score_week(spark, d):
 @query
 def stream_score(spark, d):
     full, train = _stored(spark, d)
-    fitted = models.candidates()["logistic_regression"](train)
+    fitted = models.fit(train, "logistic_regression")
     out, checkpoint = jobs.run_folder(spark, "stream-score")
     folder = full.inputFiles()[0].rsplit("/year=", 1)[0]
     schema = spark.read.parquet(folder).schema
@@ -876,11 +874,6 @@ def stream_band_counts(spark, d):
 # --- shared pieces ------------------------------------------------------------------
 
 
-def _small() -> Settings:
-    """Fewer and shallower trees for the registered queries; sizes of the job are in Settings."""
-    return Settings(first_year=1995, last_year=2001, forest_trees=20, pu_bags=5)
-
-
 @cache
 def _stored_once(application: str, d: str) -> tuple[DataFrame, DataFrame]:
     spark = SparkSession.active()

@@ -12,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # call sites cost planning time
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 

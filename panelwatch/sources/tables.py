@@ -6,16 +6,26 @@ written as plain ranges so that they reach the parquet scan.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelwatch.operators.panel import panel_grid
 from panelwatch.operators.timeseries import weekly_rain_features
 from panelwatch.functions.calendar import week_start
 
 
+@cache
+def _schema(application: str, path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table by name. Its footer is read once per application, not at every mention."""
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark.sparkContext.applicationId, path)).parquet(path)
 
 
 def daily_signal(spark: SparkSession, folder: str) -> DataFrame:
