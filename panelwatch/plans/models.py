@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwatch.operators.folds import fold_table
+from panelwatch.operators.folds import fold_sides
 from panelwatch.operators.metrics import fold_summary, full_metrics
 from panelwatch.operators.panel import year_slice
 from panelwatch.settings import MODEL_FEATURES, TARGET, Settings
@@ -225,24 +225,15 @@ def _both_classes(cells: DataFrame) -> bool:
     return row["a"] == 0 and row["b"] == 1
 
 
-def _fold_sides(cells: DataFrame, table: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
-    def side(name: str) -> DataFrame:
-        weeks = table.where((F.col("fold") == fold) & (F.col("side") == name))
-        return cells.join(F.broadcast(weeks.select("week_start")), "week_start", "left_semi")
-
-    return side("train"), side("val")
-
-
 def _fold_metrics(
-    cells: DataFrame,
-    table: DataFrame,
+    sides: dict[str, DataFrame],
     fold: int,
     family: str,
     draws: Sequence[dict],
     parallel: int,
 ) -> DataFrame | None:
     """Metrics of all parameter draws on one fold: prepared once, scored in one pass."""
-    train, val = _fold_sides(cells, table, fold)
+    train, val = sides["train"], sides["val"]
     if not (_both_classes(train) and _both_classes(val)):
         return None
     data = Prepared.of(train)
@@ -277,9 +268,9 @@ def search_folds(
 
     Spark's own fold columns would train on later weeks too, hence this loop over folds.
     """
-    table = fold_table(cells, folds)
     done = [
-        _fold_metrics(cells, table, fold, family, draws, parallel) for fold in range(1, folds + 1)
+        _fold_metrics(sides, fold, family, draws, parallel)
+        for fold, sides in fold_sides(cells, folds).items()
     ]
     done = [m for m in done if m is not None]
     if not done:
