@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,8 +28,10 @@ _MARKS = "[\\u0300-\\u036F]"
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents; null stays null."""
-    return F.regexp_replace(F.translate(F.lower(text), _FROM, _TO), _MARKS, "")
+    """Lower case without accents; null stays null. Text in plain ASCII is only lower-cased."""
+    lower = F.lower(text)
+    folded = F.regexp_replace(F.translate(lower, _FROM, _TO), _MARKS, "")
+    return F.when(F.octet_length(text) == F.char_length(text), lower).otherwise(folded)
 
 
 def ascii_fold(text: Column) -> Column:
@@ -45,15 +45,15 @@ def place_key(text: Column) -> Column:
 
 
 def has_keyword(text: Column, keywords: list[str] | tuple[str, ...]) -> Column:
-    """Any keyword occurs in the folded text. One pass per keyword, no regex engine."""
-    folded = fold(F.coalesce(text, F.lit("")))
-    return reduce(or_, [F.contains(folded, F.lit(k)) for k in keywords])
+    """Any keyword occurs in the folded text; null counts as no match.
+
+    One pattern for all keywords, so that a row is folded once.
+    """
+    pattern = "|".join(re.escape(k) for k in keywords)
+    return F.coalesce(fold(text).rlike(pattern), F.lit(False))
 
 
 def matches_keyword(text: Column, keywords: list[str] | tuple[str, ...]) -> Column:
     """Regex alternation on the lower-cased text, accents kept; null counts as no match."""
     return F.coalesce(F.lower(text).rlike("|".join(keywords)), F.lit(False))
 
-
-def escape_keywords(keywords: list[str] | tuple[str, ...]) -> list[str]:
-    return [re.escape(k) for k in keywords]

@@ -31,29 +31,37 @@ def reference_sample(
 ) -> DataFrame:
     """Every ``n // size``-th value of each feature in (week, unit) order: (feature, value).
 
-    Positions are counted per week and week totals added as offsets, so the panel
-    is never sorted as a whole. At most twice ``size`` rows per feature remain.
+    Values are numbered within their week, all features by one window, and week totals are
+    added as offsets, so the panel is never sorted as a whole. Rows are turned into
+    (feature, value) only once chosen: at most twice ``size`` per feature.
     """
-    long = unpivot_features(cells, features, ["week_start", "unit_id"])
-    per_week = long.groupBy("feature", "week_start").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (
-        Window.partitionBy("feature")
-        .orderBy("week_start")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    rows = cells.select(
+        "week_start", "unit_id", *[F.col(f).cast("double").alias(f) for f in features]
     )
-    offsets = per_week.select(  # one row per feature and week of the calendar
-        "feature",
+    per_week = rows.groupBy("week_start").agg(*[F.count(f).alias(f"_n_{f}") for f in features])
+    ordered = Window.orderBy("week_start")  # one row per week of the calendar
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = per_week.select(
         "week_start",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy("feature")).alias("_total"),
+        *[F.coalesce(F.sum(f"_n_{f}").over(earlier), F.lit(0)).alias(f"_b_{f}") for f in features],
+        *[F.sum(f"_n_{f}").over(whole).alias(f"_t_{f}") for f in features],
     )
-    in_week = Window.partitionBy("feature", "week_start").orderBy("unit_id")
-    step = F.greatest(F.lit(1), F.floor(F.col("_total") / size))
-    return (
-        long.withColumn("_at", F.row_number().over(in_week))
-        .join(F.broadcast(offsets), ["feature", "week_start"])
-        .where((F.col("_before") + F.col("_at") - 1) % step == 0)
-        .select("feature", "value")
+    upto = (
+        Window.partitionBy("week_start")
+        .orderBy("unit_id")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    numbered = rows.select("*", *[F.count(f).over(upto).alias(f"_at_{f}") for f in features])
+
+    def kept(f: str) -> Column:
+        step = F.greatest(F.lit(1), F.floor(F.col(f"_t_{f}") / size))
+        chosen = (F.col(f"_b_{f}") + F.col(f"_at_{f}") - 1) % step == 0
+        return F.when(chosen, F.col(f)).alias(f)
+
+    picked = numbered.join(F.broadcast(offsets), "week_start").select(*[kept(f) for f in features])
+    return picked.unpivot([], list(features), "feature", "value").where(
+        F.col("value").isNotNull()
     )
 
 

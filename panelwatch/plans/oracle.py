@@ -219,12 +219,13 @@ def _full(source: str, keys: str = "") -> str:
 PARTS["candidate_metrics"] = _full("candidate", "modelo")
 
 
-def _interpolated(source: str, key: str | None, value: str) -> str:
+def _interpolated(source: str, key: str | None, value: str, digits: int | None = 6) -> str:
     k, by = (f"{key}, ", f"PARTITION BY {key} ") if key else ("", "")
     group = f"GROUP BY {key}" if key else ""
-    return f"""SELECT {k}fecha, round(CASE
+    close = f", {digits})" if digits else ")"
+    return f"""SELECT {k}fecha, {"round" if digits else ""}(CASE
         WHEN mm IS NOT NULL THEN mm WHEN d0 IS NULL THEN NULL WHEN d1 IS NULL THEN v0
-        ELSE v0 + (v1 - v0) * (fecha - d0) / (d1 - d0) END, 6) AS {value}
+        ELSE v0 + (v1 - v0) * (fecha - d0) / (d1 - d0) END{close} AS {value}
       FROM (SELECT {k}fecha, mm,
           last_value(CASE WHEN mm IS NOT NULL THEN fecha END IGNORE NULLS) OVER back AS d0,
           last_value(mm IGNORE NULLS) OVER back AS v0,
@@ -237,7 +238,7 @@ def _interpolated(source: str, key: str | None, value: str) -> str:
                ahead AS ({by}ORDER BY fecha ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
 
 
-PARTS["soil_daily"] = f"({_interpolated('gapped', None, 'v')})"
+PARTS["soil_daily"] = f"({_interpolated('gapped', None, 'v', None)})"
 PARTS["soil"] = """(SELECT week_start, round(lag(v) OVER (ORDER BY week_start), 6) AS soil_moisture_14d,
   fecha_fin_semana FROM (
     SELECT CAST(date_trunc('week', fecha) AS DATE) AS week_start,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,21 +35,23 @@ def local_session(cpus: int = 8, app: str = "panelwatch") -> SparkSession:
     return spark
 
 
+@cache
+def _local_fallback(application: str) -> str:
+    return tempfile.mkdtemp(prefix="panelwatch-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, laptops) is a temporary folder used
-    instead, and then only in local mode: on a cluster a machine-local folder
-    would be lost with its machine.
+    Only where the setting is absent and the session is local (tests, laptops) is a
+    temporary folder used instead: on a cluster such a folder is lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="panelwatch-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_fallback(spark.sparkContext.applicationId)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
