@@ -4,7 +4,8 @@ A window without a partition key sorts everything in one task. The functions her
 split the order first. Cut points come from ``percentile_approx`` (a sketch
 merged on the map side, so no row is shuffled for it); they only balance the work,
 the results are exact whatever they are. Each bucket keeps its own running total,
-and the at most ``2**bits`` bucket totals per key are added as offsets.
+and the at most ``2**bits`` bucket totals per key are added as offsets. Buckets and
+salts follow the session's shuffle parallelism.
 """
 
 from __future__ import annotations
@@ -16,8 +17,18 @@ from pyspark.sql import functions as F
 
 from panelwatch.session import cut_lineage
 
-BITS = 7
-SALTS = 32
+MIN_BITS, MAX_BITS = 6, 10
+MAX_SALTS, MAX_JOIN_SALTS = 256, 64
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's reduce-side parallelism, by which work is split here."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucket_bits(df: DataFrame) -> int:
+    """Twice as many buckets as shuffle partitions, between 64 and 1024."""
+    return max(MIN_BITS, min(MAX_BITS, (2 * shuffle_partitions(df) - 1).bit_length()))
 
 
 def _cut_points(value: str, bits: int) -> Column:
@@ -42,7 +53,7 @@ def with_bucket(
     df: DataFrame,
     value: str,
     keys: Sequence[str] = (),
-    bits: int = BITS,
+    bits: int | None = None,
     name: str = "_bucket",
     sample: DataFrame | None = None,
 ) -> DataFrame:
@@ -51,6 +62,7 @@ def with_bucket(
     ``keys`` must be few (features, folds, candidates): one row of cut points per
     key is broadcast. The cuts are those of ``sample`` if given, else of ``df``.
     """
+    bits = bits or bucket_bits(df)
     source = df if sample is None else sample
     if keys:
         cuts = source.groupBy(*keys).agg(_cut_points(value, bits).alias("_cuts"))
@@ -65,7 +77,7 @@ def cumulative_by_value(
     value: str,
     sums: Sequence[str],
     keys: Sequence[str] = (),
-    bits: int = BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """One row per distinct ``(keys, value)``: sums, running sums upwards, and totals.
 
@@ -111,7 +123,7 @@ def exact_quantiles(
     value: str,
     quantiles: dict[str, float],
     keys: Sequence[str] = (),
-    bits: int = BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles (nulls skipped), one row per key.
 
@@ -190,7 +202,7 @@ def top_k_per_group(
     order: Sequence[Column],
     k: int | Column,
     salt_on: Sequence[str],
-    salts: int = SALTS,
+    salts: int | None = None,
     name: str = "rank",
 ) -> DataFrame:
     """First ``k`` rows of each group in a total order, with their position.
@@ -198,6 +210,7 @@ def top_k_per_group(
     A hot group is first cut to ``k`` rows within each of ``salts`` slices; only
     those ``k * salts`` rows meet in one task.
     """
+    salts = salts or min(MAX_SALTS, shuffle_partitions(df))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)))
     slices = Window.partitionBy(*group, "_salt").orderBy(*order)
     groups = Window.partitionBy(*group).orderBy(*order)
@@ -216,7 +229,7 @@ def salted_join(
     on: Sequence[str],
     salt_on: Sequence[str],
     how: str = "inner",
-    salts: int = 8,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join of many rows to a smaller lookup where one key may hold most rows.
 
@@ -226,6 +239,7 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins keep one copy of each left row")
+    salts = salts or min(MAX_JOIN_SALTS, shuffle_partitions(rows))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelwatch.functions.calendar import seasonality, week_label, week_start, week_year
-from panelwatch.operators.ordering import exact_quantiles
+from panelwatch.operators.ordering import exact_quantiles, shuffle_partitions
 from panelwatch.settings import RAIN_FEATURES, SOIL_FEATURE, TARGET, Settings
 
 
@@ -27,23 +27,29 @@ def week_list(first: Column, last: Column) -> Column:
 def panel_grid(units: DataFrame, events: DataFrame, first: Column, last: Column) -> DataFrame:
     """Every week of every unit with its number of events and a 0/1 label.
 
-    The weeks are exploded from each unit row, so no cartesian join is planned. The
-    units are spread over a fixed number of partitions first: they are few bytes before
-    they multiply, and adaptive coalescing would otherwise leave the whole panel to one
-    task. ``distinct`` comes after and reuses that partitioning.
+    The weeks are exploded from each unit row, so no cartesian join is planned, and
+    a unit's counts are attached to its row (a map with one entry per week at most)
+    before it multiplies, so nothing as large as the panel is shuffled. The units are spread
+    over a fixed number of partitions: they are few bytes until then, and adaptive
+    coalescing would otherwise leave the whole panel to one task.
     """
-    spark = units.sparkSession
-    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = (
+    wide = shuffle_partitions(units)
+    history = (
+        event_counts(events)
+        .groupBy("unit_id")
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("week_start", "n_eventos"))).alias("_history")
+        )
+    )
+    n = F.coalesce(F.try_element_at("_history", F.col("week_start")), F.lit(0)).cast("bigint")
+    return (
         units.select("unit_id")
         .repartition(wide, "unit_id")
         .distinct()
-        .withColumn("week_start", F.explode(week_list(first, last)))
-    )
-    counted = cells.join(event_counts(events), ["unit_id", "week_start"], "left")
-    n = F.coalesce("n_eventos", F.lit(0)).cast("bigint")
-    return counted.select(
-        "week_start", "unit_id", n.alias("n_eventos"), (n > 0).cast("int").alias(TARGET)
+        .join(history, "unit_id", "left")
+        .select("unit_id", "_history", F.explode(week_list(first, last)).alias("week_start"))
+        .select("week_start", "unit_id", n.alias("n_eventos"))
+        .withColumn(TARGET, (F.col("n_eventos") > 0).cast("int"))
     )
 
 
