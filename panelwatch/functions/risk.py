@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from panelwatch.functions.rounding import exact_round
 from panelwatch.settings import Settings
 
 LEVELS = ("Bajo", "Medio", "Alto")
@@ -17,7 +18,7 @@ def band(p: Column, settings: Settings = Settings()) -> Column:
 
 def published_probability(p: Column) -> Column:
     """Four decimals, half to even; the band of a published row is taken from this value."""
-    return F.bround(p, 4)
+    return exact_round(p, 4)
 
 
 def index_band(index: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.functions.columns import number_or_zero, pick_column, safe_ratio
+from panelwatch.functions.rounding import exact_round, to_fixed
 from panelwatch.operators.ordering import top_k_per_group, with_global_rank
 from panelwatch.settings import (
     CONSEQUENCE_SYNONYMS,
@@ -115,24 +116,23 @@ def priority_top(scored: DataFrame, k: int = 10) -> DataFrame:
 def priority_export(scored: DataFrame) -> DataFrame:
     """Every row with its rank and the columns formatted as in the exported file."""
     ranked = with_global_rank(scored, "score", "unit_id")
-    fixed = lambda c, n: F.format_string(f"%.{n}f", c)
     return ranked.select(
         "rank",
         "unit_id",
-        fixed(F.col("p") * 100, 1).alias("prob_pct"),
+        to_fixed(F.col("p") * 100, 1).alias("prob_pct"),
         F.col("nivel_riesgo").alias("nivel"),
         F.col("n_eventos").cast("bigint").alias("eventos_hist"),
         F.col("fallecidos").cast("bigint").alias("fallecidos"),
-        fixed(F.col("costo_m_cop"), 0).alias("costo_m_cop"),
+        to_fixed(F.col("costo_m_cop"), 0).alias("costo_m_cop"),
         F.col("poblacion_estimada").cast("bigint").alias("poblacion"),
-        fixed(F.col("score"), 3).alias("score"),
+        to_fixed(F.col("score"), 3).alias("score"),
     )
 
 
 def projected_counts(recall: Column, precision: Column, n_events: Column) -> tuple[Column, ...]:
     """True and false positives and misses when the rates meet the historic events."""
-    tp = F.bround(recall * n_events)
-    fp = F.when(precision > 0, F.bround(tp * (1 - precision) / precision)).otherwise(0.0)
+    tp = exact_round(recall * n_events, 0)
+    fp = F.when(precision > 0, exact_round(tp * (1 - precision) / precision, 0)).otherwise(0.0)
     return tp, fp, n_events - tp
 
 
@@ -268,7 +268,7 @@ def top_n_alerts(
         past["costo_cop"].alias("_base"),
         past["costo_por_evento"].alias("_unit"),
     )
-    tp = F.bround(F.col("recall") * F.col("_n"))
+    tp = exact_round(F.col("recall") * F.col("_n"), 0)
     row = row.select("*", tp.alias("_tp"))
     _, ratio = benefit_ratio(
         F.col("_tp"), F.col("falsas_alarmas"), F.col("_n") - F.col("_tp"), F.col("_base"),

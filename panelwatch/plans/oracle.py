@@ -154,7 +154,7 @@ PARTS["indexed"] = """(SELECT b.*, poblacion_estimada, costo_cop / 1e6 AS costo_
   FROM by_unit b JOIN populated USING (unit_id))"""
 PARTS["published_latest"] = """(SELECT unit_id, p4 AS p,
   CASE WHEN p4 < 0.3 THEN 'Bajo' WHEN p4 < 0.6 THEN 'Medio' ELSE 'Alto' END AS nivel_riesgo
-  FROM (SELECT unit_id, round_even(p, 4) AS p4 FROM scored
+  FROM (SELECT unit_id, CAST(printf('%.4f', p) AS DOUBLE) AS p4 FROM scored
         WHERE week_start = (SELECT max(week_start) FROM scored)))"""
 PARTS["prioritised"] = """(SELECT unit_id, p, nivel_riesgo, n_eventos, fallecidos, costo_m_cop,
   poblacion_estimada, indice_riesgo,
@@ -300,6 +300,12 @@ PARTS["swept"] = f"""(SELECT umbral, tp, fp, fn, recall, precision, tp_real, fp_
       CROSS JOIN past)))"""
 
 
+def _fixed(x: str, digits: int) -> str:
+    """Fixed-point text; printf rounds exact ties to even, here they go up."""
+    tie = f"({x}) * {2 ** (digits + 1)} % 1 = 0 AND ({x}) * {2 * 10**digits} % 2 = 1"
+    return f"printf('%.{digits}f', CASE WHEN {tie} THEN nextafter({x}, 1e300::DOUBLE) ELSE {x} END)"
+
+
 _CORRELATED = (
     "precip_suma", "precip_max", "precip_lag1", "precip_acum3m", "precip_acum6m", "target"
 )
@@ -354,9 +360,9 @@ _BODIES: dict[str, str] = {
     "week_band_counts": """SELECT week_start, count(*) AS n_cuencas,
         count(*) FILTER (p >= 0.6) AS alto, count(*) FILTER (p >= 0.3 AND p < 0.6) AS medio,
         count(*) FILTER (p < 0.3) AS bajo
-        FROM (SELECT week_start, round_even(p, 4) AS p FROM scored) GROUP BY 1""",
+        FROM (SELECT week_start, CAST(printf('%.4f', p) AS DOUBLE) AS p FROM scored) GROUP BY 1""",
     "prediction_log": """SELECT event_id, user_id AS hybas_id,
-        round_even(least(value / 500, 1.0), 6) AS probabilidad,
+        CAST(printf('%.6f', least(value / 500, 1.0)) AS DOUBLE) AS probabilidad,
         CASE WHEN least(value / 500, 1.0) < 0.3 THEN 'Bajo' WHEN least(value / 500, 1.0) < 0.6
              THEN 'Medio' ELSE 'Alto' END AS nivel_riesgo,
         CAST(json_extract(props, '$.k') AS DOUBLE) AS k,
@@ -364,11 +370,11 @@ _BODIES: dict[str, str] = {
         CAST((json_extract(props, '$.k') IS NOT NULL)::INTEGER
            + (event_type <> 'error' AND value IS NOT NULL)::INTEGER AS BIGINT) AS n_features
         FROM events""",
-    "priority_export": """SELECT row_number() OVER (ORDER BY score DESC, unit_id) AS rank, unit_id,
-        printf('%.1f', p * 100) AS prob_pct, nivel_riesgo AS nivel,
+    "priority_export": f"""SELECT row_number() OVER (ORDER BY score DESC, unit_id) AS rank, unit_id,
+        {_fixed("p * 100", 1)} AS prob_pct, nivel_riesgo AS nivel,
         CAST(n_eventos AS BIGINT) AS eventos_hist, CAST(fallecidos AS BIGINT) AS fallecidos,
-        CAST(CAST(floor(costo_m_cop + 0.5) AS BIGINT) AS VARCHAR) AS costo_m_cop,
-        CAST(poblacion_estimada AS BIGINT) AS poblacion, printf('%.3f', score) AS score
+        {_fixed("costo_m_cop", 0)} AS costo_m_cop,
+        CAST(poblacion_estimada AS BIGINT) AS poblacion, {_fixed("score", 3)} AS score
         FROM prioritised""",
     "lenient_cast": """SELECT id, TRY_CAST(fecha_txt AS DATE) AS fecha, CAST(valor AS DOUBLE) AS precip_mm
         FROM station_raw WHERE TRY_CAST(fecha_txt AS DATE) IS NOT NULL""",
@@ -402,7 +408,7 @@ _BODIES: dict[str, str] = {
         FROM enriched GROUP BY 1""",
     "risk_bands": """SELECT week_start, unit_id, p AS probabilidad,
         CASE WHEN p < 0.3 THEN 'Bajo' WHEN p < 0.6 THEN 'Medio' ELSE 'Alto' END AS nivel_riesgo
-        FROM (SELECT week_start, unit_id, round_even(p, 4) AS p FROM scored)""",
+        FROM (SELECT week_start, unit_id, CAST(printf('%.4f', p) AS DOUBLE) AS p FROM scored)""",
     "fallback_band": """SELECT unit_id, coalesce(
         CASE WHEN p < 0.3 THEN 'Bajo' WHEN p < 0.6 THEN 'Medio' WHEN p IS NOT NULL THEN 'Alto' END,
         CASE WHEN n_eventos > 0 THEN CASE WHEN indice_riesgo > 1000 THEN 'Alto'

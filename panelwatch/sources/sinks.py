@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelwatch.functions.calendar import week_label
 from panelwatch.functions.risk import LEVELS, band, published_probability
+from panelwatch.functions.rounding import exact_round
 from panelwatch.operators.panel import panel_years
 
 DOCUMENT_ROWS = 10_000
@@ -118,7 +119,7 @@ def geojson_features(polygons: DataFrame, properties: Sequence[str]) -> DataFram
 def log_entries(served: DataFrame, features: str = "features", row_id: str = "hybas_id") -> DataFrame:
     """Log records: six decimals, features without nulls and without the id."""
     kept = F.map_filter(features, lambda k, v: v.isNotNull() & (k != row_id))
-    return served.withColumn("probabilidad", F.bround("p", 6)).select(
+    return served.withColumn("probabilidad", exact_round(F.col("p"), 6)).select(
         *[c for c in ("event_id",) if c in served.columns],
         F.col("ts").alias("timestamp"),
         row_id,

@@ -1,4 +1,5 @@
 from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from panelwatch.functions import risk
 from panelwatch.functions.calendar import iso_label, parse_week, week_label, week_start, week_year
 from panelwatch.functions.columns import ordered_features, pick_column, to_double
+from panelwatch.functions.rounding import exact_round, to_fixed
 from panelwatch.functions.text import ascii_fold, fold, has_keyword, matches_keyword, place_key
 
 
@@ -84,6 +86,23 @@ def test_rounding_is_half_even(spark):
     assert tuple(row) == (0.3, 0.3001)
 
 
+def test_rounding_looks_at_the_binary_value(spark):
+    import random
+
+    rng = random.Random(1)
+    values = [0.30005, 0.30025, 0.125, 0.5, 2.5, 80.05, 50.25, 11836.5, 1.005, 0.0, 0.99995]
+    values += [rng.random() * 10 ** rng.randrange(0, 4) for _ in range(300)]
+    values += [round(rng.random(), 5) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    v = F.col("v")
+    for digits in (0, 1, 4, 6):
+        got = df.select(v, exact_round(v, digits), to_fixed(v, digits), to_fixed(-v, digits)).collect()
+        for x, rounded, text, negative in got:
+            assert rounded == round(x, digits)
+            up = Decimal(x).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+            assert text == str(up) and negative == (f"-{up}" if up else str(up))
+
+
 def test_fallback_bands(spark):
     row = one(
         spark,
