@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.functions.columns import number_or_zero, pick_column, safe_ratio
+from panelwatch.functions.risk import LEVELS, index_band
 from panelwatch.functions.rounding import exact_round, to_fixed
 from panelwatch.operators.ordering import top_k_per_group, with_global_rank
 from panelwatch.settings import (
@@ -113,6 +114,32 @@ def priority_top(scored: DataFrame, k: int = 10) -> DataFrame:
     return scored.orderBy(F.desc("score"), "unit_id").limit(k)
 
 
+def historic_top(impact: DataFrame, k: int = 10, only_with_events: bool = False) -> DataFrame:
+    """What the map lists before a week is scored: the highest historic indices above 1000."""
+    rows = impact.where(F.col("indice_riesgo") > 1000)
+    if only_with_events:
+        rows = rows.where(F.col("n_eventos") > 0)
+    score = F.col("indice_riesgo") / 5000
+    return (
+        rows.orderBy(F.desc("indice_riesgo"), "unit_id")
+        .limit(k)
+        .select(
+            "unit_id",
+            F.least(score, F.lit(0.99)).alias("p"),
+            F.lit("Alto").alias("nivel_riesgo"),
+            "n_eventos",
+            "costo_m_cop",
+            score.alias("score"),
+        )
+    )
+
+
+def historic_band_counts(impact: DataFrame) -> DataFrame:
+    """Units per band of the historic index, in one row."""
+    level = index_band(F.col("indice_riesgo"))
+    return impact.agg(*[F.count_if(level == b).alias(b.lower()) for b in reversed(LEVELS)])
+
+
 def priority_export(scored: DataFrame) -> DataFrame:
     """Every row with its rank and the columns formatted as in the exported file."""
     ranked = with_global_rank(scored, "score", "unit_id")

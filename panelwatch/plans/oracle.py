@@ -582,6 +582,13 @@ _BODIES: dict[str, str] = {
         round(indice_riesgo, 6) AS indice_riesgo, round(score, 6) AS score FROM prioritised""",
     "priority_top": """SELECT unit_id, nivel_riesgo, round(score, 6) AS score FROM prioritised
         ORDER BY prioritised.score DESC, unit_id LIMIT 10""",
+    "historic_top": """SELECT unit_id, round(least(indice_riesgo / 5000, 0.99), 6) AS p,
+        'Alto' AS nivel_riesgo, n_eventos, round(costo_m_cop, 6) AS costo_m_cop,
+        round(indice_riesgo / 5000, 6) AS score FROM indexed WHERE indice_riesgo > 1000
+        ORDER BY indice_riesgo DESC, unit_id LIMIT 10""",
+    "historic_band_counts": """SELECT count(*) FILTER (indice_riesgo > 1000) AS alto,
+        count(*) FILTER (indice_riesgo > 200 AND indice_riesgo <= 1000) AS medio,
+        count(*) FILTER (indice_riesgo <= 200) AS bajo FROM indexed""",
     "best_candidate": """SELECT modelo, auc_roc_full, precision_full FROM candidate_metrics
         WHERE modelo <> 'baseline_dummy' ORDER BY auc_roc_full DESC, modelo LIMIT 1""",
     "norm_text": """SELECT doc_id, md5(t) AS norm_md5,

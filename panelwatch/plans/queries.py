@@ -376,14 +376,9 @@ def event_breakdown(spark, d):
         T.stations(spark, d).select("fechaobservacion", "departamento", "evento"),
         ("urgent", "high", "low"),
     )
-    cleaned.createOrReplaceTempView("panelwatch_events")
-    return spark.sql(
-        """
-        SELECT evento, anio, mes, departamento, count(*) AS n
-        FROM panelwatch_events
-        GROUP BY GROUPING SETS ((evento), (anio), (mes), (departamento))
-        """
-    )
+    columns = ["evento", "anio", "mes", "departamento"]
+    sets = cleaned.groupingSets([[c] for c in columns], *columns)
+    return sets.agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -628,6 +623,17 @@ def priority_top(spark, d):
     )
 
 
+@query
+def historic_top(spark, d):
+    top = impact.historic_top(impact.risk_index(_impact(spark, d)))
+    return r6(top, "p", "score", "costo_m_cop")
+
+
+@query
+def historic_band_counts(spark, d):
+    return impact.historic_band_counts(impact.risk_index(_impact(spark, d)))
+
+
 @query
 def best_candidate(spark, d):
     rows = _candidate_metrics(spark, d)
