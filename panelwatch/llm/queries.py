@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import bpe, token_files
-from panelwatch.llm.common import available, digest, documents, scratch
+from panelwatch.llm import bpe, chat, quality, token_files
+from panelwatch.llm.common import available, digest, documents, scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,31 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     found = token_files.read(spark, path)
     # Spark's own crc32 of the bytes is that of zlib.
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    rows = documents(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.read_back(chat.render_conversations(rows.unionByName(extra))))
+
+
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    measured = stored(quality.features(texts(spark, folder)).drop("text"), "quality")
+    voted = quality.with_votes(measured)
+    return quality.judged(voted, quality.fit(voted)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "p_good",
+    )
