@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import bpe, chat, order_minhash, quality, token_files, urls
+from panelwatch.llm import bpe, chat, order_minhash, quality, substring, token_files, urls
 from panelwatch.llm.common import available, digest, documents, scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = documents(spark, folder, "pages").select("page_id", "url")
     model = urls.fit(spark.createDataFrame(urls.seeds(), "url string, block double"))
     return urls.judged(pages, model).select("page_id", "host", "path", "rule", "verdict", "p_block")
+
+
+@query
+def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.remove_repeats(texts(spark, folder))
+    return found.select("doc_id", "n_words", "n_removed", digest("kept").alias("kept_sha256"))
