@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import bpe, chat, order_minhash, quality, substring, token_files, urls
+from panelwatch.llm import bpe, chat, minhash, order_minhash, quality, substring, token_files, urls
 from panelwatch.llm.common import available, digest, documents, scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = substring.remove_repeats(texts(spark, folder))
     return found.select("doc_id", "n_words", "n_removed", digest("kept").alias("kept_sha256"))
+
+
+@query
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(texts(spark, folder), words=2).drop("text_hash")
