@@ -21,7 +21,9 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections.abc import Callable
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,10 @@ from panelwatch.llm.common import append_arrow
 
 #: Fixed value: the published pattern of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Marks that are a token of their own after a letter and at the end of a text.
+MARKS = frozenset(".,;:!?")
 SHORT = 96
-PIECES = 600_000
+PIECES = 250_000
 NO_PAIR = 1 << 40
 
 
@@ -65,8 +69,8 @@ class Codec:
         self.pattern = regex.compile(PATTERN)
         names = sorted(self.specials, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
-        self.words: dict[str, bytes] = {}
-        self.inner, self.first = _Pieces(self, " "), _Pieces(self, "")
+        self.words = Memory(self._packed_word)
+        self.inner = Memory(self._inner_piece)
 
     def word_ids(self, word: bytes) -> list[int]:
         ids = [self.byte_id[b] for b in word]
@@ -114,18 +118,26 @@ class Codec:
 
     def plain_ids(self, text: str) -> bytes:
         """Ids of a text without special tokens, packed."""
-        out, words = [], self.words
-        for w in self.pattern.findall(text):
-            ids = words.get(w)
-            if ids is None:
-                if len(words) >= PIECES:
-                    words.clear()
-                ids = np.array(self.word_ids(w.encode()), "<u4").tobytes()
-                words[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join([self.words[w] for w in self.pattern.findall(text)])
+
+    def _packed_word(self, word: str) -> bytes:
+        ids = self.word_ids(word.encode())
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _inner_piece(self, piece: str) -> bytes:
+        """Ids of a piece after a blank between two other characters."""
+        # Letters alone, or before one mark, need no pattern: it finds just these tokens.
+        if piece.isalpha():
+            return self.words[" " + piece]
+        if piece[-1:] in MARKS and piece[:-1].isalpha():
+            return self.words[" " + piece[:-1]] + self.words[piece[-1]]
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Blank
+        return self.piece_ids(" " + piece)
 
     def piece_ids(self, text: str) -> bytes:
+        if not text:
+            return b""
         if self.special is None or not self.special.search(text):
             return self.plain_ids(text)
         return b"".join(
@@ -138,7 +150,9 @@ class Codec:
         """Ids as little-endian unsigned 32-bit integers, one after another."""
         head, *rest = text.split(" ")
         try:
-            return self.first[head] + b"".join(map(self.inner.__getitem__, rest))
+            if rest and (not head or head[-1].isspace()):
+                raise _Blank
+            return self.piece_ids(head) + b"".join(map(self.inner.__getitem__, rest))
         except _Blank:
             return self.piece_ids(text)
 
@@ -156,24 +170,25 @@ class _Blank(Exception):
     """A piece is empty or has white space at an end: the text is cut by the pattern alone."""
 
 
-class _Pieces(dict):
-    """Packed ids by piece, filled on demand."""
+class Memory(dict):
+    """What ``make`` gives for a key, remembered in two generations of at most ``PIECES`` each.
+
+    When the young one is full it becomes the old one; keys in use come back from there.
+    """
 
-    def __init__(self, codec: Codec, lead: str):
+    def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.codec, self.lead = codec, lead
+        self.make, self.old = make, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        if not piece:
-            if self.lead:
-                raise _Blank
-            return b""
-        if piece[0].isspace() or piece[-1].isspace():
-            raise _Blank
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= PIECES:
+            self.old = dict(self)
             self.clear()
-        self[piece] = ids = self.codec.piece_ids(self.lead + piece)
-        return ids
+        self[key] = value
+        return value
 
 
 @cache

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import bpe, chat, minhash, order_minhash, quality, substring, token_files, urls
+from panelwatch.llm import bpe, chat, minhash, order_minhash, pii, quality, substring, token_files, urls
 from panelwatch.llm.common import available, digest, documents, scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,15 @@ def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(texts(spark, folder), words=2).drop("text_hash")
+
+
+@query
+def op2_personal(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(texts(spark, folder))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *(count(k.name).alias(f"n_{k.name}") for k in pii.KINDS),
+        digest(pii.listed(F.col("base"))).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )

@@ -48,7 +48,7 @@ class LibraryCodec(Codec):
         self.letters = byte_letters()
 
     def word_ids(self, word: bytes) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, word)))]
+        return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word]))]
 
 
 @cache
@@ -66,17 +66,19 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        n, rest = len(ids), ids.astype("u4")
+        n, high = len(ids), int(ids.max(initial=0))
+        rest = ids.astype("u2" if high < 1 << 16 else "u4")
         zeros, planes, ones = [], [], []
-        for level in reversed(range(max(1, int(rest.max(initial=0)).bit_length()))):
-            bit = (rest >> np.uint32(level)) & np.uint32(1)
-            plane = np.packbits(bit.astype("u1"), bitorder="little")
-            by_block = np.add.reduceat(bit, np.arange(0, n, BLOCK)) if n else np.zeros(0, "u4")
+        for level in reversed(range(max(1, high.bit_length()))):
+            bit = (rest & (1 << level)) != 0
+            plane = np.packbits(bit, bitorder="little")
+            padded = np.zeros(-(-n // BLOCK) * BLOCK // 8, "u1")
+            padded[: len(plane)] = np.bitwise_count(plane)
+            by_block = padded.reshape(-1, BLOCK // 8).sum(axis=1, dtype="u4")
             planes.append(plane.tobytes())
             ones.append(np.concatenate([[0], np.cumsum(by_block)]).astype("<u4").tobytes())
-            first = bit == 0
-            zeros.append(int(first.sum()))
-            rest = np.concatenate([rest[first], rest[~first]])
+            zeros.append(n - int(np.count_nonzero(bit)))
+            rest = np.concatenate([rest[~bit], rest[bit]])
         return cls(n, zeros, planes, ones)
 
     def _rank1(self, level: int, i: int) -> int:
@@ -137,15 +139,15 @@ class WaveletMatrix:
         return i
 
     def ids(self) -> np.ndarray:
-        """All ids: each plane's bits follow the places of the plane above."""
-        at, out = np.arange(self.n, dtype="u4"), np.zeros(self.n, "u4")
-        for level, zeros in enumerate(self.zeros):
-            bit = np.unpackbits(self.planes[level], bitorder="little")[: self.n]
-            ones = np.cumsum(bit, dtype="u4") - bit
-            target = np.where(bit, np.uint32(zeros) + ones, np.arange(self.n, dtype="u4") - ones)
-            out = out << np.uint32(1) | bit[at]
-            at = target.astype("u4")[at]
-        return out
+        """All ids, from the last plane up: each plane says whose turn it is, zeros or ones."""
+        below = np.zeros(self.n, "u4")
+        for level in reversed(range(len(self.zeros))):
+            plane = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            zeros, here = self.zeros[level], np.empty(self.n, "u4")
+            here[~plane] = below[:zeros]
+            here[plane] = below[zeros:] | np.uint32(1 << (len(self.zeros) - 1 - level))
+            below = here
+        return below
 
 
 def _shards(vocabulary: str, end_id: int, shard_tokens: int):
