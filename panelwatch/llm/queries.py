@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import bpe, chat, minhash, order_minhash, pii, quality, substring, token_files, urls
+from panelwatch.llm import bpe, chat, minhash, mixing, order_minhash, pii, quality, substring, token_files, urls
 from panelwatch.llm.common import available, digest, documents, scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,21 @@ def op2_personal(spark: SparkSession, folder: str) -> DataFrame:
         digest(pii.listed(F.col("base"))).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),
     )
+
+
+#: Production weights of the mix.
+MIX = {
+    "domain": {"web": 5, "books": 3, "forum": 1},
+    "lang": {"en": 4, "de": 2, "fr": 2, "es": 3},
+    "source": {"src0": 2, "src1": 3},
+}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.7, 2, 17
+
+
+@query
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text", "lang", "source")
+    return mixing.choose(docs, MIX, MIX_SHARE, MIX_EPOCHS, MIX_SEED).drop("text_hash")
+
+
+ORACLES["op7_mixing"] = mixing.oracle(MIX, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
