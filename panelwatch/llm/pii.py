@@ -124,14 +124,32 @@ def instances(text: Column) -> Column:
             F.regexp_replace(pattern, r"[\x20\x09-\x0D]+", " ").alias("pattern"),
         )
 
-    long_enough = lambda s: (F.length(s["token"]) >= INSTANCE_CHARS) & (s["pattern"] != "")
-    return F.filter(F.transform(found, one), long_enough)
+    return F.filter(F.transform(found, one), lambda s: s["pattern"] != "")
 
 
-def covering(base: Column, start: Column, end: Column) -> Column:
-    """Kinds of the base spans that touch a span."""
-    touching = F.filter(base, lambda b: (b["start"] < end) & (b["end"] > start))
-    return F.array_distinct(F.transform(touching, lambda b: b["kind"]))
+def with_kinds(text: Column, base: Column, found: Column) -> Column:
+    """Instances with the kinds of the fixed spans that they touch.
+
+    A fixed span counts where it begins, as a whole: its later words are no instances. Other
+    words count from ``INSTANCE_CHARS`` letters on.
+    """
+
+    def one(i: Column) -> Column:
+        touching = F.filter(base, lambda b: (b["start"] < i["end"]) & (b["end"] > i["start"]))
+        begun = F.filter(touching, lambda b: b["start"] >= i["start"])
+        first = F.get(begun, F.lit(0))
+        whole = F.substr(text, first["start"] + 1, first["end"] - first["start"])
+        return F.struct(
+            i["start"].alias("start"),
+            i["end"].alias("end"),
+            F.coalesce(whole, i["token"]).alias("token"),
+            i["pattern"].alias("pattern"),
+            F.array_distinct(F.transform(touching, lambda b: b["kind"])).alias("kinds"),
+            (F.size(begun) > 0).alias("seed"),
+        )
+
+    counts = lambda i: i["seed"] | ((F.size(i["kinds"]) == 0) & (F.length(i["token"]) >= INSTANCE_CHARS))
+    return F.filter(F.transform(found, one), counts)
 
 
 def score_patterns(occurrences: DataFrame) -> DataFrame:
@@ -181,13 +199,17 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     rows = df.select(
         F.col(key).cast("bigint").alias("doc_id"),
         F.xxhash64(text).alias("text_hash"),
+        value.alias("text"),
         base_spans(value).alias("base"),
-        instances(value).alias("instances"),
+        instances(value).alias("found"),
+    ).select(
+        "doc_id",
+        "text_hash",
+        "base",
+        with_kinds(F.col("text"), F.col("base"), F.col("found")).alias("instances"),
     )
     known = stored(rows.withColumn("row", F.monotonically_increasing_id()), "personal")
-    one = known.select("row", "base", F.explode("instances").alias("i")).select(
-        "row", "i.*", covering(F.col("base"), F.col("i.start"), F.col("i.end")).alias("kinds")
-    )
+    one = known.select("row", F.explode("instances").alias("i")).select("row", "i.*")
     patterns = score_patterns(one.select("pattern", "token", "kinds"))
     fresh = (
         one.where(F.size("kinds") == 0)
