@@ -145,10 +145,11 @@ def fold_summary(per_fold: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 
 def score_histogram(scored: DataFrame, edges: Sequence[float] = HISTOGRAM_EDGES) -> DataFrame:
-    """Positives and negatives per score band; bands are closed left, open right."""
+    """Positives and negatives per score band; bands are closed left, open right, the last closed."""
     band = F.lit(None).cast("int")
     for i, (low, high) in enumerate(zip(edges, edges[1:])):
-        band = F.when((F.col("p") >= low) & (F.col("p") < high), i).otherwise(band)
+        below = F.col("p") <= high if high == edges[-1] else F.col("p") < high
+        band = F.when((F.col("p") >= low) & below, i).otherwise(band)
     counted = (
         scored.withColumn("banda", band)
         .where(F.col("banda").isNotNull())

@@ -62,14 +62,14 @@ def with_bucket(
 ) -> DataFrame:
     """Adds a bucket number that grows with ``value``, about equally filled within each key.
 
-    ``keys`` must be few (features, folds, candidates): one row of cut points per
-    key is broadcast. The cuts are those of ``sample`` if given, else of ``df``.
+    The cuts are those of ``sample`` if given, else of ``df``: one row for each key, joined
+    as Spark sees fit, since keys may be many.
     """
     bits = bits or bucket_bits(df)
     source = df if sample is None else sample
     if keys:
         cuts = source.groupBy(*keys).agg(_cut_points(value, bits).alias("_cuts"))
-        df = df.join(F.broadcast(cuts), list(keys), "left")
+        df = df.join(cuts, list(keys), "left")
     else:
         df = df.withColumn("_cuts", source.agg(_cut_points(value, bits)).scalar())
     return df.withColumn(name, _bucket(F.col(value), F.col("_cuts"), bits)).drop("_cuts")
@@ -111,8 +111,9 @@ def cumulative_by_value(
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Offsets have 2**bits rows for each of a few keys: a proven bound.
-    return bucketed.join(F.broadcast(offsets), [*keys, "_bucket"]).select(
+    # Without keys the offsets are 2**bits rows, a proven bound; keys may be many.
+    offsets = offsets if keys else F.broadcast(offsets)
+    return bucketed.join(offsets, [*keys, "_bucket"]).select(
         *keys,
         value,
         *sums,

@@ -32,7 +32,6 @@ from panelwatch.settings import MODEL_FEATURES, TARGET, Settings
 
 KEYS = ["week_start", "unit_id"]
 SEED = 42
-MIN_ROWS_PER_TASK = 5_000
 CV_METRICS = ("auc_roc", "f1", "precision", "recall")
 
 
@@ -96,9 +95,7 @@ class Prepared:
         vectors = transformer.transform(rows).select(
             *KEYS, "features", "label", weight.alias("weight")
         )
-        # Fitting runs many short passes: keep tasks from being nearly empty.
-        parts = max(1, n // MIN_ROWS_PER_TASK)
-        return Prepared(vectors.coalesce(parts).persist(), transformer, features, n, pos)
+        return Prepared(vectors.persist(), transformer, features, n, pos)
 
     def release(self) -> None:
         self.rows.unpersist()

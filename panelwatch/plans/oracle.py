@@ -69,8 +69,8 @@ def _season(week_day: str, month_day: str) -> str:
 
 
 PARTS["daily"] = """(SELECT CAST(l_shipdate AS DATE) AS fecha, sum(l_quantity) AS mm
-  FROM lineitem WHERE round(l_discount * 100) = 3 GROUP BY 1)"""
-PARTS["gapped"] = "(SELECT fecha, mm FROM daily WHERE day(fecha) % 11 <> 0)"
+  FROM lineitem GROUP BY 1)"""
+PARTS["gapped"] = "(SELECT fecha, mm FROM unit_daily WHERE unit_id = 1)"
 PARTS["unit_daily"] = """(SELECT l_suppkey AS unit_id, CAST(l_shipdate AS DATE) AS fecha,
   sum(l_quantity) AS mm FROM lineitem GROUP BY 1, 2)"""
 PARTS["unit"] = """(SELECT s_suppkey AS unit_id, s_acctbal AS up_area,
@@ -81,7 +81,7 @@ PARTS["hazard"] = """(SELECT CAST(l_shipdate AS DATE) AS fecha, l_suppkey AS uni
   CAST(0 AS DOUBLE) AS desaparecidos, l_quantity AS personas, CAST(0 AS DOUBLE) AS familias,
   CAST(l_partkey % 4 AS DOUBLE) AS viviendas_destruidas,
   CAST(l_suppkey % 6 AS DOUBLE) AS viviendas_averiadas
-  FROM lineitem WHERE l_returnflag = 'R' AND round(l_discount * 100) = 10)"""
+  FROM lineitem WHERE l_returnflag = 'R')"""
 PARTS["station_raw"] = """(SELECT o_orderkey AS id,
   CASE WHEN o_orderkey % 17 = 0 THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS fecha_txt,
   CASE WHEN o_orderkey % 19 = 0 THEN CAST(-floor(o_totalprice / 1000) - 1 AS BIGINT)
@@ -256,10 +256,8 @@ def _long(source: str, features=RAIN_FEATURES, ids: str = "") -> str:
 
 
 PARTS["before_long"] = f"""({_long("enriched", ids="week_start, unit_id")})"""
-PARTS["drift_kept"] = """(SELECT feature, value FROM (
-  SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY week_start, unit_id) AS r,
-    count(*) OVER (PARTITION BY feature) AS n
-  FROM before_long WHERE week_start < DATE '1999-01-01') WHERE (r - 1) % greatest(1, n // 500) = 0)"""
+PARTS["drift_kept"] = """(SELECT feature, value FROM before_long
+  WHERE week_start < DATE '1999-01-01')"""
 PARTS["drift_both"] = """(SELECT feature, value, 1 AS a, 0 AS b FROM drift_kept UNION ALL
   SELECT feature, value, 0, 1 FROM before_long WHERE week_start >= DATE '1999-01-01')"""
 _TAIL = " + ".join(
@@ -338,13 +336,21 @@ def _statement(body: str) -> str:
 
 
 _BODIES: dict[str, str] = {
-    "feed_capped": """SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders
-        ORDER BY o_orderdate, o_orderkey LIMIT 5000""",
-    "per_month_cap": """SELECT mes_inicio, o_orderkey, rank FROM (
-        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes_inicio, o_orderkey,
-          row_number() OVER (PARTITION BY date_trunc('month', o_orderdate)
-                             ORDER BY o_orderdate, o_orderkey) AS rank
-        FROM orders WHERE o_orderstatus <> 'P') WHERE rank <= 40""",
+    "feed_records": "SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders",
+    "month_extracts": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes_inicio, o_orderkey
+        FROM orders WHERE o_orderstatus <> 'P'""",
+    "week_document": """WITH q AS (SELECT week_start, unit_id, CAST(printf('%.4f', p) AS DOUBLE) AS p,
+          strftime(week_start, '%Y-%m-%d') || '/' || strftime(week_start + 6, '%Y-%m-%d') AS semana FROM scored),
+        b AS (SELECT *, CASE WHEN p < 0.3 THEN 'Bajo' WHEN p < 0.6 THEN 'Medio' ELSE 'Alto' END AS nivel FROM q)
+        SELECT week_start, unit_id, semana, unit_id AS hybas_id, p, nivel AS nivel_riesgo,
+          nivel = 'Alto' AS alto_riesgo, NULL::BIGINT AS n_cuencas, NULL::BIGINT AS alto, NULL::BIGINT AS medio,
+          NULL::BIGINT AS bajo, NULL::VARCHAR AS feature FROM b
+        UNION ALL SELECT week_start, NULL, semana, NULL, NULL, NULL, NULL, count(*),
+          count(*) FILTER (nivel = 'Alto'), count(*) FILTER (nivel = 'Medio'), count(*) FILTER (nivel = 'Bajo'),
+          'precip_acum_14d' FROM b GROUP BY week_start, semana""",
+    "geojson_features": """SELECT 'Feature/Polygon' AS tipo, unit_id, count(*) AS n_puntos,
+        5::BIGINT AS n_vertices, round(cx + 0.05, 6) AS x, round(cy, 6) AS y
+        FROM located JOIN diamond USING (unit_id) GROUP BY unit_id, cx, cy""",
     "bbox_daily_mean": """SELECT fecha, round(coalesce(m, 0.0), 6) AS precip_mm FROM (
           SELECT CAST(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)),
             INTERVAL 1 DAY)) AS DATE) AS fecha FROM events)
@@ -415,8 +421,8 @@ _BODIES: dict[str, str] = {
              WHEN indice_riesgo > 200 THEN 'Medio' ELSE 'Bajo' END END,
         CASE WHEN up_area > 8000 OR ord >= 5 THEN 'Medio' WHEN up_area > 1000 OR ord >= 3
              THEN 'Bajo-Medio' ELSE 'Bajo' END) AS nivel
-        FROM indexed LEFT JOIN (SELECT unit_id, p FROM scored WHERE p >= 0.05 AND week_start =
-          (SELECT max(week_start) FROM scored WHERE p >= 0.05)) USING (unit_id)""",
+        FROM indexed LEFT JOIN (SELECT unit_id, p FROM scored WHERE week_start =
+          (SELECT max(week_start) FROM scored)) USING (unit_id)""",
     "weekly_dataset": f"""SELECT r.week_start, {", ".join(RAIN_FEATURES)}, soil_moisture_14d,
         CAST(coalesce(n, 0) AS BIGINT) AS n_deslizamientos FROM rain r
         LEFT JOIN soil s ON r.week_start = s.week_start
@@ -436,7 +442,7 @@ _BODIES: dict[str, str] = {
     "panel_grid": "SELECT * FROM grid",
     "pseudo_absence": "SELECT * FROM selected",
     "inactive_units": """SELECT unit_id FROM unit WHERE unit_id NOT IN
-        (SELECT unit_id FROM hazard WHERE fecha >= DATE '2001-06-01')""",
+        (SELECT unit_id FROM hazard)""",
     "unit_population": "SELECT unit_id, poblacion_estimada FROM populated",
     "daily_station": """SELECT fecha, sum(precip_mm) AS precip_diaria, count(*) AS n_estaciones
         FROM station GROUP BY 1""",
@@ -511,7 +517,7 @@ _BODIES: dict[str, str] = {
     "score_hist": """SELECT desde, hasta, count(*) AS n, count(*) FILTER (y = 1) AS n_pos,
         count(*) FILTER (y = 0) AS n_neg FROM scored JOIN (VALUES (0.0::DOUBLE, 0.1::DOUBLE),
         (0.1, 0.3), (0.3, 0.5), (0.5, 0.7), (0.7, 0.9), (0.9, 1.0)) b(desde, hasta)
-        ON p >= desde AND p < hasta GROUP BY 1, 2""",
+        ON p >= desde AND (p < hasta OR hasta = 1 AND p = 1) GROUP BY 1, 2""",
     "separability": """WITH s AS (SELECT deslizamiento AS clase, precip_acum_14d AS v FROM selected
           JOIN rain USING (week_start) WHERE precip_acum_14d IS NOT NULL)
         SELECT clase, count(*) AS n, min(v) AS minimo, max(v) AS maximo,
@@ -520,7 +526,7 @@ _BODIES: dict[str, str] = {
           (SELECT min(v) FROM s WHERE clase = 1) <= (SELECT max(v) FROM s WHERE clase = 0) AS solapan
         FROM s GROUP BY clase""",
     "active_units": """SELECT activa, count(*) AS n_unidades, round(median(sub_area), 6) AS mediana_area
-        FROM (SELECT sub_area, unit_id IN (SELECT unit_id FROM hazard WHERE fecha >= DATE '2001-06-01')
+        FROM (SELECT sub_area, unit_id IN (SELECT unit_id FROM hazard)
               AS activa FROM unit) GROUP BY 1""",
     "proxy_guard": """SELECT caso, w AS all_whole, m AS max_value, w AND m < 20 AS is_proxy FROM (
         SELECT 'lluvia' AS caso, coalesce(bool_and(coalesce(precip_acum_14d % 1 = 0, FALSE)), TRUE) AS w,
@@ -532,7 +538,6 @@ _BODIES: dict[str, str] = {
         round(stddev_pop(value), 6) AS std, round(quantile_cont(value, 0.25), 6) AS p25,
         round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75
         FROM before_long WHERE week_start < DATE '1999-01-01' GROUP BY 1""",
-    "drift_sample": "SELECT feature, value, count(*) AS n FROM drift_kept GROUP BY 1, 2",
     "ks_drift": """SELECT feature, round(estadistico_ks, 6) AS estadistico_ks, n_referencia,
         n_produccion, round(p_value, 6) AS p_value, p_value < 0.05 AS drift FROM drift_tested""",
     "drift_features": """SELECT coalesce(bool_or(p_value < 0.05), FALSE) AS drift_detectado,
@@ -547,7 +552,7 @@ _BODIES: dict[str, str] = {
         CAST(lead(n_deslizamientos) OVER (ORDER BY week_start) > 0 AS INTEGER) AS deslizamiento
         FROM (SELECT week_start, coalesce(n, 0) AS n_deslizamientos FROM rain LEFT JOIN (
           SELECT CAST(date_trunc('week', fecha) AS DATE) AS week_start, count(*) AS n FROM hazard
-          WHERE fallecidos = 2 AND heridos = 4 GROUP BY 1) USING (week_start))""",
+          GROUP BY 1) USING (week_start))""",
     "target_by_unit": """SELECT week_start, unit_id, deslizamiento FROM (SELECT week_start, unit_id,
         lead(deslizamiento) OVER (PARTITION BY unit_id ORDER BY week_start) AS deslizamiento
         FROM selected) WHERE deslizamiento IS NOT NULL""",

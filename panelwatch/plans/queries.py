@@ -54,18 +54,17 @@ def day(text: str):
 
 
 @query
-def feed_capped(spark, d):
+def feed_records(spark, d):
     feed = T.table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    return landing.capped_feed(feed, 5_000, "o_orderdate", "o_orderkey")
+    open_, closed = (feed.where(F.col("o_orderkey") % 2 == i) for i in (0, 1))
+    return landing.whole_feed(open_, closed)
 
 
 @query
-def per_month_cap(spark, d):
+def month_extracts(spark, d):
     rows = T.table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
-    capped = landing.capped_months(
-        rows, 40, "o_orderdate", "o_orderkey", F.col("o_orderstatus") != "P"
-    )
-    return capped.select("mes_inicio", "o_orderkey", F.col("rank").cast("bigint").alias("rank"))
+    months = landing.monthly_extracts(rows, "o_orderdate", F.col("o_orderstatus") != "P")
+    return months.select("mes_inicio", "o_orderkey")
 
 
 @query
@@ -93,8 +92,29 @@ def missing_dates(spark, d):
 
 @query
 def week_document(spark, d):
+    """The written lines, read back into columns."""
     published = sinks.predictions(T.scored(spark, d), F.lit("2002-01-01").cast("timestamp"))
-    return sinks.week_documents(published, ["precip_acum_14d"])
+    lines = sinks.week_documents(published, ["precip_acum_14d"])
+    form = (
+        "semana string, hybas_id bigint, probabilidad_deslizamiento double, nivel_riesgo string, "
+        "alto_riesgo boolean, n_cuencas bigint, resumen struct<alto bigint, medio bigint, bajo bigint>, "
+        "features_usadas array<string>"
+    )
+    read = lines.select("week_start", "unit_id", F.from_json("documento", form).alias("j"))
+    return read.select(
+        "week_start",
+        "unit_id",
+        "j.semana",
+        "j.hybas_id",
+        F.col("j.probabilidad_deslizamiento").alias("p"),
+        "j.nivel_riesgo",
+        "j.alto_riesgo",
+        "j.n_cuencas",
+        "j.resumen.alto",
+        "j.resumen.medio",
+        "j.resumen.bajo",
+        F.get("j.features_usadas", F.lit(0)).alias("feature"),
+    )
 
 
 @query
@@ -107,7 +127,24 @@ def week_band_counts(spark, d):
 def geojson_features(spark, d):
     hit = spatial.point_in_polygon(T.points(spark, d), T.diamonds(spark), "id")
     counts = hit.groupBy("unit_id").agg(F.count(F.lit(1)).alias("n_puntos"))
-    return sinks.geojson_features(T.diamonds(spark).join(counts, "unit_id"), ["unit_id", "n_puntos"])
+    lines = sinks.geojson_features(
+        T.diamonds(spark).join(counts, "unit_id"), ["unit_id", "n_puntos"]
+    )
+    form = (
+        "type string, properties struct<unit_id bigint, n_puntos bigint>, "
+        "geometry struct<type string, coordinates array<array<array<double>>>>"
+    )
+    read = lines.select(F.from_json("feature", form).alias("j"))
+    ring = F.get("j.geometry.coordinates", F.lit(0))
+    corner = lambda i, k: F.round(F.get(F.get(ring, F.lit(i)), F.lit(k)), 6)
+    return read.select(
+        F.concat_ws("/", "j.type", "j.geometry.type").alias("tipo"),
+        "j.properties.unit_id",
+        "j.properties.n_puntos",
+        F.size(ring).cast("bigint").alias("n_vertices"),
+        corner(0, 0).alias("x"),
+        corner(0, 1).alias("y"),
+    )
 
 
 @query
@@ -221,7 +258,7 @@ def risk_bands(spark, d):
 @query
 def fallback_band(spark, d):
     index = impact.risk_index(_impact(spark, d)).where(F.col("n_eventos") > 0)
-    week = panel.latest_week(T.scored(spark, d).where(F.col("p") >= 0.05))
+    week = panel.latest_week(T.scored(spark, d))
     known = week.select("unit_id", risk.band(F.col("p")).alias("_pred"))
     rows = (
         T.units(spark, d)
@@ -303,8 +340,7 @@ def pseudo_absence(spark, d):
 
 @query
 def inactive_units(spark, d):
-    recent = T.hazards(spark, d).where(F.col("fecha") >= day("2001-06-01"))
-    return panel.inactive_units(T.units(spark, d), recent).select("unit_id")
+    return panel.inactive_units(T.units(spark, d), T.hazards(spark, d)).select("unit_id")
 
 
 @query
@@ -462,8 +498,7 @@ def separability(spark, d):
 
 @query
 def active_units(spark, d):
-    recent = T.hazards(spark, d).where(F.col("fecha") >= day("2001-06-01"))
-    return r6(panel.active_unit_areas(T.units(spark, d), recent), "mediana_area")
+    return r6(panel.active_unit_areas(T.units(spark, d), T.hazards(spark, d)), "mediana_area")
 
 
 @query
@@ -488,13 +523,6 @@ def drift_reference(spark, d):
     return r6(out, "mean", "std", "p25", "p50", "p75")
 
 
-@query
-def drift_sample(spark, d):
-    before = _enriched(spark, d).where(F.col("week_start") < day(DRIFT_START))
-    sample = drift.reference_sample(before, RAIN_FEATURES)
-    return sample.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query
 def ks_drift(spark, d):
     return r6(_drift(spark, d), "estadistico_ks", "p_value")
@@ -542,8 +570,7 @@ def weekly_soil_features(spark, d):
 
 @query
 def target_next_week(spark, d):
-    severe = T.hazards(spark, d).where((F.col("fallecidos") == 2) & (F.col("heridos") == 4))
-    weekly = panel.event_counts(severe, keys=())
+    weekly = panel.event_counts(T.hazards(spark, d), keys=())
     dense = T.weekly_rain(spark, d).select("week_start").join(weekly, "week_start", "left")
     counted = dense.select(
         "week_start", F.coalesce("n_eventos", F.lit(0)).cast("bigint").alias("n_deslizamientos")
@@ -932,7 +959,7 @@ def _fold_scores(spark, d):
 
 def _drift(spark, d):
     cells = _enriched(spark, d)
-    reference = drift.reference_sample(
+    reference = panel.unpivot_features(
         cells.where(F.col("week_start") < day(DRIFT_START)), RAIN_FEATURES
     )
     recent = panel.unpivot_features(

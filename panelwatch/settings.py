@@ -14,16 +14,6 @@ HYDRO_KEYWORDS = (
     "movimiento en masa",
     "flujo de lodo",
 )
-LANDSLIDE_KEYWORDS = (
-    "deslizamiento",
-    "derrumbe",
-    "movimiento en masa",
-    "flujo de lodo",
-    "flujo de detritos",
-    "caida de roca",
-    "reptacion",
-)
-IMPACT_KEYWORDS = ("deslizamiento", "derrumbe", "movimiento en masa", "remocion")
 
 RAIN_FEATURES = (
     "precip_acum_14d",
@@ -87,7 +77,6 @@ class Settings:
     promote_precision: float = 0.006
     drift_alpha: float = 0.05
     drift_min_rows: int = 10
-    drift_sample: int = 500
     logistic_c: float = 0.57
     forest_trees: int = 183
     forest_depth: int = 6

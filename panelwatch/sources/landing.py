@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwatch.functions.columns import pick_column, to_double, to_timestamp
 from panelwatch.functions.text import fold, has_keyword, matches_keyword
-from panelwatch.operators.ordering import top_k_per_group
 from panelwatch.settings import HYDRO_KEYWORDS
 
 STATION_SCHEMA = T.StructType(
@@ -48,37 +49,15 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def capped_feed(records: DataFrame, cap: int, day: str, row_id: str) -> DataFrame:
-    """The first ``cap`` records by date, then id.
-
-    Records are counted per day to find the day in which the cap falls. Earlier days
-    are kept whole without sorting; only that day is cut, by a salted top-k.
-    """
-    dated = records.where(F.col(day).isNotNull())
-    per_day = dated.groupBy(F.to_date(day).alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per day of the calendar.
-    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    running = per_day.select(
-        "_day", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
-    keep = running.where(F.col("_before") < cap)
-    placed = dated.withColumn("_day", F.to_date(day)).join(F.broadcast(keep), "_day")
-    whole = placed.where(F.col("_before") + F.col("_n") <= cap)
-    cut = placed.where(F.col("_before") + F.col("_n") > cap)
-    order = [F.asc(day), F.asc(row_id)]
-    first = top_k_per_group(cut, ["_day"], order, cap - F.col("_before"), [row_id])
-    return whole.select(*records.columns).unionByName(first.select(*records.columns))
+def whole_feed(*pages: DataFrame) -> DataFrame:
+    """All records of all landed pages, dated or not; a record on two pages is kept once."""
+    return reduce(DataFrame.unionByName, pages).distinct()
 
 
-def capped_months(
-    readings: DataFrame, cap: int, day: str, row_id: str, where: Column | None = None
-) -> DataFrame:
-    """At most ``cap`` readings of each month, earliest first."""
+def monthly_extracts(readings: DataFrame, day: str, where: Column | None = None) -> DataFrame:
+    """All readings with the month of their extract, ``mes_inicio``; null where undated."""
     chosen = readings if where is None else readings.where(where)
-    months = chosen.where(F.col(day).isNotNull()).withColumn(
-        "mes_inicio", F.trunc(day, "month")
-    )
-    return top_k_per_group(months, ["mes_inicio"], [F.asc(day), F.asc(row_id)], cap, [row_id])
+    return chosen.withColumn("mes_inicio", F.trunc(day, "month"))
 
 
 def bbox_daily_mean(
@@ -189,7 +168,7 @@ def daily_stations(readings: DataFrame) -> DataFrame:
     )
 
 
-# Request rules: column, smallest allowed, whether that value itself is allowed, largest.
+# Fixed values. Request rules: column, smallest allowed, whether that value itself is allowed, largest.
 INPUT_RULES = (
     ("precip_acum_14d", 0.0, True, None),
     ("precip_acum_7d", 0.0, True, None),
@@ -205,7 +184,6 @@ INPUT_RULES = (
     ("mes_sin", -1.0, True, 1.0),
     ("mes_cos", -1.0, True, 1.0),
 )
-MAX_BATCH = 549
 
 
 def with_violations(rows: DataFrame, rules=INPUT_RULES) -> DataFrame:
@@ -225,11 +203,3 @@ def split_valid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     checked = with_violations(rows)
     good = F.size("violaciones") == 0
     return checked.where(good).drop("violaciones"), checked.where(~good)
-
-
-def check_batch(rows: DataFrame, largest: int = MAX_BATCH) -> int:
-    """Number of rows of one request, which must be between 1 and 549."""
-    n = rows.limit(largest + 1).count()
-    if not 1 <= n <= largest:
-        raise ValueError(f"a batch has 1 to {largest} rows")
-    return n

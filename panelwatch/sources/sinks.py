@@ -12,17 +12,19 @@ from panelwatch.functions.risk import LEVELS, band, published_probability
 from panelwatch.functions.rounding import exact_round
 from panelwatch.operators.panel import panel_years
 
-DOCUMENT_ROWS = 10_000
+#: Writers for the units of one week.
+WEEK_WRITERS = 16
 
 
 def write_panel(cells: DataFrame, path: str) -> None:
     """Parquet by year of the week, so that a span of years or one week reads few files.
 
-    Rows are spread by week within a year before writing; a year is not one task.
+    Rows are spread by week and by a hash of the unit, so that neither a year nor a week
+    is one task.
     """
     labelled = panel_years(cells).withColumn("anio_semana", week_label(F.col("week_start")))
     (
-        labelled.repartition("year", "week_start")
+        labelled.repartition("year", "week_start", F.pmod(F.xxhash64("unit_id"), F.lit(WEEK_WRITERS)))
         .sortWithinPartitions("week_start", "unit_id")
         .write.mode("overwrite")
         .partitionBy("year")
@@ -56,49 +58,38 @@ def band_counts(published: DataFrame, keys: Sequence[str] = ("week_start",)) ->
     )
 
 
-def week_documents(
-    published: DataFrame, features: Sequence[str], rows_per_document: int = DOCUMENT_ROWS
-) -> DataFrame:
-    """JSON document of each week: results, high-risk units, counts per band.
+def week_documents(published: DataFrame, features: Sequence[str]) -> DataFrame:
+    """week_start, unit_id, documento: JSON lines that make up the document of each week.
 
-    A week with more units than ``rows_per_document`` is written as several parts of
-    one document, by hash of the unit; every part repeats the counts of the whole week.
-    Thus no task has to hold a week of unbounded size.
+    One line for each unit, and one with the counts per band of the whole week, whose
+    ``unit_id`` is null: the same form for any number of units, and no list that grows.
+    High-risk units are marked in their own lines.
     """
-    counts = band_counts(published)
-    parts = F.ceil(F.col("n_cuencas") / rows_per_document)
-    # One row per week of the calendar.
-    counted = published.join(F.broadcast(counts), "week_start").withColumn(
-        "parte", F.pmod(F.xxhash64("unit_id"), parts)
-    )
+    semana = week_label(F.col("week_start")).alias("semana")
     result = F.struct(
+        semana,
         F.col("unit_id").alias("hybas_id"),
         "probabilidad_deslizamiento",
         "nivel_riesgo",
+        (F.col("nivel_riesgo") == LEVELS[2]).alias("alto_riesgo"),
         "timestamp",
     )
-    high = F.when(F.col("nivel_riesgo") == LEVELS[2], F.col("unit_id"))
-    grouped = counted.groupBy("week_start", "parte").agg(
-        F.first("n_cuencas").alias("n_cuencas"),
-        F.array_sort(F.collect_list(result)).alias("resultados"),
-        F.array_sort(F.collect_list(high)).alias("alto_riesgo"),
-        *[F.first(level.lower()).alias(level.lower()) for level in LEVELS],
-        F.max("timestamp").alias("generado_utc"),
-    )
-    document = F.struct(
-        week_label(F.col("week_start")).alias("semana"),
+    units = published.select("week_start", "unit_id", F.to_json(result).alias("documento"))
+    stamps = published.groupBy("week_start").agg(F.max("timestamp").alias("generado_utc"))
+    summary = F.struct(
+        semana,
         "n_cuencas",
-        "resultados",
-        "alto_riesgo",
         F.struct("alto", "medio", "bajo").alias("resumen"),
         "generado_utc",
         F.array(*[F.lit(f) for f in features]).alias("features_usadas"),
     )
-    return grouped.select("week_start", "parte", F.to_json(document).alias("documento"))
+    weeks = band_counts(published).join(stamps, "week_start")
+    no_unit = F.lit(None).cast(published.schema["unit_id"].dataType).alias("unit_id")
+    return units.unionByName(weeks.select("week_start", no_unit, F.to_json(summary).alias("documento")))
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    """One folder per week, one line per part."""
+    """One folder per week, one line per unit and one for the week."""
     lines = documents.select("week_start", "documento")
     lines.write.mode("overwrite").partitionBy("week_start").text(path)
 

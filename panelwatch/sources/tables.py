@@ -31,20 +31,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def daily_signal(spark: SparkSession, folder: str) -> DataFrame:
     """One regional series: fecha, precip_mm."""
     lines = table(spark, folder, "lineitem")
-    return (
-        lines.where((F.col("l_discount") >= 0.025) & (F.col("l_discount") < 0.035))
-        .groupBy(F.to_date("l_shipdate").alias("fecha"))
-        .agg(F.sum("l_quantity").alias("precip_mm"))
+    return lines.groupBy(F.to_date("l_shipdate").alias("fecha")).agg(
+        F.sum("l_quantity").alias("precip_mm")
     )
 
 
 def gapped_signal(spark: SparkSession, folder: str) -> DataFrame:
-    """The regional series with days missing, for gap handling: fecha, soil_moisture_m3m3."""
-    return (
-        daily_signal(spark, folder)
-        .where(F.dayofmonth("fecha") % 11 != 0)
-        .select("fecha", F.col("precip_mm").alias("soil_moisture_m3m3"))
-    )
+    """The series of one unit, which has days without readings: fecha, soil_moisture_m3m3."""
+    readings = readings_by_unit(spark, folder).where(F.col("unit_id") == 1)
+    return readings.groupBy("fecha").agg(F.sum("precip_mm").alias("soil_moisture_m3m3"))
 
 
 def readings_by_unit(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,12 +64,8 @@ def units(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hazards(spark: SparkSession, folder: str) -> DataFrame:
-    """Event log placed in units, with consequence counts."""
-    lines = table(spark, folder, "lineitem").where(
-        (F.col("l_returnflag") == "R")
-        & (F.col("l_discount") >= 0.095)
-        & (F.col("l_discount") < 0.105)
-    )
+    """Event log placed in units, with consequence counts: every returned line is an event."""
+    lines = table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
     return lines.select(
         F.to_date("l_shipdate").alias("fecha"),
         F.col("l_suppkey").alias("unit_id"),

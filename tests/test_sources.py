@@ -41,20 +41,18 @@ def test_column_names_are_sniffed(spark):
         la.clean_events(df.select("Tipo_x"))
 
 
-@pytest.mark.parametrize("cap", [1, 7, 40, 99, 100, 500])
-def test_feed_cap_inside_a_hot_day(spark, cap):
-    hot = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5)
-    df = spark.range(100).select("id", F.date_add(F.lit("2021-01-01").cast("date"), hot.cast("int")).alias("d"))
-    want = sorted(df.collect(), key=lambda r: (r.d, r.id))[:cap]
-    assert sorted(la.capped_feed(df, cap, "d", "id").collect(), key=lambda r: (r.d, r.id)) == want
+def test_a_feed_is_read_whole(spark):
+    df = spark.createDataFrame([(1, None), (2, date(2021, 1, 5)), (3, date(2021, 1, 4))], "id int, d date")
+    got = la.whole_feed(df.where("id < 3"), df.where("id > 1"))
+    assert sorted(r.id for r in got.collect()) == [1, 2, 3]
 
 
-def test_month_cap_and_filter(spark):
+def test_monthly_extracts_keep_every_reading(spark):
     df = spark.range(90).select(
         "id", F.date_add(F.lit("2021-01-01").cast("date"), F.col("id").cast("int")).alias("d")
     )
-    got = la.capped_months(df, 5, "d", "id", F.col("id") > 0).toPandas()
-    assert got.groupby("mes_inicio").id.min().tolist() == [1, 31, 59] and len(got) == 15
+    got = la.monthly_extracts(df, "d", F.col("id") > 0).toPandas()
+    assert got.groupby("mes_inicio").id.min().tolist() == [1, 31, 59] and len(got) == 89
 
 
 def test_raster_days_without_valid_cells(spark):
@@ -87,13 +85,6 @@ def test_rules_quarantine_with_reasons(spark):
     assert sorted(tuple(r.violaciones) for r in bad.collect()) == [("precip_acum_7d",), ("up_area", "mes_sin")]
 
 
-def test_batch_size(spark):
-    assert la.check_batch(spark.range(549)) == 549
-    for n in (0, 550):
-        with pytest.raises(ValueError):
-            la.check_batch(spark.range(n))
-
-
 def published(spark, units=7):
     rows = [(date(2021, 1, 4), u, u / 10 + 0.00005) for u in range(units)]
     df = spark.createDataFrame(rows, "week_start date, unit_id long, p double")
@@ -101,19 +92,25 @@ def published(spark, units=7):
 
 
 def test_document(spark):
-    row = si.week_documents(published(spark), ["x", "y"]).first()
-    doc = json.loads(row.documento)
-    assert doc["semana"] == "2021-01-04/2021-01-10" and doc["n_cuencas"] == 7
-    assert doc["alto_riesgo"] == [6] and doc["resumen"] == {"alto": 1, "medio": 3, "bajo": 3}
-    assert [r["hybas_id"] for r in doc["resultados"]] == list(range(7))
-    assert doc["features_usadas"] == ["x", "y"]
-
-
-def test_document_parts_keep_every_unit_and_the_weeks_counts(spark):
-    docs = [json.loads(r.documento) for r in si.week_documents(published(spark, 300), [], 50).collect()]
-    assert len(docs) > 1
-    assert sorted(r["hybas_id"] for d in docs for r in d["resultados"]) == list(range(300))
-    assert {d["n_cuencas"] for d in docs} == {300}
+    lines = {r.unit_id: json.loads(r.documento) for r in si.week_documents(published(spark), ["x", "y"]).collect()}
+    week = lines.pop(None)
+    assert week["semana"] == "2021-01-04/2021-01-10" and week["n_cuencas"] == 7
+    assert week["resumen"] == {"alto": 1, "medio": 3, "bajo": 3} and week["features_usadas"] == ["x", "y"]
+    assert [u for u, r in lines.items() if r["alto_riesgo"]] == [6]
+    assert sorted(r["hybas_id"] for r in lines.values()) == list(range(7))
+
+
+def test_document_has_one_form_at_any_size(spark):
+    lines = si.week_documents(published(spark, 30_000), []).groupBy(F.col("unit_id").isNull().alias("week")).count()
+    assert {r.week: r["count"] for r in lines.collect()} == {False: 30_000, True: 1}
+
+
+def test_a_week_is_written_by_several_tasks(spark, tmp_path):
+    rows = [(date(2021, 1, 4), u, 0) for u in range(200)]
+    df = spark.createDataFrame(rows, "week_start date, unit_id long, deslizamiento int")
+    si.write_panel(df, str(tmp_path / "w"))
+    assert len(list((tmp_path / "w").rglob("*.parquet"))) > 1
+    assert la.read_panel(spark, str(tmp_path / "w")).count() == 200
 
 
 def test_log_drops_nulls_and_the_id_and_appends(spark, tmp_path):
