@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwatch.functions.columns import safe_ratio
-from panelwatch.operators.ordering import average_ranks, cumulative_by_value, exact_quantiles
+from panelwatch.operators.ordering import cumulative_by_value, exact_quantiles
 
 HISTOGRAM_EDGES = (0.0, 0.1, 0.3, 0.5, 0.7, 0.9, 1.0)
 
@@ -179,12 +179,6 @@ def separability(cells: DataFrame, value: str, label: str = "y") -> DataFrame:
     return stats.join(quartiles, "clase").withColumn("solapan", low_positive <= top_negative)
 
 
-def with_average_rank(df: DataFrame, value: str) -> DataFrame:
-    """Joins the average rank of its value to every row that has one."""
-    ranks = average_ranks(df, value).select(value, "avg_rank")
-    return df.join(ranks, value)
-
-
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All pairs as (a, b, r), rows with a null in the pair left out, from one pass."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
@@ -208,6 +202,18 @@ def _two_sided_normal(z):
     return poly * F.exp(-x * x)
 
 
+def _correlation_p(r, n):
+    """Two-sided large-sample p-value of a correlation of ``n`` pairs."""
+    return _two_sided_normal(r * F.sqrt((n - 2) / (1 - r * r)))
+
+
+def significant(tested: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """``tested`` with the flag of its p-value and its place by p-value, then name."""
+    order = Window.orderBy("p_value", "feature")  # one row for each feature
+    flag = (F.col("p_value") < alpha).alias("significativa")
+    return tested.select("*", flag, F.row_number().over(order).cast("bigint").alias("orden"))
+
+
 def point_biserial(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """r between each feature and a 0/1 label, with a large-sample p-value."""
     row = df.agg(
@@ -219,27 +225,34 @@ def point_biserial(df: DataFrame, features: Sequence[str], label: str) -> DataFr
     )
     fields = ", ".join(f"'{f}', `{f}|r`, `{f}|n`" for f in features)
     long = row.selectExpr(f"stack({len(features)}, {fields}) as (feature, r, n)")
-    t = F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r")))
-    return long.select(
-        "feature", F.col("n").cast("bigint").alias("n"), "r", _two_sided_normal(t).alias("p_value")
-    )
+    p = _correlation_p(F.col("r"), F.col("n"))
+    return long.select("feature", F.col("n").cast("bigint").alias("n"), "r", p.alias("p_value"))
+
 
+def spearman(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Rank correlation of each feature with a label, and a large-sample p-value.
 
-def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Rank correlation: Pearson over average ranks, on distinct pairs with their counts."""
+    Pearson over average ranks, on distinct pairs with their counts; all features in one pass.
+    """
+    named = F.array(
+        *[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_a")) for f in features]
+    )
     pairs = (
-        df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-        .groupBy(F.col(a).cast("double").alias("_a"), F.col(b).cast("double").alias("_b"))
+        df.select(F.explode(named).alias("_x"), F.col(label).cast("double").alias("_b"))
+        .select("_x.*", "_b")
+        .where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+        .groupBy("feature", "_a", "_b")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
 
     def ranks(c):
-        runs = cumulative_by_value(pairs.select(c, "_n"), c, ["_n"])
-        return runs.select(c, (F.col("_n_cum") - (F.col("_n") - 1) / 2.0).alias(f"{c}_rank"))
+        runs = cumulative_by_value(pairs.select("feature", c, "_n"), c, ["_n"], ["feature"])
+        rank = F.col("_n_cum") - (F.col("_n") - 1) / 2.0
+        return runs.select("feature", c, rank.alias(f"{c}_rank"))
 
-    ranked = pairs.join(ranks("_a"), "_a").join(ranks("_b"), "_b")
+    ranked = pairs.join(ranks("_a"), ["feature", "_a"]).join(ranks("_b"), ["feature", "_b"])
     x, y, w = F.col("_a_rank"), F.col("_b_rank"), F.col("_n")
-    sums = ranked.agg(
+    sums = ranked.groupBy("feature").agg(
         F.sum(w).alias("n"),
         F.sum(w * x).alias("x"),
         F.sum(w * y).alias("y"),
@@ -252,7 +265,22 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     var_x = F.col("xx") / n - F.pow(F.col("x") / n, F.lit(2))
     var_y = F.col("yy") / n - F.pow(F.col("y") / n, F.lit(2))
     rho = F.try_divide(cov, F.sqrt(var_x * var_y))
-    return sums.select(n.cast("bigint").alias("n"), rho.alias("rho"))
+    return sums.select(
+        "feature", n.cast("bigint").alias("n"), rho.alias("rho"), _correlation_p(rho, n).alias("p_value")
+    )
+
+
+def roc_curve(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """True and false positive rates when everything at or above each distinct score is alerted."""
+    runs = cumulative_by_value(_labelled(scored, keys), "p", ["pos", "neg"], keys)
+    tp = F.col("pos_total") - F.col("pos_cum") + F.col("pos")
+    fp = F.col("neg_total") - F.col("neg_cum") + F.col("neg")
+    return runs.select(
+        *keys,
+        F.col("p").alias("threshold"),
+        safe_ratio(tp, F.col("pos_total")).alias("tpr"),
+        safe_ratio(fp, F.col("neg_total")).alias("fpr"),
+    )
 
 
 def mann_whitney(df: DataFrame, value: str, label: str) -> DataFrame:

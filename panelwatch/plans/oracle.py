@@ -335,6 +335,25 @@ def _statement(body: str) -> str:
     return parts + (",\n" + own[5:] if own.startswith("WITH ") else "\n" + body)
 
 
+def _normal_p(z: str) -> str:
+    """Two-sided normal p-value by the same published polynomial."""
+    x = f"(abs({z}) / sqrt(2.0::DOUBLE))"
+    t = f"(1 / (1 + 0.3275911::DOUBLE * {x}))"
+    poly = (
+        f"({t} * (0.254829592::DOUBLE + {t} * (-0.284496736::DOUBLE + {t} * (1.421413741::DOUBLE "
+        f"+ {t} * (-1.453152027::DOUBLE + {t} * 1.061405429::DOUBLE)))))"
+    )
+    return f"({poly} * exp(-{x} * {x}))"
+
+
+def _ranked(r: str, body: str) -> str:
+    """Correlations (feature, n, r) with p-value, flag and order."""
+    p = _normal_p(f"({r} * sqrt((n - 2) / (1 - {r} * {r})))")
+    return f"""SELECT feature, n, round({r}, 6) AS {r}, round(p, 6) AS p_value, p < 0.05 AS significativa,
+        row_number() OVER (ORDER BY p, feature) AS orden FROM (SELECT *, {p} AS p FROM ({body}))"""
+
+
+_MONTHLY = ("precip_suma", "precip_max", "precip_lag1", "precip_acum3m", "precip_acum6m")
 _BODIES: dict[str, str] = {
     "feed_records": "SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders",
     "month_extracts": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes_inicio, o_orderkey
@@ -451,10 +470,24 @@ _BODIES: dict[str, str] = {
     "weekly_coverage": """SELECT CAST(date_trunc('week', fecha) AS DATE) AS week_start,
         count(*) AS n_dias, round(avg(mm), 6) AS precip_media, max(mm) AS precip_max,
         round(least(100, count(*) / 7 * 100), 6) AS cobertura_pct FROM daily GROUP BY 1""",
-    "low_coverage": """WITH c AS (SELECT CAST(date_trunc('week', fecha) AS DATE) AS week_start,
-        max(mm) AS cobertura FROM daily GROUP BY 1)
-        SELECT week_start, cobertura, round(umbral, 6) AS umbral FROM c,
+    "low_coverage": """WITH c AS (SELECT CAST(date_trunc('week', fecha) AS DATE) AS week_start, avg(n) AS cobertura
+          FROM (SELECT fecha, count(*) AS n FROM station GROUP BY 1) GROUP BY 1)
+        SELECT week_start, round(cobertura, 6) AS cobertura, round(umbral, 6) AS umbral FROM c,
           (SELECT quantile_cont(cobertura, 0.25) AS umbral FROM c) WHERE cobertura < umbral""",
+    "csv_round_trip": """SELECT fecha, departamento, count(*) AS n, sum(precip_mm) AS precip_mm
+        FROM station GROUP BY 1, 2""",
+    "panel_round_trip": """SELECT *, strftime(week_start, '%Y-%m-%d') || '/' || strftime(week_start + 6, '%Y-%m-%d')
+        AS anio_semana FROM grid""",
+    "log_round_trip": """SELECT user_id AS hybas_id, CASE WHEN least(value / 500, 1.0) < 0.3 THEN 'Bajo'
+          WHEN least(value / 500, 1.0) < 0.6 THEN 'Medio' ELSE 'Alto' END AS nivel_riesgo,
+        2 * count(*) AS n, count(DISTINCT event_id) AS n_eventos FROM events GROUP BY 1, 2""",
+    "resumed_days": """SELECT fecha, coalesce(mm, 0.0) AS precip_mm FROM (SELECT CAST(unnest(generate_series(
+          TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS fecha)
+        FULL JOIN gapped USING (fecha)""",
+    "feature_order": """SELECT unit_id, sub_area, CAST(NULL AS DOUBLE) AS soil_moisture_14d, up_area,
+        CAST(ord AS DOUBLE) AS ord FROM unit""",
+    "priority_filtered": """SELECT unit_id, nivel_riesgo, n_eventos, round(score, 6) AS score FROM prioritised
+        WHERE nivel_riesgo IN ('Alto', 'Medio') AND n_eventos > 0""",
     "quality_gate": """SELECT CAST(sum(deslizamiento) AS BIGINT) AS n_pos,
         count(DISTINCT week_start) AS n_weeks, round(count(DISTINCT week_start) / (52 * 7), 6) AS coverage,
         count(*) FILTER (deslizamiento NOT IN (0, 1)) AS n_invalid, '' AS null_features,
@@ -617,22 +650,31 @@ _BODIES: dict[str, str] = {
         for i, a in enumerate(_CORRELATED)
         for b in _CORRELATED[i + 1 :]
     ),
-    "point_biserial": " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, count({f}) AS n, round(corr({f}, target), 6) AS r FROM monthly_target"
-        for f in ("precip_suma", "precip_max", "precip_lag1", "precip_acum3m", "precip_acum6m")
-    ),
-    "spearman": " UNION ALL ".join(
-        f"""SELECT '{f}' AS feature, count(*) AS n, round(corr(a, b), 6) AS rho FROM (
+    "point_biserial": _ranked("r", " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, count({f}) AS n, corr({f}, target) AS r FROM monthly_target"
+        for f in _MONTHLY
+    )),
+    "spearman": _ranked("rho", " UNION ALL ".join(
+        f"""SELECT '{f}' AS feature, count(*) AS n, corr(a, b) AS rho FROM (
         SELECT rank() OVER (ORDER BY {f}) + (count(*) OVER (PARTITION BY {f}) - 1) / 2.0 AS a,
           rank() OVER (ORDER BY target) + (count(*) OVER (PARTITION BY target) - 1) / 2.0 AS b
         FROM monthly_target WHERE {f} IS NOT NULL)"""
-        for f in ("precip_suma", "precip_acum3m")
-    ),
-    "mann_whitney": """SELECT sum(1 - y)::BIGINT AS n0, sum(y)::BIGINT AS n1,
-        CAST(sum(CASE WHEN y = 0 THEN r END) - sum(1 - y) * (sum(1 - y) + 1) / 2 AS DOUBLE) AS u FROM (
-        SELECT y, rank() OVER (ORDER BY precip_acum_14d)
+        for f in _MONTHLY
+    )),
+    "mann_whitney": f"""WITH ranks AS (SELECT y, rank() OVER (ORDER BY precip_acum_14d)
           + (count(*) OVER (PARTITION BY precip_acum_14d) - 1) / 2 AS r
-        FROM scored WHERE precip_acum_14d IS NOT NULL)""",
+        FROM scored WHERE precip_acum_14d IS NOT NULL),
+        tied AS (SELECT sum(CAST(c AS DOUBLE) * c * c - c) AS ties FROM (
+          SELECT count(*) AS c FROM scored WHERE precip_acum_14d IS NOT NULL GROUP BY precip_acum_14d)),
+        u AS (SELECT sum(1 - y)::BIGINT AS n0, sum(y)::BIGINT AS n1,
+          CAST(sum(CASE WHEN y = 0 THEN r END) - sum(1 - y) * (sum(1 - y) + 1) / 2 AS DOUBLE) AS u FROM ranks),
+        z AS (SELECT n0, n1, u, greatest(0.0, (abs(u - CAST(n0 AS DOUBLE) * n1 / 2) - 0.5) / sqrt(CAST(n0 AS DOUBLE) * n1 / 12
+          * ((n0 + n1 + 1) - ties / (CAST(n0 + n1 AS DOUBLE) * (n0 + n1 - 1))))) AS z FROM u, tied)
+        SELECT n0, n1, u, round({_normal_p("z")}, 6) AS p_value FROM z""",
+    "roc_curve": """SELECT round(p, 6) AS threshold, round(tp / sum(pos) OVER (), 6) AS tpr,
+        round(fp / sum(neg) OVER (), 6) AS fpr FROM (SELECT p, pos, neg,
+          CAST(sum(pos) OVER (ORDER BY p DESC) AS DOUBLE) AS tp, CAST(sum(neg) OVER (ORDER BY p DESC) AS DOUBLE) AS fp
+          FROM (SELECT p, sum(y) AS pos, sum(1 - y) AS neg FROM scored GROUP BY p))""",
     "average_rank": """SELECT DISTINCT sub_area, count(*) OVER (PARTITION BY sub_area) AS n_rows,
         rank() OVER (ORDER BY sub_area) + (count(*) OVER (PARTITION BY sub_area) - 1) / 2 AS avg_rank
         FROM unit""",

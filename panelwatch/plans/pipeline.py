@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -23,7 +22,7 @@ from panelwatch.operators.panel import (
 from panelwatch.operators.spatial import geocode, point_in_polygon
 from panelwatch.operators.timeseries import weekly_rain_features, weekly_soil_features
 from panelwatch.plans.models import FAMILIES, Fitted, cv_summary, full_grid_eval, panel_cv
-from panelwatch.session import shared_dir
+from panelwatch.session import scratch_folder
 from panelwatch.settings import RAIN_FEATURES, Settings
 from panelwatch.sources.landing import regional_events
 from panelwatch.sources.sinks import predictions, week_documents, write_panel
@@ -88,7 +87,7 @@ def store_panels(full: DataFrame, training: DataFrame) -> tuple[DataFrame, DataF
     cheaper than recomputing it and survives the loss of executors.
     """
     spark = full.sparkSession
-    folder = f"{shared_dir(spark)}/panels-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "panels")
     write_panel(full, f"{folder}/full")
     write_panel(training, f"{folder}/training")
     read = lambda name: spark.read.parquet(f"{folder}/{name}").drop("year", "anio_semana")

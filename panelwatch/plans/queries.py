@@ -20,11 +20,12 @@ from panelwatch.functions.calendar import (
     week_label,
     week_start,
 )
-from panelwatch.functions.columns import to_double, to_timestamp
+from panelwatch.functions.columns import ordered_features, to_double, to_timestamp
 from panelwatch.functions.text import ascii_fold, fold, has_keyword, place_key
 from panelwatch.operators import drift, folds, impact, metrics, panel, spatial, timeseries
 from panelwatch.operators.ordering import average_ranks
 from panelwatch.plans import models, pipeline
+from panelwatch.session import scratch_folder
 from panelwatch.settings import CONSEQUENCES, RAIN_FEATURES, SEASON_FEATURES, TARGET, Settings
 from panelwatch.sources import landing, sinks
 from panelwatch.sources import tables as T
@@ -67,6 +68,55 @@ def month_extracts(spark, d):
     return months.select("mes_inicio", "o_orderkey")
 
 
+@query
+def csv_round_trip(spark, d):
+    """Stations written as CSV, read as declared and cleaned."""
+    path = scratch_folder(spark, "stations-csv")
+    sinks.write_csv(T.stations(spark, d).select([f.name for f in landing.STATION_SCHEMA]), path)
+    cleaned = landing.clean_stations(landing.read_csv(spark, path, landing.STATION_SCHEMA))
+    return cleaned.groupBy(F.to_date("fecha").alias("fecha"), "departamento").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("precip_mm").alias("precip_mm")
+    )
+
+
+@query
+def panel_round_trip(spark, d):
+    """The panel as stored, read back."""
+    path = scratch_folder(spark, "panel")
+    sinks.write_panel(T.grid(spark, d), path)
+    return landing.read_panel(spark, path).select(
+        "week_start", "unit_id", "n_eventos", "deslizamiento", "anio_semana"
+    )
+
+
+@query
+def log_round_trip(spark, d):
+    """The prediction log appended twice and read back."""
+    path, entries = scratch_folder(spark, "log"), sinks.log_entries(T.prediction_log(spark, d))
+    for _ in range(2):
+        sinks.append_log(entries, path)
+    read = spark.read.schema("event_id bigint, hybas_id bigint, nivel_riesgo string").json(path)
+    return read.groupBy("hybas_id", "nivel_riesgo").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_eventos")
+    )
+
+
+@query
+def resumed_days(spark, d):
+    """What has landed, and the days fetched later, in one series."""
+    first, last = day("1995-01-01"), day("2001-12-31")
+    landed = T.gapped_signal(spark, d).withColumnRenamed("soil_moisture_m3m3", "precip_mm")
+    fetched = landing.missing_days(landed, first, last).withColumn("precip_mm", F.lit(0.0))
+    return landing.append_days(landed, fetched)
+
+
+@query
+def feature_order(spark, d):
+    """The features of a served model in its order; one is absent from the rows."""
+    names = ["sub_area", "soil_moisture_14d", "up_area", "ord"]
+    return ordered_features(T.units(spark, d), names, ["unit_id"])
+
+
 @query
 def bbox_daily_mean(spark, d):
     raster = T.raster(spark, d)
@@ -372,10 +422,11 @@ def weekly_coverage(spark, d):
 
 @query
 def low_coverage(spark, d):
-    weekly = timeseries.weekly_coverage(T.daily_signal(spark, d)).select(
-        "week_start", F.col("precip_max").alias("cobertura")
+    stations = landing.daily_stations(landing.clean_stations(T.stations(spark, d)))
+    weekly = stations.groupBy(week_start(F.col("fecha")).alias("week_start")).agg(
+        F.avg("n_estaciones").alias("cobertura")
     )
-    return r6(panel.low_coverage(weekly, "cobertura"), "umbral")
+    return r6(panel.low_coverage(weekly, "cobertura"), "cobertura", "umbral")
 
 
 @query
@@ -643,6 +694,13 @@ def priority_score(spark, d):
     return r6(_priority(spark, d), "score", "indice_riesgo", "costo_m_cop")
 
 
+@query
+def priority_filtered(spark, d):
+    """Units at medium or high risk that have had events."""
+    rows = _priority(spark, d, levels=("Alto", "Medio"), only_with_events=True)
+    return r6(rows.select("unit_id", "nivel_riesgo", "n_eventos", "score"), "score")
+
+
 @query
 def priority_top(spark, d):
     return r6(
@@ -718,24 +776,23 @@ def corr_matrix(spark, d):
 @query
 def point_biserial(spark, d):
     out = metrics.point_biserial(_monthly_events(spark, d), MONTHLY, "target")
-    return r6(out.select("feature", "n", "r"), "r")
+    return r6(metrics.significant(out), "r", "p_value")
 
 
 @query
 def spearman(spark, d):
-    rows = [
-        metrics.spearman(_monthly_events(spark, d), f, "target").select(
-            F.lit(f).alias("feature"), "*"
-        )
-        for f in ("precip_suma", "precip_acum3m")
-    ]
-    return r6(reduce(DataFrame.unionByName, rows), "rho")
+    out = metrics.spearman(_monthly_events(spark, d), MONTHLY, "target")
+    return r6(metrics.significant(out), "rho", "p_value")
 
 
 @query
 def mann_whitney(spark, d):
-    out = metrics.mann_whitney(T.scored(spark, d), "precip_acum_14d", "y")
-    return out.select("n0", "n1", "u")
+    return r6(metrics.mann_whitney(T.scored(spark, d), "precip_acum_14d", "y"), "p_value")
+
+
+@query
+def roc_curve(spark, d):
+    return r6(metrics.roc_curve(T.scored(spark, d)), "threshold", "tpr", "fpr")
 
 
 @query
@@ -945,11 +1002,11 @@ def _impact(spark, d):
     return rows.join(people, "unit_id", "left")
 
 
-def _priority(spark, d):
+def _priority(spark, d, **filters):
     week = panel.latest_week(T.scored(spark, d))
     p = risk.published_probability(F.col("p"))
     predicted = week.select("unit_id", p.alias("p"), risk.band(p).alias("nivel_riesgo"))
-    return impact.priority(predicted, impact.risk_index(_impact(spark, d)))
+    return impact.priority(predicted, impact.risk_index(_impact(spark, d)), **filters)
 
 
 def _fold_scores(spark, d):

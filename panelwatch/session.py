@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +56,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_fallback(spark.sparkContext.applicationId)
 
 
+_folders: dict[str, list[str]] = {}
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder in the shared folder; it is deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    paths = _folders.setdefault(spark.sparkContext.applicationId, [])
+    if not paths:
+        atexit.register(_delete, spark, paths)
+    paths.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:
+        return
+    for path in paths:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives the loss of executors."""
     spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)

@@ -6,14 +6,13 @@ they land, ``stream_band_counts`` the dashboard's daily counts over the growing
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.functions.risk import band
 from panelwatch.plans.models import Fitted
-from panelwatch.session import shared_dir
+from panelwatch.session import scratch_folder
 from panelwatch.sources.sinks import predictions
 
 
@@ -83,5 +82,5 @@ def current_counts(spark: SparkSession, out: str) -> DataFrame:
 
 def run_folder(spark: SparkSession, name: str) -> tuple[str, str]:
     """Fresh (output, checkpoint) folders in the shared place."""
-    base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    base = scratch_folder(spark, name)
     return f"{base}/out", f"{base}/checkpoint"

@@ -78,7 +78,7 @@ def test_histogram_leaves_the_right_edge_open(spark):
 
 def test_rank_statistics(sample):
     df, p = sample
-    assert me.spearman(df, "p", "y").first().rho == pytest.approx(p.p.rank().corr(p.y.rank()))
+    assert me.spearman(df, ["p"], "y").first().rho == pytest.approx(p.p.rank().corr(p.y.rank()))
     got = me.mann_whitney(df, "p", "y").first()
     n0, n1 = (p.y == 0).sum(), (p.y == 1).sum()
     assert got.u == pytest.approx((1 - pair_auc(p)) * n0 * n1)
