@@ -20,14 +20,15 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.operators.folds import fold_sides
 from panelwatch.operators.metrics import fold_summary, full_metrics
-from panelwatch.operators.panel import year_slice
+from panelwatch.operators.ordering import cumulative_by_value, exact_quantiles
+from panelwatch.operators.panel import unpivot_features, year_slice
 from panelwatch.settings import MODEL_FEATURES, TARGET, Settings
 
 KEYS = ["week_start", "unit_id"]
@@ -35,10 +36,15 @@ SEED = 42
 CV_METRICS = ("auc_roc", "f1", "precision", "recall")
 
 
+def hash_code(columns: Sequence[str], seed: int) -> Column:
+    """Whole number below 2**32 fixed by a row's key, whatever the partitioning or the engine."""
+    digits = F.substring(F.md5(F.concat_ws(":", *columns, F.lit(seed))), 1, 8)
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
 def hash_unit(columns: Sequence[str], seed: int) -> Column:
-    """Uniform number in [0, 1) fixed by a row's key, whatever the partitioning."""
-    code = F.xxhash64(*columns, F.lit(seed))
-    return F.pmod(code, F.lit(2**31)).cast("double") / float(2**31)
+    """The same as a number in [0, 1)."""
+    return hash_code(columns, seed).cast("double") / float(2**32)
 
 
 def usable_features(cells: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> list[str]:
@@ -60,13 +66,20 @@ def model_rows(cells: DataFrame, features: Sequence[str], target: str = TARGET)
     )
 
 
-def preparation(features: Sequence[str]) -> Pipeline:
-    """Median imputation, then standardisation."""
-    filled = [f"{f}__f" for f in features]
+def medians(rows: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Exact median of each feature; one row for each feature comes to the driver."""
+    long = unpivot_features(rows, features)
+    found = exact_quantiles(long, "value", {"median": 0.5}, ["feature"]).collect()
+    return {r["feature"]: r["median"] for r in found}
+
+
+def preparation(features: Sequence[str], fill: dict[str, float]) -> Pipeline:
+    """Nulls filled (with the medians of the training side), then standardisation."""
+    filled = ", ".join(f"coalesce(`{f}`, {fill[f]!r}D) AS `{f}__f`" for f in features)
     return Pipeline(
         stages=[
-            Imputer(strategy="median", inputCols=list(features), outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="raw"),
+            SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+            VectorAssembler(inputCols=[f"{f}__f" for f in features], outputCol="raw"),
             StandardScaler(inputCol="raw", outputCol="features", withMean=True),
         ]
     )
@@ -86,7 +99,7 @@ class Prepared:
     def of(cells: DataFrame) -> Prepared:
         features = usable_features(cells)
         rows = model_rows(cells, features).where(F.col("label").isNotNull())
-        transformer = preparation(features).fit(rows)
+        transformer = preparation(features, medians(rows, features)).fit(rows)
         counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
         n, pos = counts["n"], int(counts["pos"] or 0)
         if not 0 < pos < n:
@@ -126,6 +139,19 @@ def gradient_boosting(data: Prepared, rounds: int = 100, depth: int = 3) -> list
     return [GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=SEED).fit(data.rows)]
 
 
+def bag_rows(rows: DataFrame, positives: int, seed: int) -> DataFrame:
+    """All positives and the ``positives`` unlabelled rows with the smallest hashes.
+
+    The hash where the count is reached is found by running totals, not by a sort of all
+    rows; rows that share that very hash are all drawn.
+    """
+    coded = rows.withColumn("_code", hash_code(KEYS, seed))
+    unlabelled = coded.where(F.col("label") == 0).select("_code", F.lit(1).alias("_one"))
+    runs = cumulative_by_value(unlabelled, "_code", ["_one"])
+    last = runs.where(F.col("_one_cum") - F.col("_one") < positives).agg(F.max("_code")).scalar()
+    return coded.where((F.col("label") == 1) | (F.col("_code") <= last)).drop("_code")
+
+
 def pu_bagging(
     data: Prepared,
     bags: int = Settings.pu_bags,
@@ -138,12 +164,10 @@ def pu_bagging(
     Unlabelled rows are drawn by a hash of their key, so a lost task draws the same
     ones again.
     """
-    share = min(1.0, data.positives / (data.n - data.positives))
 
     def bag(i: int):
-        drawn = (F.col("label") == 1) | (hash_unit(KEYS, SEED + i) < share)
         forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED + i)
-        return forest.fit(data.rows.where(drawn))
+        return forest.fit(bag_rows(data.rows, data.positives, SEED + i))
 
     with ThreadPoolExecutor(parallel) as pool:
         return list(pool.map(bag, range(bags)))

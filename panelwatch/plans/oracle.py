@@ -354,6 +354,19 @@ def _ranked(r: str, body: str) -> str:
 
 
 _MONTHLY = ("precip_suma", "precip_max", "precip_lag1", "precip_acum3m", "precip_acum6m")
+def _hash_code(seed: int) -> str:
+    key = f"concat_ws(':', strftime(week_start, '%Y-%m-%d'), unit_id, {seed})"
+    return f"CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT)"
+
+
+_PREPARED = (*RAIN_FEATURES, "up_area", "ord")
+
+
+def _standardised(f: str) -> str:
+    return f"""m_{f} AS (SELECT median({f}) AS med FROM t), s_{f} AS (SELECT any_value(med) AS med,
+        avg(coalesce({f}, med)) AS m, stddev_samp(coalesce({f}, med)) AS sd FROM t, m_{f})"""
+
+
 _BODIES: dict[str, str] = {
     "feed_records": "SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders",
     "month_extracts": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes_inicio, o_orderkey
@@ -529,6 +542,18 @@ _BODIES: dict[str, str] = {
     "roc_auc": f"SELECT auc AS auc_roc, n_pos, n_neg FROM {_auc('scored')}",
     "full_grid_metrics": "SELECT * FROM "
     + _full("(SELECT * FROM scored WHERE year(week_start) BETWEEN 1999 AND 2001)"),
+    "baseline_scores": "SELECT * FROM " + _full(f"""(SELECT deslizamiento AS y,
+        CAST({_hash_code(42)} / 4294967296.0::DOUBLE < (SELECT avg(deslizamiento) FROM selected) AS INTEGER)::DOUBLE AS p
+        FROM grid)"""),
+    "prepared_rows": f"""WITH t AS (SELECT e.* FROM selected s JOIN enriched e USING (week_start, unit_id)),
+        {", ".join(_standardised(f) for f in _PREPARED)}
+        SELECT week_start, unit_id, CAST(deslizamiento AS DOUBLE) AS label,
+          round((SELECT count(*) FROM t) / (2.0::DOUBLE * (SELECT count(*) FROM t x WHERE x.deslizamiento = t.deslizamiento)), 6)
+            AS weight, {", ".join(f"round((coalesce({f}, s_{f}.med) - s_{f}.m) / s_{f}.sd, 6) AS {f}" for f in _PREPARED)}
+        FROM t, {", ".join(f"s_{f}" for f in _PREPARED)}""",
+    "bag_members": f"""SELECT week_start, unit_id, CAST(deslizamiento AS DOUBLE) AS label FROM (
+        SELECT *, rank() OVER (PARTITION BY deslizamiento ORDER BY {_hash_code(42)}) AS r FROM selected)
+        WHERE deslizamiento = 1 OR r <= (SELECT sum(deslizamiento) FROM selected)""",
     "pr_curve": f"""SELECT round(threshold, 6) AS threshold, tp, fp,
         round({_ratio("tp", "tp + fp")}, 6) AS precision, round(tp / total, 6) AS recall FROM (
         SELECT p AS threshold, CAST(sum(sum(y)) OVER (ORDER BY p DESC) AS BIGINT) AS tp,

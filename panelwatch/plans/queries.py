@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from panelwatch.functions import risk
@@ -895,7 +896,32 @@ def fit_pipeline(spark, d):
 @query
 def baseline_scores(spark, d):
     full, train = _stored(spark, d)
-    return metrics.full_metrics(models.baseline_scores(full, train))
+    rates = ("auc_roc_full", "recall_full", "precision_full", "f1_full")
+    return r6(metrics.full_metrics(models.baseline_scores(full, train)), *rates)
+
+
+@query
+def prepared_rows(spark, d):
+    """Training rows as the classifiers see them: filled with exact medians, standardised."""
+    _, train = _stored(spark, d)
+    data = models.Prepared.of(train)
+    try:
+        x = vector_to_array("features")
+        named = [F.round(F.get(x, F.lit(i)), 6).alias(f) for i, f in enumerate(data.features)]
+        chosen = [c for c, f in zip(named, data.features) if f in (*RAIN_FEATURES, "up_area", "ord")]
+        rows = data.rows.select(*models.KEYS, "label", F.round("weight", 6).alias("weight"), *chosen)
+        return rows
+    finally:
+        data.release()
+
+
+@query
+def bag_members(spark, d):
+    """The rows of one bag: every positive, and as many unlabelled rows by hash."""
+    _, train = _stored(spark, d)
+    rows = models.model_rows(train, ["up_area"]).where(F.col("label").isNotNull())
+    positives = int(rows.agg(F.sum("label")).first()[0])
+    return models.bag_rows(rows, positives, models.SEED).select(*models.KEYS, "label")
 
 
 @query
