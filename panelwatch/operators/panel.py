@@ -189,6 +189,16 @@ def next_week_target(weekly: DataFrame, parity: bool = False) -> DataFrame:
     return weekly.withColumn(TARGET, F.coalesce(label, F.lit(0)) if parity else label)
 
 
+def weekly_training_set(
+    rain: DataFrame, soil: DataFrame, events: DataFrame, first_year: int, last_year: int
+) -> DataFrame:
+    """The regional dataset to its end: label of the next week, the period, no null features."""
+    labelled = next_week_target(weekly_dataset(rain, soil, events))
+    return year_slice(labelled, first_year, last_year).na.drop(
+        subset=[*RAIN_FEATURES, SOIL_FEATURE, TARGET]
+    )
+
+
 def target_by_unit(cells: DataFrame, calendar: bool = False) -> DataFrame:
     """Label of the next retained row of the same unit; rows without one are dropped.
 

@@ -108,7 +108,9 @@ class Prepared:
         vectors = transformer.transform(rows).select(
             *KEYS, "features", "label", weight.alias("weight")
         )
-        return Prepared(vectors.persist(), transformer, features, n, pos)
+        # The layout follows the keys, so that draws by partition don't depend on stored files.
+        placed = vectors.repartition(*KEYS).sortWithinPartitions(*KEYS)
+        return Prepared(placed.persist(), transformer, features, n, pos)
 
     def release(self) -> None:
         self.rows.unpersist()

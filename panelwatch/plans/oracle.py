@@ -460,6 +460,13 @@ _BODIES: dict[str, str] = {
         LEFT JOIN soil s ON r.week_start = s.week_start
         LEFT JOIN (SELECT week_start, sum(n) AS n FROM hazard_week GROUP BY 1) c
           ON r.week_start = c.week_start""",
+    "weekly_training_set": f"""WITH w AS (SELECT r.week_start, {", ".join(RAIN_FEATURES)}, soil_moisture_14d,
+          CAST(coalesce(n, 0) AS BIGINT) AS n_deslizamientos FROM rain r
+          LEFT JOIN soil s ON r.week_start = s.week_start
+          LEFT JOIN (SELECT week_start, sum(n) AS n FROM hazard_week GROUP BY 1) c ON r.week_start = c.week_start),
+        t AS (SELECT *, CAST(lead(n_deslizamientos) OVER (ORDER BY week_start) > 0 AS INTEGER) AS deslizamiento FROM w)
+        SELECT * FROM t WHERE year(week_start) BETWEEN 1996 AND 2000 AND deslizamiento IS NOT NULL
+          AND soil_moisture_14d IS NOT NULL AND {" AND ".join(f"{f} IS NOT NULL" for f in RAIN_FEATURES)}""",
     "panel_enriched": "SELECT * FROM enriched",
     "geocode": """SELECT id, place, round(lon, 6) AS lon, round(lat, 6) AS lat, pop FROM
         (SELECT c_custkey AS id, 'nacion' || c_nationkey AS place FROM customer)

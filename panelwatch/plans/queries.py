@@ -339,6 +339,21 @@ def weekly_dataset(spark, d):
     )
 
 
+@query
+def weekly_training_set(spark, d):
+    soil = timeseries.weekly_soil_features(T.gapped_signal(spark, d))
+    out = panel.weekly_training_set(T.weekly_rain(spark, d), soil, T.hazards(spark, d), 1996, 2000)
+    columns = [*RAIN_FEATURES, "soil_moisture_14d", "n_deslizamientos", TARGET]
+    return r6(out.select("week_start", *columns), "soil_moisture_14d")
+
+
+@query
+def training_report(spark, d):
+    """Validation and full-grid metrics of a family, with the promotion verdict."""
+    full, train = _stored(spark, d)
+    return pipeline.training_report(train, full, {"logistic_regression": {}}, train_until=1998)
+
+
 @query
 def panel_enriched(spark, d):
     return r6(_enriched(spark, d), *SEASON_FEATURES)
