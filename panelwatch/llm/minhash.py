@@ -8,10 +8,12 @@
    as many candidate edges as members, however large the bucket.
 4. Edges are confirmed on full sets, 100 * intersection >= percent * union, and components built.
 5. A bucket whose members lie in several components may still hide a link between members that
-   are not linked to its first one. Its next one, two, four, ... members become centres in
-   turn, and are compared with the later members of other components only, until every bucket's
-   pairs are compared or in one component. Groups of near copies are in one component after the
-   first round, so that this ends quickly, yet no candidate is ever left out.
+   are not linked to its first one. In buckets of at most ``DIRECT`` members these pairs are
+   confirmed one by one. Larger buckets are gathered in clusters (buckets that share members);
+   the sets of a cluster are dealt into blocks of ``BLOCK_SHINGLES``, and each pair of blocks is
+   compared in one task: members of different components that share a bucket. The largest
+   component's blocks meet those of the others only, so that a group of near copies costs what
+   its few stragglers cost. No candidate is left out, and none is a row of its own.
 
 At similarity 0.8 a pair shares no bucket with a chance of about 3 in a million.
 
@@ -30,7 +32,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.llm.common import append_arrow, arrow_type, hashes_of, map_arrow, mixed, run_hashes, sliced, stored
@@ -40,6 +42,7 @@ WORDS, PERCENT = 5, 80
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 TRIES = 1 << 10
+DIRECT, BLOCK_SHINGLES = 32, 1 << 19
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -124,6 +127,89 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(both, step, "u binary, v binary")
 
 
+def _rerooted(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (node, root) after more links between nodes: components of roots only."""
+    ends = links
+    for end in "uv":
+        of = found.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        ends = ends.join(of, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    roots = components(ends.select(F.col("root_u").alias("u"), F.col("root_v").alias("v")))
+    moved = roots.select(F.col("node").alias("root"), F.col("root").alias("new"))
+    old = found.join(moved, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    # Roots that had no links before are new nodes.
+    return old.unionByName(roots.join(found.select("node"), "node", "left_anti").select("node", "root"))
+
+
+def _compared_in_blocks(unsure: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between members of large buckets (bucket, node, root, n_shingles, n)."""
+    centre = unsure.groupBy("bucket").agg(F.min("node").alias("v"))
+    clusters = components(unsure.join(centre, "bucket").select(F.col("node").alias("u"), "v"))
+    nodes = unsure.groupBy("node", "root", "n_shingles").agg(F.collect_set("bucket").alias("buckets"))
+    nodes = nodes.join(clusters.select("node", F.col("root").alias("cluster")), "node")
+    parts = nodes.groupBy("cluster", "root").agg(F.sum("n_shingles").alias("size"))
+    whole = parts.groupBy("cluster").agg(
+        F.max_by("root", F.struct("size", "root")).alias("main"),
+        F.max("size").alias("main_size"),
+        F.sum("size").alias("size"),
+    )
+    blocks = whole.select(
+        "cluster",
+        "main",
+        (1 + F.expr(f"main_size div {BLOCK_SHINGLES}")).alias("n_main"),
+        (1 + F.expr(f"(size - main_size) div {BLOCK_SHINGLES}")).alias("n_rest"),
+    )
+    at = F.col("root") == F.col("main")
+    count = F.when(at, F.col("n_main")).otherwise(F.col("n_rest"))
+    dealt = nodes.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), count)).withColumn("is_main", at)
+    pair = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    own = F.col("own")
+    meets = F.when(F.col("is_main"), F.transform(upto("n_rest"), lambda i: pair("main", i, own))).otherwise(
+        F.concat(
+            F.transform(upto("n_main"), lambda j: pair("main", own, j)),
+            F.transform(upto("n_rest"), lambda j: pair("rest", F.least(own, j), F.greatest(own, j))),
+        )
+    )
+    rows = dealt.select("cluster", "node", "root", "n_shingles", "buckets", "own", "is_main", F.explode(meets).alias("pair"))
+    rows = rows.select("cluster", "pair.*", "node", "root", "n_shingles", "buckets", "own", "is_main").join(sets, "node")
+    types = arrow_type("u binary, v binary")
+
+    def compare(table: pa.Table) -> pa.Table:
+        kind, i, j = (table.column(c)[0].as_py() for c in ("kind", "i", "j"))
+        found = table.sort_by("node").to_pylist()
+        if kind == "main":
+            left, right = [r for r in found if not r["is_main"]], [r for r in found if r["is_main"]]
+        else:
+            left, right = [r for r in found if r["own"] == i], [r for r in found if r["own"] == j]
+        sets_of = {r["node"]: np.frombuffer(r["shingles"], "<u8") for r in found}
+        holders: dict[int, list[int]] = {}
+        for k, r in enumerate(right):
+            for bucket in r["buckets"]:
+                holders.setdefault(bucket, []).append(k)
+        group = {r["root"]: r["root"] for r in found}
+
+        def top(x: bytes) -> bytes:
+            while group[x] != x:
+                group[x] = x = group[group[x]]
+            return x
+
+        links = []
+        for r in left:
+            a = sets_of[r["node"]]
+            for k in sorted({k for bucket in r["buckets"] for k in holders.get(bucket, ())}):
+                q = right[k]
+                b, low, high = sets_of[q["node"]], *sorted((r["n_shingles"], q["n_shingles"]))
+                if 100 * low < percent * high or top(r["root"]) == top(q["root"]):
+                    continue
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    group[top(r["root"])] = top(q["root"])
+                    links.append((r["node"], q["node"]))
+        return pa.Table.from_arrays([pa.array([x[c] for x in links], pa.binary()) for c in (0, 1)], schema=types)
+
+    return rows.groupBy("cluster", "kind", "i", "j").applyInArrow(compare, "u binary, v binary")
+
+
 def _with_sets(df: DataFrame, words: int) -> DataFrame:
     pack = lambda batch: [pa.array([shingles(x or "", words).astype("<u8").tobytes() for x in batch.column("text").to_pylist()], pa.binary())]
     return append_arrow(df, pack, "shingles binary").drop("text")
@@ -166,37 +252,22 @@ def near_duplicates(
     )
     links = stored(_confirmed(pairs.distinct(), sets, percent), "links")
     found = stored(components(links), "components")
-    ranked, low = None, 1
-    while True:
-        root = F.coalesce("root", "node")
-        placed = members.join(found, "node", "left").select("bucket", "node", "n_shingles", root.alias("root"))
-        open_ = placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-        if ranked is None:
-            order = Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node")
-            numbered = members.join(open_.select("bucket"), "bucket", "left_semi")
-            ranked = stored(
-                numbered.select("bucket", "node", "n_shingles", (F.row_number().over(order) - 1).alias("rank")), "ranked"
-            )
-        now = ranked.join(open_.select("bucket"), "bucket", "left_semi").join(found, "node", "left")
-        now = now.select("bucket", "node", "n_shingles", "rank", root.alias("root"))
-        if now.where(F.col("rank") > low).isEmpty():
-            break
-        centres = now.where(F.col("rank").between(low, 2 * low - 1)).select(
-            "bucket", F.col("node").alias("u"), F.col("n_shingles").alias("n_u"),
-            F.col("rank").alias("rank_u"), F.col("root").alias("root_u"),
-        )
-        pairs = (
-            now.join(centres, "bucket")
-            .where("rank > rank_u AND root <> root_u")
-            .where(alike(F.col("n_shingles"), F.col("n_u")))
-            .select("u", F.col("node").alias("v"))
-            .distinct()
-        )
-        more = stored(_confirmed(pairs, sets, percent), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            found = stored(components(links), "components")
-        low *= 2
+    root = F.coalesce("root", "node").alias("root")
+    placed = members.join(found, "node", "left").select("bucket", "node", "n_shingles", "n", root)
+    mixed_ = placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
+    unsure = stored(placed.join(mixed_.select("bucket"), "bucket"), "unsure")
+    small = unsure.where(F.col("n") <= DIRECT)
+    other = small.select("bucket", F.col("node").alias("v"), F.col("root").alias("root_v"), F.col("n_shingles").alias("n_v"))
+    pairs = (
+        small.join(other, "bucket")
+        .where("node < v AND root <> root_v")
+        .where(alike(F.col("n_shingles"), F.col("n_v")))
+        .select(F.col("node").alias("u"), "v")
+    )
+    late = _confirmed(pairs.distinct(), sets, percent).unionByName(
+        _compared_in_blocks(unsure.where(F.col("n") > DIRECT), sets, percent)
+    )
+    found = stored(_rerooted(found, stored(late, "links")), "components")
     names = (
         nodes.join(found, "node").groupBy("root").agg(F.min("least_id").alias("component_id"))
     )
