@@ -71,9 +71,9 @@ def test_pr_area(sample):
     assert me.pr_auc(df).first().pr_auc == pytest.approx(want)
 
 
-def test_histogram_leaves_the_right_edge_open(spark):
+def test_histogram_counts_the_last_edge(spark):
     got = {r.desde: r.n for r in me.score_histogram(scored(spark, [0, 1, 1], [0.0, 0.3, 1.0])).collect()}
-    assert got == {0.0: 1, 0.3: 1}
+    assert got == {0.0: 1, 0.3: 1, 0.9: 1}
 
 
 def test_rank_statistics(sample):
