@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from panelwatch.functions.geometry import edges, envelope, strictly_inside
 from panelwatch.functions.text import place_key
-from panelwatch.operators.ordering import salted_join
 from panelwatch.settings import DEFAULT_DENSITY_PER_KM2
 
 
@@ -16,13 +15,15 @@ def drop_bad_coordinates(points: DataFrame, lon: str = "lon", lat: str = "lat")
     return points.where((F.col(lon) != 0) & (F.col(lat) != 0))
 
 
-def geocode(events: DataFrame, places: DataFrame, name: str, row_id: str) -> DataFrame:
+def geocode(events: DataFrame, places: DataFrame, name: str) -> DataFrame:
     """Inner join on the folded place name; a name listed twice yields two rows.
 
-    One municipality may report most events, so the join is salted by event id.
+    One municipality may report most events: the join is left to Spark, which broadcasts a small
+    gazetteer and otherwise splits the tasks of a hot name at run time (adaptive skew join)
+    instead of copying the gazetteer beforehand.
     """
     keyed = events.withColumn("place", place_key(F.col(name)))
-    return salted_join(keyed, places, ["place"], [row_id])
+    return keyed.join(places, "place")
 
 
 def geocode_rate(events: DataFrame, places: DataFrame, name: str) -> DataFrame:
@@ -55,29 +56,37 @@ def bbox_prune(polygons: DataFrame, xmin, xmax, ymin, ymax) -> DataFrame:
 def point_in_polygon(
     points: DataFrame,
     polygons: DataFrame,
-    row_id: str,
-    tile: float = 0.1,
+    tile: float | None = None,
     lon: str = "lon",
     lat: str = "lat",
 ) -> DataFrame:
     """Points strictly within polygons; overlaps give several rows, outside points none.
 
     Both sides are cut into square tiles: a polygon is listed in every tile its
-    envelope touches, a point lies in one. The equi-join on the tile leaves few candidates
-    for the exact test. ``tile`` should be near the usual polygon size. Points crowd
-    in few tiles, hence the salt.
+    envelope touches, a point lies in one. Without ``tile`` a tile is as wide as the mean
+    envelope, so that a polygon has a few tiles at any scale. Tiles hold ids and envelopes
+    only; edges are joined to the points that lie in an envelope. Crowded tiles are split
+    by the adaptive skew join.
     """
-    index = lambda c: F.floor(c / tile)
-    boxed = polygons.select(
-        "unit_id", edges(F.col("ring")).alias("_edges"), *envelope(F.col("ring"))
-    )
-    tiles = (
-        boxed.withColumn("_tx", F.explode(F.sequence(index(F.col("xmin")), index(F.col("xmax")))))
-        .withColumn("_ty", F.explode(F.sequence(index(F.col("ymin")), index(F.col("ymax")))))
-        .select("unit_id", "_edges", "_tx", "_ty")
+    boxed = polygons.select("unit_id", *envelope(F.col("ring")))
+    width = (
+        boxed.agg(F.avg((F.col("xmax") - F.col("xmin") + F.col("ymax") - F.col("ymin")) / 2)).scalar()
+        if tile is None
+        else F.lit(tile)
     )
+    # Polygons without any extent hold no point; any width serves them.
+    width = F.when(width > 0, width).otherwise(1.0)
+    index = lambda c: F.floor(c / width)
+    tiles = boxed.withColumn(
+        "_tx", F.explode(F.sequence(index(F.col("xmin")), index(F.col("xmax"))))
+    ).withColumn("_ty", F.explode(F.sequence(index(F.col("ymin")), index(F.col("ymax")))))
     placed = points.withColumn("_tx", index(F.col(lon))).withColumn("_ty", index(F.col(lat)))
-    candidates = salted_join(placed, tiles, ["_tx", "_ty"], [row_id])
+    near = placed.join(tiles, ["_tx", "_ty"]).where(
+        F.col(lon).between(F.col("xmin"), F.col("xmax"))
+        & F.col(lat).between(F.col("ymin"), F.col("ymax"))
+    )
+    shapes = polygons.select("unit_id", edges(F.col("ring")).alias("_edges"))
+    candidates = near.select(*points.columns, "unit_id").join(shapes, "unit_id")
     return candidates.where(
         strictly_inside(F.col(lon), F.col(lat), F.col("_edges"))
     ).select(*points.columns, "unit_id")
@@ -91,7 +100,7 @@ def unit_population(
     Without a census figure the unit gets 120 people per square kilometre, rounded
     half to even; with ``fallback=False`` it gets 0.
     """
-    inside = point_in_polygon(places, polygons, "place")
+    inside = point_in_polygon(places, polygons)
     people = inside.groupBy("unit_id").agg(F.sum("pop").cast("double").alias("_pop"))
     estimate = F.bround(F.col("sub_area") * DEFAULT_DENSITY_PER_KM2) if fallback else F.lit(0.0)
     return units.join(people, "unit_id", "left").select(

@@ -133,15 +133,16 @@ PARTS["place"] = """(SELECT 'nacion' || n_nationkey AS place,
   -0.35 + 0.1 * (n_nationkey % 8) + 0.01 AS lon, -0.35 + 0.1 * (n_nationkey // 8) + 0.01 AS lat,
   (SELECT count(*) * 1000 FROM customer WHERE c_nationkey = n_nationkey) AS pop
   FROM nation WHERE n_nationkey % 9 <> 8)"""
-PARTS["diamond"] = """(SELECT i AS unit_id, CAST(-0.35 AS DOUBLE) + CAST(0.1 AS DOUBLE) * (i % 8) AS cx,
-  CAST(-0.35 AS DOUBLE) + CAST(0.1 AS DOUBLE) * (i // 8) AS cy FROM range(64) t(i))"""
+PARTS["diamond"] = """(SELECT unit_id, half, -0.40177::DOUBLE + half * (2 * ((unit_id - 1) % side) + 1) AS cx,
+  -0.39713::DOUBLE + half * (2 * ((unit_id - 1) // side) + 1) AS cy
+  FROM unit, (SELECT 0.4::DOUBLE / ceil(sqrt(count(*))) AS half, CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM unit))"""
 PARTS["pt"] = """(SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS lon,
   CAST(embedding[2] AS DOUBLE) AS lat, label FROM embeddings)"""
 PARTS["located"] = """(SELECT id, unit_id, label FROM pt JOIN diamond
-  ON abs(lon - cx) + abs(lat - cy) < 0.05)"""
+  ON abs(lon - cx) + abs(lat - cy) < half)"""
 PARTS["populated"] = """(SELECT unit_id, sub_area, coalesce(pop, round_even(sub_area * 120, 0)) AS poblacion_estimada
   FROM unit LEFT JOIN (SELECT unit_id, CAST(sum(pop) AS DOUBLE) AS pop FROM place JOIN diamond
-    ON abs(lon - cx) + abs(lat - cy) < 0.05 GROUP BY unit_id) USING (unit_id))"""
+    ON abs(lon - cx) + abs(lat - cy) < half GROUP BY unit_id) USING (unit_id))"""
 _COST = " + ".join(f"{c} * {float(UNIT_PRICE_COP[c])!r}::DOUBLE" for c in CONSEQUENCES)
 PARTS["by_unit"] = f"""(SELECT *, {_COST} AS costo_cop FROM (
   SELECT unit_id, up_area, sub_area, ord, coalesce(n_eventos, 0) AS n_eventos,
@@ -381,8 +382,8 @@ _BODIES: dict[str, str] = {
           count(*) FILTER (nivel = 'Alto'), count(*) FILTER (nivel = 'Medio'), count(*) FILTER (nivel = 'Bajo'),
           'precip_acum_14d' FROM b GROUP BY week_start, semana""",
     "geojson_features": """SELECT 'Feature/Polygon' AS tipo, unit_id, count(*) AS n_puntos,
-        5::BIGINT AS n_vertices, round(cx + 0.05, 6) AS x, round(cy, 6) AS y
-        FROM located JOIN diamond USING (unit_id) GROUP BY unit_id, cx, cy""",
+        5::BIGINT AS n_vertices, round(cx + half, 6) AS x, round(cy, 6) AS y
+        FROM located JOIN diamond USING (unit_id) GROUP BY unit_id, cx, cy, half""",
     "bbox_daily_mean": """SELECT fecha, round(coalesce(m, 0.0), 6) AS precip_mm FROM (
           SELECT CAST(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)),
             INTERVAL 1 DAY)) AS DATE) AS fecha FROM events)
@@ -477,7 +478,7 @@ _BODIES: dict[str, str] = {
     "point_in_polygon": "SELECT id, unit_id FROM located",
     "bbox_prune": """SELECT unit_id FROM diamond, (SELECT avg(lon) x0, max(lon) x1, min(lat) y0,
         avg(lat) y1 FROM pt WHERE lon > 0 AND lat < 0)
-        WHERE cx - 0.05 <= x1 AND cx + 0.05 >= x0 AND cy - 0.05 <= y1 AND cy + 0.05 >= y0""",
+        WHERE cx - half <= x1 AND cx + half >= x0 AND cy - half <= y1 AND cy + half >= y0""",
     "panel_grid": "SELECT * FROM grid",
     "pseudo_absence": "SELECT * FROM selected",
     "inactive_units": """SELECT unit_id FROM unit WHERE unit_id NOT IN

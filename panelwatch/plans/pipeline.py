@@ -41,8 +41,8 @@ def place_events(
     chosen = regional_events(
         raw_events, department, keywords, settings.first_year, settings.last_year
     )
-    located = geocode(chosen, places, "municipio", row_id)
-    return point_in_polygon(located, polygons, row_id)
+    located = geocode(chosen, places, "municipio")
+    return point_in_polygon(located, polygons)
 
 
 def build_panels(

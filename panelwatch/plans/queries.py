@@ -176,10 +176,10 @@ def week_band_counts(spark, d):
 
 @query
 def geojson_features(spark, d):
-    hit = spatial.point_in_polygon(T.points(spark, d), T.diamonds(spark), "id")
+    hit = spatial.point_in_polygon(T.points(spark, d), T.diamonds(spark, d))
     counts = hit.groupBy("unit_id").agg(F.count(F.lit(1)).alias("n_puntos"))
     lines = sinks.geojson_features(
-        T.diamonds(spark).join(counts, "unit_id"), ["unit_id", "n_puntos"]
+        T.diamonds(spark, d).join(counts, "unit_id"), ["unit_id", "n_puntos"]
     )
     form = (
         "type string, properties struct<unit_id bigint, n_puntos bigint>, "
@@ -361,7 +361,7 @@ def panel_enriched(spark, d):
 
 @query
 def geocode(spark, d):
-    found = spatial.geocode(T.reported_places(spark, d), T.places(spark, d), "municipio", "id")
+    found = spatial.geocode(T.reported_places(spark, d), T.places(spark, d), "municipio")
     return r6(found.select("id", "place", "lon", "lat", "pop"), "lon", "lat")
 
 
@@ -374,7 +374,7 @@ def geocode_rate(spark, d):
 
 @query
 def point_in_polygon(spark, d):
-    return spatial.point_in_polygon(T.points(spark, d), T.diamonds(spark), "id").select(
+    return spatial.point_in_polygon(T.points(spark, d), T.diamonds(spark, d)).select(
         "id", "unit_id"
     )
 
@@ -390,7 +390,7 @@ def bbox_prune(spark, d):
         )
     )
     edge = lambda c: box.select(c).scalar()
-    kept = spatial.bbox_prune(T.diamonds(spark), edge("x0"), edge("x1"), edge("y0"), edge("y1"))
+    kept = spatial.bbox_prune(T.diamonds(spark, d), edge("x0"), edge("x1"), edge("y0"), edge("y1"))
     return kept.select("unit_id")
 
 
@@ -1034,7 +1034,7 @@ def _daily_by_unit(spark, d):
 
 
 def _populated(spark, d):
-    return spatial.unit_population(T.units(spark, d), T.diamonds(spark), T.places(spark, d))
+    return spatial.unit_population(T.units(spark, d), T.diamonds(spark, d), T.places(spark, d))
 
 
 def _impact(spark, d):

@@ -161,15 +161,18 @@ def points(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def diamonds(spark: SparkSession) -> DataFrame:
-    """An 8 x 8 lattice of diamond-shaped units with closed rings."""
-    row, column = F.floor(F.col("id") / 8), F.col("id") % 8
-    x, y = -0.35 + 0.1 * column, -0.35 + 0.1 * row
-    corner = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
-    ring = [(0.05, 0.0), (0.0, 0.05), (-0.05, 0.0), (0.0, -0.05), (0.05, 0.0)]
-    return spark.range(64).select(
-        F.col("id").alias("unit_id"), F.array(*[corner(*c) for c in ring]).alias("ring")
-    )
+def diamonds(spark: SparkSession, folder: str) -> DataFrame:
+    """A diamond-shaped unit with a closed ring for each supplier, on a square lattice.
+
+    The lattice is moved a little, so that no place lies on an edge.
+    """
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("unit_id"))
+    side = suppliers.agg(F.ceil(F.sqrt(F.count(F.lit(1))))).scalar()
+    half, n = F.lit(0.4) / side, F.col("unit_id") - 1
+    x, y = F.lit(-0.40177) + half * (2 * (n % side) + 1), F.lit(-0.39713) + half * (2 * F.floor(n / side) + 1)
+    corner = lambda dx, dy: F.struct((x + dx * half).alias("x"), (y + dy * half).alias("y"))
+    ring = [(1, 0), (0, 1), (-1, 0), (0, -1), (1, 0)]
+    return suppliers.select("unit_id", F.array(*[corner(*c) for c in ring]).alias("ring"))
 
 
 def raster(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,7 +14,7 @@ LSHAPE = [(0.0, 0.0), (3.0, 0.0), (3.0, 1.0), (1.0, 1.0), (1.0, 3.0), (0.0, 3.0)
 def placed(spark, polygons, points, tile=0.5):
     polys = spark.createDataFrame(polygons, RING)
     pts = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id long, lon double, lat double")
-    return {(r.id, r.unit_id) for r in sp.point_in_polygon(pts, polys, "id", tile).collect()}
+    return {(r.id, r.unit_id) for r in sp.point_in_polygon(pts, polys, tile).collect()}
 
 
 def test_border_points_are_outside_and_overlaps_double(spark):
@@ -44,7 +44,7 @@ def test_geocode_folds_names_fans_out_and_counts_misses(spark):
         [(1, "San José"), (2, "  SAN-JOSE "), (3, "Nowhere"), (4, None)], "id long, municipio string"
     )
     places = spark.createDataFrame([("sanjose", 1.0), ("sanjose", 2.0)], "place string, lon double")
-    got = sp.geocode(events, places, "municipio", "id").collect()
+    got = sp.geocode(events, places, "municipio").collect()
     assert sorted((r.id, r.lon) for r in got) == [(1, 1.0), (1, 2.0), (2, 1.0), (2, 2.0)]
     rate = sp.geocode_rate(events, places, "municipio").first()
     assert (rate.n_eventos, rate.n_con_coord, rate.n_sin_coord, rate.tasa) == (4, 2, 2, 0.5)
