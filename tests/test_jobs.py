@@ -128,7 +128,7 @@ def test_scoring_a_week(stored):
     fitted = mo.fit(train, "logistic_regression")
     stamp = F.lit("2022-01-03").cast("timestamp")
     rows, document = pl.score_week(fitted, full, stamp)
-    assert rows.count() == 24 and document.count() == 1
+    assert rows.count() == 24 and document.count() == 25
     assert rows.first().week_start == date(2021, 12, 27)
     past, _ = pl.score_week(fitted, full, stamp, "2020-07-06/2020-07-12")
     assert {r.week_start for r in past.collect()} == {date(2020, 7, 6)}
