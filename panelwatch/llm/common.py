@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -18,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from panelwatch.session import shared_dir
+from panelwatch.session import scratch_folder as scratch
 
 #: Fixed value: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,7 +29,10 @@ def documents(spark: SparkSession, folder: str, name: str = "documents") -> Data
 
 @cache
 def _ship(application: str) -> None:
-    """Sends the package's sources to the workers, as ``--py-files`` would."""
+    """Sends the package's sources to the workers, as ``--py-files`` would.
+
+    The archive is made on the driver, and Spark's file server hands it to every executor.
+    """
     root = Path(__file__).resolve().parents[1]
     target = Path(tempfile.mkdtemp(prefix="panelwatch-py-")) / "panelwatch_py.zip"
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -82,29 +83,6 @@ def append_arrow(
     return df.mapInArrow(step, schema)
 
 
-_made: dict[str, list[str]] = {}
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's path in the shared folder; it is deleted when the application ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    paths = _made.setdefault(spark.sparkContext.applicationId, [])
-    if not paths:
-        atexit.register(_delete, spark, paths)
-    paths.append(path)
-    return path
-
-
-def _delete(spark: SparkSession, paths: list[str]) -> None:
-    context = spark.sparkContext
-    if context._jsc is None:
-        return
-    jvm = context._jvm
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, lineage cut."""
     path = scratch(df.sparkSession, name)
