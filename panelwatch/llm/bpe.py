@@ -51,6 +51,9 @@ def byte_letters() -> list[str]:
 class Codec:
     """The vocabulary file of the tokenizers library, and the two directions."""
 
+    #: Pieces, and words, remembered in each generation.
+    room = PIECES
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -69,8 +72,8 @@ class Codec:
         self.pattern = regex.compile(PATTERN)
         names = sorted(self.specials, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
-        self.words = Memory(self._packed_word)
-        self.inner = Memory(self._inner_piece)
+        self.words = Memory(self._packed_word, self.room)
+        self.inner = Memory(self._inner_piece, self.room)
 
     def word_ids(self, word: bytes) -> list[int]:
         ids = [self.byte_id[b] for b in word]
@@ -171,20 +174,20 @@ class _Blank(Exception):
 
 
 class Memory(dict):
-    """What ``make`` gives for a key, remembered in two generations of at most ``PIECES`` each.
+    """What ``make`` gives for a key, remembered in two generations of at most ``room`` each.
 
     When the young one is full it becomes the old one; keys in use come back from there.
     """
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], room: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.room, self.old = make, room, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= PIECES:
+        if len(self) >= self.room:
             self.old = dict(self)
             self.clear()
         self[key] = value

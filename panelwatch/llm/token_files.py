@@ -40,6 +40,8 @@ SHARD = (
 class LibraryCodec(Codec):
     """Pieces are remembered as in ``bpe``; the tokenizers library merges each new word."""
 
+    room = 400_000  # one worker a task; ``bpe`` has two
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 

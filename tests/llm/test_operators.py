@@ -54,7 +54,7 @@ def test_scan_and_heap_agree(monkeypatch):
 
 
 def test_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "PIECES", 10)
+    monkeypatch.setattr(bpe.Codec, "room", 10)
     own = bpe.Codec(available(VOCABULARY))
     text = " ".join(f"word{i % 37}" for i in range(500))
     assert own.decode(own.encode(text)) == text
