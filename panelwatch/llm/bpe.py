@@ -37,7 +37,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Marks that are a token of their own after a letter and at the end of a text.
 MARKS = frozenset(".,;:!?")
 SHORT = 96
-PIECES = 250_000
+PIECES = 120_000
 NO_PAIR = 1 << 40
 
 
