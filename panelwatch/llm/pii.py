@@ -5,7 +5,7 @@ that fails its check is dropped. Splitting a text by an expression and extractin
 the same matches, so the lengths of gaps and matches give every position.
 
 Contextual identifiers are bootstrapped. Every word with a digit is an instance, in the lexical
-pattern of the two words before it. Instances that a fixed kind covers are seeds. In each round a
+pattern of the two words before it, whatever these hold; their digits all read as 0. Instances that a fixed kind covers are seeds. In each round a
 pattern scores, for each kind, the mean score of its distinct instances, if ``SUPPORT`` of them
 count for it; an instance scores one minus the product of one minus the scores of its patterns.
 After ``ROUNDS`` rounds, the instances of patterns of at least ``CONFIDENCE`` that no fixed kind
@@ -25,7 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwatch.llm.common import stored
+from panelwatch.llm.common import WORD, stored
 
 #: Ends of the listed expressions, written so that a failed attempt isn't repeated
 #: from every later letter of the same run. They find the same matches.
@@ -34,10 +34,12 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
-#: A word with a digit, and the last two words before one.
-INSTANCE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-CONTEXT = r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$"
-CONTEXT_CHARS, INSTANCE_CHARS = 80, 5
+#: Up to this many words with the white space before each; a text is cut into such pieces.
+PIECE_WORDS = 256
+PIECE = rf"(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){{1,{PIECE_WORDS}}}+"
+#: The last two words of a piece, read backwards.
+LAST_TWO = r"^[^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++"
+INSTANCE_CHARS = 5
 SUPPORT, CONFIDENCE, ROUNDS = 5, 0.7, 3
 
 
@@ -72,11 +74,13 @@ KINDS = (
     Kind("card", CARD, _luhn, None),
     Kind("phone", PHONE, lambda m: F.length(_digits(m)).between(9, 15), "+"),
 )
-_SPAN = "array<struct<start:int,end:int,match:string,gap:string>>"
+_SPAN = "array<struct<start:int,end:int,match:string>>"
+_BASE = "array<struct<kind:string,start:int,end:int,match:string>>"
+_PIECE = f"array<struct<at:int,before:string,piece:string,base:{_BASE}>>"
 
 
-def spans(text: Column, pattern: str, letter: str | None = None, gaps: bool = False) -> Column:
-    """start, end (code points, end exclusive), match of every match; the text before it if asked."""
+def spans(text: Column, pattern: str, letter: str | None = None) -> Column:
+    """start, end (code points, end exclusive), match of every match."""
     searched = text if letter is None else F.when(F.contains(text, F.lit(letter)), text).otherwise(F.lit(""))
     matches = F.regexp_extract_all(searched, F.lit(pattern), F.lit(0))
     between = F.split(searched, pattern, -1)
@@ -84,8 +88,7 @@ def spans(text: Column, pattern: str, letter: str | None = None, gaps: bool = Fa
     def step(state: Column, item: Column) -> Column:
         start = state["at"] + F.length(item["gap"])
         end = start + F.length(item["match"])
-        gap = F.right(item["gap"], F.lit(CONTEXT_CHARS)) if gaps else F.lit("")
-        row = F.struct(start.alias("start"), end.alias("end"), item["match"].alias("match"), gap.alias("gap"))
+        row = F.struct(start.alias("start"), end.alias("end"), item["match"].alias("match"))
         return F.struct(end.alias("at"), F.array_append(state["found"], row).alias("found"))
 
     items = F.zip_with(
@@ -96,60 +99,98 @@ def spans(text: Column, pattern: str, letter: str | None = None, gaps: bool = Fa
 
 
 def base_spans(text: Column) -> Column:
-    """kind, start, end of the fixed kinds, by kind as listed and then by start."""
+    """kind, start, end, match of the fixed kinds, by kind as listed and then by start."""
     parts = []
     for kind in KINDS:
         held = F.filter(spans(text, kind.pattern, kind.letter), lambda s: kind.holds(s["match"]))  # noqa: B023
         name = F.lit(kind.name)
-        parts.append(
-            F.transform(held, lambda s: F.struct(name.alias("kind"), s["start"].alias("start"), s["end"].alias("end")))  # noqa: B023
-        )
-    return F.concat(*parts)
+        parts.append(F.transform(held, lambda s: F.struct(name.alias("kind"), s["start"], s["end"], s["match"])))  # noqa: B023
+    return F.concat(*parts).cast(_BASE)
+
+
+def _meets(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (a["end"] > b["start"])
 
 
-def instances(text: Column) -> Column:
-    """start, end, token, pattern of each word with a digit that has two words before it.
+def pieces(text: Column, base: Column) -> Column:
+    """at, before, piece, base: up to ``PIECE_WORDS`` words each, in order.
 
-    A mark that ends a word isn't part of its token; the words before are lower-cased.
+    ``before`` is the last two words of the piece before, null in the first; ``base`` are the
+    fixed spans that touch the piece, so that no word is compared with all spans of a long text.
     """
-    found = spans(text, INSTANCE, gaps=True)
 
-    def one(s: Column) -> Column:
-        token = F.regexp_replace(s["match"], r"[^A-Za-z0-9]+$", "")
-        pattern = F.lower(F.regexp_extract(s["gap"], CONTEXT, 1))
-        return F.struct(
-            s["start"].alias("start"),
-            (s["start"] + F.length(token)).alias("end"),
-            token.alias("token"),
-            F.regexp_replace(pattern, r"[\x20\x09-\x0D]+", " ").alias("pattern"),
-        )
+    def step(state: Column, piece: Column) -> Column:
+        end = state["at"] + F.length(piece)
+        touching = F.filter(base, lambda b: (b["start"] < end) & (b["end"] > state["at"]))
+        row = F.struct(state["at"].alias("at"), state["before"].alias("before"), piece.alias("piece"), touching.alias("base"))
+        last = F.reverse(F.regexp_extract(F.reverse(piece), LAST_TWO, 0))
+        return F.struct(end.alias("at"), last.alias("before"), F.array_append(state["found"], row).alias("found"))
+
+    start = F.struct(
+        F.lit(0).alias("at"), F.lit(None).cast("string").alias("before"), F.array().cast(_PIECE).alias("found")
+    )
+    cut = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+    return F.aggregate(cut, start, step, lambda s: s["found"])
+
+
+def words(known: DataFrame, placed: bool = False) -> DataFrame:
+    """row, base, start, word, before_2, before_1 of every word of the texts of (row, text, base).
 
-    return F.filter(F.transform(found, one), lambda s: s["pattern"] != "")
+    The words before are the two that stand there, whatever they hold, lower-cased and with every
+    digit as 0; before the first word of a text they are empty. ``start`` is null where no fixed
+    span is near, unless ``placed``.
+    """
+    cut = known.select("row", F.inline(pieces(F.col("text"), F.col("base"))))
+    found = F.regexp_extract_all("piece", F.lit(WORD), F.lit(0))
+    masked = F.lower(F.translate(F.concat_ws(" ", "before", "piece"), "123456789", "000000000"))
+    plain = F.regexp_extract_all(masked, F.lit(WORD), F.lit(0))
+    first = F.array(F.lit(""), F.lit(""))
+    at = F.transform(spans(F.col("piece"), WORD), lambda s: s["start"] + F.col("at"))
+    none = F.array().cast("array<int>")
+    rows = cut.select(
+        "row",
+        "base",
+        found.alias("word"),
+        F.when(F.col("before").isNull(), F.concat(first, plain)).otherwise(plain).alias("context"),
+        (at if placed else F.when(F.size("base") > 0, at).otherwise(none)).alias("start"),
+    )
+    n = F.size("word")
+    zipped = F.arrays_zip(
+        F.col("start"),
+        F.col("word"),
+        F.slice("context", F.lit(1), n).alias("before_2"),
+        F.slice("context", F.lit(2), n).alias("before_1"),
+    )
+    return rows.select("row", "base", F.inline(zipped).alias("start", "word", "before_2", "before_1"))
 
 
-def with_kinds(text: Column, base: Column, found: Column) -> Column:
-    """Instances with the kinds of the fixed spans that they touch.
+def instances(found: DataFrame) -> DataFrame:
+    """row, start, end, token, pattern, kinds from ``words``.
 
-    A fixed span counts where it begins, as a whole: its later words are no instances. Other
-    words count from ``INSTANCE_CHARS`` letters on.
+    A fixed span counts once, where it begins and as a whole, with the kinds of those that overlap
+    it at its first word; its later words are no instances. A word that none touches has no kinds;
+    marks that end it aren't part of its token.
     """
+    start, word = F.col("start"), F.col("word")
+    token = F.regexp_replace(word, r"[^\p{L}\p{M}\p{N}]++$", "")
+    touching = F.filter("base", lambda b: (b["start"] < start + F.length(word)) & (b["end"] > start))
+    one = "array<struct<start:int,end:int,token:string,kinds:array<string>>>"
 
-    def one(i: Column) -> Column:
-        touching = F.filter(base, lambda b: (b["start"] < i["end"]) & (b["end"] > i["start"]))
-        begun = F.filter(touching, lambda b: b["start"] >= i["start"])
-        first = F.get(begun, F.lit(0))
-        whole = F.substr(text, first["start"] + 1, first["end"] - first["start"])
-        return F.struct(
-            i["start"].alias("start"),
-            i["end"].alias("end"),
-            F.coalesce(whole, i["token"]).alias("token"),
-            i["pattern"].alias("pattern"),
-            F.array_distinct(F.transform(touching, lambda b: b["kind"])).alias("kinds"),
-            (F.size(begun) > 0).alias("seed"),
-        )
+    def apart(kept: Column, b: Column) -> Column:
+        return F.when(F.exists(kept, lambda k: _meets(k, b)), kept).otherwise(F.array_append(kept, b))
+
+    def seed(b: Column) -> Column:
+        kinds = F.transform(F.filter("touching", lambda t: _meets(t, b)), lambda t: t["kind"])
+        return F.struct(b["start"], b["end"], b["match"].alias("token"), F.array_distinct(kinds).alias("kinds"))
 
-    counts = lambda i: i["seed"] | ((F.size(i["kinds"]) == 0) & (F.length(i["token"]) >= INSTANCE_CHARS))
-    return F.filter(F.transform(found, one), counts)
+    begun = F.filter("touching", lambda b: b["start"] >= start)
+    seeds = F.transform(F.aggregate(begun, F.array().cast(_BASE), apart), seed)
+    end = start + F.length("token")
+    plain = F.array(F.struct(start, end.alias("end"), "token", F.array().cast("array<string>").alias("kinds")))
+    items = F.when(F.size("touching") > 0, seeds.cast(one)).when(F.col("token") != "", plain.cast(one))
+    pattern = F.concat_ws(" ", "before_2", "before_1").alias("pattern")
+    near = F.when(F.size("base") > 0, touching).otherwise(F.array().cast(_BASE)).alias("touching")
+    return found.select("row", start, pattern, token.alias("token"), near).select("row", "pattern", F.inline(items))
 
 
 def score_patterns(occurrences: DataFrame) -> DataFrame:
@@ -201,15 +242,11 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         F.xxhash64(text).alias("text_hash"),
         value.alias("text"),
         base_spans(value).alias("base"),
-        instances(value).alias("found"),
-    ).select(
-        "doc_id",
-        "text_hash",
-        "base",
-        with_kinds(F.col("text"), F.col("base"), F.col("found")).alias("instances"),
     )
     known = stored(rows.withColumn("row", F.monotonically_increasing_id()), "personal")
-    one = known.select("row", F.explode("instances").alias("i")).select("row", "i.*")
+    digits = words(known, placed=True).where(F.col("word").rlike("[0-9]"))
+    counts = (F.size("kinds") > 0) | (F.length("token") >= INSTANCE_CHARS)
+    one = stored(instances(digits).where(counts), "instances")
     patterns = score_patterns(one.select("pattern", "token", "kinds"))
     fresh = (
         one.where(F.size("kinds") == 0)
@@ -219,10 +256,10 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("near_"), "kind").alias("kind"), "start", "end"))).alias("fresh"))
     )
+    base = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"]))
+    found = known.join(fresh, "row", "left").select("doc_id", "text_hash", base.alias("base"), "fresh")
     everything = F.when(F.col("fresh").isNull(), F.col("base")).otherwise(F.concat("base", "fresh"))
-    return known.join(fresh, "row", "left").select(
-        "doc_id", "text_hash", "base", everything.alias("spans")
-    )
+    return found.select("doc_id", "text_hash", "base", everything.alias("spans"))
 
 
 def listed(found: Column) -> Column:

@@ -127,6 +127,15 @@ def test_contexts_find_unseen_identifiers(spark):
     assert spans.select(pii.redacted(F.col("text"), F.col("spans")).alias("x")).first().x == "Please call my number [near_phone] today."
 
 
+def test_contexts_are_the_words_before(spark):
+    long, far = "x" * 90, [f"w{i}" for i in range(254)]
+    for before in ("no 7 code", f"a {long} {long}", "A1-22 B3-44", " ".join([*far, "its code"])):
+        texts = [f"see {before} +1 202 555 01{i:02d} now" for i in range(8)] + [f"see {before} X12-34, now"]
+        found = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find(numbered(spark, texts)).collect()}
+        at = texts[8].index("X12")
+        assert found[8] == [("near_phone", at, at + 6)], before
+
+
 def test_redaction_joins_overlaps(spark):
     row = frame(spark, [(1, "ab 1234567890 cd")]).withColumn(
         "s", F.expr("array(struct('card' AS kind, 3 AS start, 10 AS end), struct('phone' AS kind, 5 AS start, 13 AS end))")
