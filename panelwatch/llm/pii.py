@@ -4,13 +4,18 @@ The fixed kinds are found by one regular expression each, leftmost and without o
 that fails its check is dropped. Splitting a text by an expression and extracting its matches walk
 the same matches, so the lengths of gaps and matches give every position.
 
-Contextual identifiers are bootstrapped. Every word with a digit is an instance, in the lexical
-pattern of the two words before it, whatever these hold; their digits all read as 0. Instances that a fixed kind covers are seeds. In each round a
-pattern scores, for each kind, the mean score of its distinct instances, if ``SUPPORT`` of them
-count for it; an instance scores one minus the product of one minus the scores of its patterns.
-After ``ROUNDS`` rounds, the instances of patterns of at least ``CONFIDENCE`` that no fixed kind
-covers are new spans, of kind ``near_`` and the kind. The graph is counted in full; a pattern that
-a third of all instances stand in is summed before the shuffle. DataFrame functions only.
+Contextual identifiers are bootstrapped. Every word is an instance, in the lexical pattern of the
+two words before it, whatever these hold; their digits all read as 0. A fixed span is an instance
+as a whole, and a seed. A pattern scores, for each kind, the mean score of its distinct instances,
+if their scores reach ``SUPPORT``; an instance scores one minus the product of one minus the scores
+of its patterns of at least ``CONFIDENCE``. Scores only rise; they are computed anew until none
+does. The instances of the patterns found that no fixed kind covers are new spans, of kind
+``near_`` and the kind.
+
+Only patterns that can reach ``SUPPORT`` are counted, but these over all their instances: the texts
+are read for the instances of such patterns, and for the patterns of the instances that these
+reach, until nothing new is reached. Where no pattern has enough seeds, they aren't read again.
+DataFrame functions only.
 
 Cases: a null text is empty; rows are treated one by one, so repeated rows have equal spans
 (though instances count once, however often they are repeated); an instance in an overlap of two
@@ -39,8 +44,9 @@ PIECE_WORDS = 256
 PIECE = rf"(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){{1,{PIECE_WORDS}}}+"
 #: The last two words of a piece, read backwards.
 LAST_TWO = r"^[^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++"
-INSTANCE_CHARS = 5
-SUPPORT, CONFIDENCE, ROUNDS = 5, 0.7, 3
+SUPPORT, CONFIDENCE = 5, 0.7
+#: Places of a score; below, a rise isn't one.
+PLACES = 6
 
 
 def _digits(match: Column) -> Column:
@@ -193,45 +199,78 @@ def instances(found: DataFrame) -> DataFrame:
     return found.select("row", start, pattern, token.alias("token"), near).select("row", "pattern", F.inline(items))
 
 
-def score_patterns(occurrences: DataFrame) -> DataFrame:
-    """pattern, kind, score from (pattern, token, kinds), where ``kinds`` of a seed isn't empty."""
-    edges = stored(
-        occurrences.groupBy("pattern", F.xxhash64("token").alias("token")).agg(
-            F.flatten(F.collect_set("kinds")).alias("kinds")
-        ),
-        "pattern-instances",
-    )
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    seeds = edges.select("token", F.explode("kinds").alias("kind")).distinct()
-    scores = seeds.withColumn("score", F.lit(1.0))
-    patterns = None
-    for _ in range(ROUNDS):
+def _edges(occurrences: DataFrame) -> DataFrame:
+    """Distinct pattern, token (hashed)."""
+    return occurrences.select("pattern", F.xxhash64("token").alias("token")).distinct()
+
+
+def score_patterns(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """pattern, kind, score at the fixed point, from all instances (pattern, token) of patterns."""
+    sizes = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    certain = seeds.withColumn("score", F.lit(1.0))
+    scores, before = certain, None
+    while True:
         sums = (
-            edges.select("pattern", "token")
-            .join(scores, "token")
+            edges.join(scores, "token")
             .groupBy("pattern", "kind")
             .agg(F.sum("score").alias("total"))
             .where(F.col("total") >= SUPPORT)
         )
         patterns = stored(
             sums.join(sizes, "pattern")
-            .select("pattern", "kind", F.round(F.col("total") / F.col("n"), 9).alias("score"))
+            .select("pattern", "kind", F.round(F.col("total") / F.col("n"), PLACES).alias("score"))
             .where(F.col("score") >= CONFIDENCE),
             "patterns",
         )
+        total = F.sum(F.col("score").cast(f"decimal(18,{PLACES})"))
+        state = tuple(patterns.agg(F.count(F.lit(1)), total).first())
+        if state == before:
+            return patterns
+        before = state
         # A product over patterns as a sum of logarithms; seeds stay certain.
         reached = (
-            edges.where(F.size("kinds") == 0)
-            .select("pattern", "token")
-            .join(patterns, "pattern")
+            edges.join(patterns, "pattern")
             .groupBy("token", "kind")
             .agg(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))).alias("log_miss"))
             .select("token", "kind", F.round(1 - F.exp("log_miss"), 9).alias("score"))
         )
-        scores = seeds.withColumn("score", F.lit(1.0)).unionByName(
-            reached.join(seeds, ["token", "kind"], "left_anti")
-        )
-    return patterns
+        scores = certain.unionByName(reached.join(seeds, ["token", "kind"], "left_anti"))
+
+
+def learnt_patterns(known: DataFrame) -> DataFrame | None:
+    """pattern, kind, score of the patterns learnt from the texts of ``known``; none if there are none."""
+    # A seed of one word, wherever it stands, has a digit or an @.
+    marks = instances(words(known).where(F.col("word").rlike("[0-9@]")))
+    marks = stored(
+        marks.groupBy("pattern", F.xxhash64("token").alias("token")).agg(F.flatten(F.collect_set("kinds")).alias("kinds")),
+        "pattern-instances",
+    )
+    seeds = stored(marks.select("token", F.explode("kinds").alias("kind")).distinct(), "seeds")
+    reached = seeds
+    occurrences = marks.select("pattern", "token").join(seeds, "token", "left_semi")
+    edges = patterns = None
+    while True:
+        wanted = (
+            occurrences.join(reached, "token").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= SUPPORT).select("pattern").distinct()
+        )
+        if edges is not None:
+            wanted = wanted.join(edges.select("pattern").distinct(), "pattern", "left_anti")
+        wanted = stored(wanted, "wanted")
+        if wanted.isEmpty():
+            return patterns
+        found = stored(_edges(instances(words(known)).join(wanted, "pattern", "left_semi")), "edges")
+        edges = found if edges is None else edges.unionByName(found)
+        patterns = score_patterns(edges, seeds)
+        fresh = edges.join(patterns, "pattern").select("token", "kind").distinct()
+        fresh = stored(fresh.join(reached, ["token", "kind"], "left_anti"), "reached")
+        if fresh.isEmpty():
+            return patterns
+        new = fresh.select("token").distinct().join(reached, "token", "left_anti")
+        reached = reached.unionByName(fresh)
+        hashed = instances(words(known)).select("pattern", F.xxhash64("token").alias("token"))
+        found = stored(hashed.join(new, "token", "left_semi").distinct(), "occurrences")
+        occurrences = occurrences.unionByName(found)
 
 
 def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -244,19 +283,19 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         base_spans(value).alias("base"),
     )
     known = stored(rows.withColumn("row", F.monotonically_increasing_id()), "personal")
-    digits = words(known, placed=True).where(F.col("word").rlike("[0-9]"))
-    counts = (F.size("kinds") > 0) | (F.length("token") >= INSTANCE_CHARS)
-    one = stored(instances(digits).where(counts), "instances")
-    patterns = score_patterns(one.select("pattern", "token", "kinds"))
+    base = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"]))
+    patterns = learnt_patterns(known)
+    if patterns is None:
+        return known.select("doc_id", "text_hash", base.alias("base"), base.alias("spans"))
     fresh = (
-        one.where(F.size("kinds") == 0)
+        instances(words(known, placed=True))
+        .where(F.size("kinds") == 0)
         .join(patterns, "pattern")
         .groupBy("row", "start", "end")
         .agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
         .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("near_"), "kind").alias("kind"), "start", "end"))).alias("fresh"))
     )
-    base = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"]))
     found = known.join(fresh, "row", "left").select("doc_id", "text_hash", base.alias("base"), "fresh")
     everything = F.when(F.col("fresh").isNull(), F.col("base")).otherwise(F.concat("base", "fresh"))
     return found.select("doc_id", "text_hash", "base", everything.alias("spans"))

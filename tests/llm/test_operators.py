@@ -136,6 +136,25 @@ def test_contexts_are_the_words_before(spark):
         assert found[8] == [("near_phone", at, at + 6)], before
 
 
+def test_any_word_is_found_over_any_number_of_rounds(spark):
+    mails = [f"{c * 3}.smith@example.org" for c in "abcdefgh"]
+    texts = [f"please write to {m} soon" for m in mails] + ["please write to user at host", "she went home"]
+    # Each step's pattern has the names of the step before, and two that the next one has too.
+    steps = 4
+    names = [[f"{chr(97 + k)}{c}login" for c in "qrstuvw"] for k in range(steps)]
+    texts += [f"please write to {n}" for n in names[0][:2]]
+    for k in range(steps):
+        known = mails if k == 0 else names[k - 1]
+        texts += [f"and step{chr(97 + k)} of {x}" for x in [*known, *names[k][:2]]]
+        texts += [f"then {chr(97 + k)}tep on {x}" for x in [*known, *names[k][2:4]]]
+        texts += [f"last {chr(97 + k)}ound by {x}" for x in [*known, *names[k][4:]]]
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find(numbered(spark, texts)).collect()}
+    assert found[0] == [("email", 16, 16 + len(mails[0]))]
+    assert found[8] == [("near_email", 16, 20)] and found[9] == []
+    for i, text in enumerate(texts[10:], 10):
+        assert len(found[i]) == 1, text
+
+
 def test_redaction_joins_overlaps(spark):
     row = frame(spark, [(1, "ab 1234567890 cd")]).withColumn(
         "s", F.expr("array(struct('card' AS kind, 3 AS start, 10 AS end), struct('phone' AS kind, 5 AS start, 13 AS end))")
