@@ -18,6 +18,7 @@ conversation; other columns are left out; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -175,22 +176,40 @@ def read_back(blocks: DataFrame) -> DataFrame:
 
 
 def digests(read: DataFrame) -> DataFrame:
-    """One row per conversation; its blocks are joined in order."""
-    part = F.struct("block", "said", "loss")
-    joined = lambda f: F.array_join(F.transform("parts", lambda p: p[f]), "")
-    return (
-        read.groupBy("conv_id")
-        .agg(
-            F.sum("n_turns").alias("n_turns"),
-            F.array_sort(F.collect_list(part)).alias("parts"),
-            F.sum("formatted_chars").alias("formatted_chars"),
-        )
-        .select(
-            "conv_id",
-            "n_turns",
-            F.sha2(joined("said"), 256).alias("turns_sha256"),
-            F.length(joined("loss")).cast("bigint").alias("loss_chars"),
-            F.sha2(joined("loss"), 256).alias("loss_sha256"),
-            "formatted_chars",
-        )
+    """One row per conversation, hashed block by block in order; no conversation is held whole."""
+    ddl = (
+        "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
+        "formatted_chars bigint"
     )
+    types = arrow_type(ddl)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, conv_id = False, None
+        for batch in batches:
+            done = []
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_py() for name in names}
+                if not begun or row["conv_id"] != conv_id:
+                    if begun:
+                        done.append(result())
+                    begun, conv_id = True, row["conv_id"]
+                    said, loss = hashlib.sha256(), hashlib.sha256()
+                    n_turns = loss_chars = formatted_chars = 0
+                said.update(row["said"].encode())
+                loss.update(row["loss"].encode())
+                n_turns += row["n_turns"]
+                loss_chars += len(row["loss"])
+                formatted_chars += row["formatted_chars"]
+                result = lambda: (conv_id, n_turns, said.hexdigest(), loss_chars, loss.hexdigest(), formatted_chars)
+            if done:
+                yield _batch(done, types)
+        if begun:
+            yield _batch([result()], types)
+
+    names = ["conv_id", "block", "n_turns", "said", "loss", "formatted_chars"]
+    ordered = read.select(*names).repartition("conv_id").sortWithinPartitions("conv_id", "block")
+    return map_arrow(ordered, step, ddl)
+
+
+def _batch(rows: list[tuple], types: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([dict(zip(types.names, r)) for r in rows], schema=types)

@@ -361,3 +361,20 @@ def test_urls_on_held_out_seeds(spark):
     model = urls.fit(spark.createDataFrame(train, "url string, block double"))
     judged = urls.judged(spark.createDataFrame(test, "url string, block double"), model, rules=()).collect()
     assert sum((r.verdict == "block") == (r.block == 1) for r in judged) >= 0.9 * len(judged)
+
+
+def test_digests_hold_no_conversation_whole(spark):
+    import hashlib
+
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{c} é {t}") for c in (1, None, 2) for t in range(23)]
+    blocks = chat.render_conversations(frame(spark, rows, "conv_id long, turn long, role string, text string"), block_turns=4)
+    found = chat.digests(chat.read_back(blocks))
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for r in found.collect():
+        own = [x for x in rows if x[0] == r.conv_id]
+        loss = "".join(x[3] for x in own if x[2] == "assistant")
+        said = "".join(f"{x[2]}\n{x[3]}\n" for x in own)
+        assert tuple(r)[1:5] == (23, sha(said), len(loss), sha(loss))
+    assert found.count() == 3
+    read = spark.createDataFrame([], "conv_id long, block long, n_turns long, said string, loss string, formatted_chars long")
+    assert "collect_list" not in chat.digests(read)._jdf.queryExecution().optimizedPlan().toString()
