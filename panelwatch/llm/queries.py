@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import bpe, chat, minhash, mixing, order_minhash, pii, quality, substring, token_files, urls
+from panelwatch.llm import bpe, chat, line_dedup, minhash, mixing, order_minhash, periodic, pii, quality, substring, token_files, urls
 from panelwatch.llm.common import available, digest, documents, scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,26 @@ def op2_personal(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op12_lines(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.drop_shared_lines(texts(spark, folder))
+    return found.select("doc_id", "n_lines", "n_dropped", digest("kept").alias("kept_sha256"))
+
+
+@query
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.with_runs(periodic.with_planted_runs(texts(spark, folder)))
+    best = periodic.longest(F.col("runs"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *(best[name].alias(name) for name in ("start", "length", "period")),
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        digest(periodic.listed(F.col("runs"))).alias("runs_sha256"),
+        digest("collapsed").alias("collapsed_sha256"),
+    )
+
+
 #: Production weights of the mix.
 MIX = {
     "domain": {"web": 5, "books": 3, "forum": 1},

@@ -147,3 +147,52 @@ def url(value):
     fitting = [r for r in RULES if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
     best = max(fitting, key=lambda r: len(r[1] + r[2]), default=None)
     return host, path, best and best[1] + best[2], best and best[0]
+
+
+def shared_lines(rows, least_chars=20, least_docs=3):
+    """doc_id, number of lines, number dropped, the rest; every row is a document."""
+    def key(line):
+        k = line.strip("\x20\x09\x0a\x0b\x0c\x0d").translate({c: c + 32 for c in range(65, 91)})
+        return k if len(k) >= least_chars else None
+
+    order = lambda doc_id: (doc_id is not None, doc_id or 0)
+    count, last, out = Counter(), {}, []
+    for doc_id, text in rows:
+        for k in {key(x) for x in (text or "").split("\n")} - {None}:
+            count[k] += 1
+            last[k] = max(last.get(k, (False, 0)), order(doc_id))
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        gone = [(k := key(x)) is not None and count[k] >= least_docs and last[k] != order(doc_id) for x in lines]
+        out.append((doc_id, len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone) if not g)))
+    return out
+
+
+def planted(doc_id, text):
+    words = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and words:
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    return words
+
+
+def runs(words):
+    """(start, length, period) of all runs, and the words without their repeated parts."""
+    n, found = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i < n - q:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i < n - q and words[i] == words[i + q]:
+                i += 1
+            if i + q - start >= max(12, 2 * q):
+                found.setdefault((start, i + q), q)
+    out = sorted((s, e - s, q) for (s, e), q in found.items())
+    gone = {i for s, length, q in out for i in range(s + q, s + length)}
+    return out, " ".join(w for i, w in enumerate(words) if i not in gone)

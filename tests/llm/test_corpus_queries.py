@@ -38,7 +38,7 @@ def got(spark, tiny, name, key="doc_id"):
 
 def test_registered():
     names = sorted(queries())
-    assert all(any(x.startswith(f"op{n}_") for x in names) for n in range(1, 11))
+    assert all(any(x.startswith(f"op{n}_") for x in names) for n in range(1, 14))
     assert "pipeline" in names
 
 
@@ -125,6 +125,22 @@ def test_op10(spark, tiny):
             assert (g.verdict == "block") == any(b in host for b in bad)
 
 
+def test_op12(spark, tiny, rows):
+    found = got(spark, tiny, "op12_lines")
+    for k, n_lines, n_dropped, kept in brute.shared_lines(rows):
+        assert tuple(found[k])[1:] == (n_lines, n_dropped, brute.sha(kept))
+
+
+def test_op13(spark, tiny, rows):
+    found = got(spark, tiny, "op13_runs")
+    for k, text in rows:
+        runs, kept = brute.runs(brute.planted(k, text))
+        best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        listed = "".join(f"{s},{length},{p}\n" for s, length, p in runs)
+        top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        assert tuple(found[k])[1:] == (len(runs), *top, brute.sha(listed), brute.sha(kept))
+
+
 def test_pipeline(spark, tiny, rows, tokenizer):
     """The stages one after the other, from the plain versions and the operators' own verdicts."""
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
