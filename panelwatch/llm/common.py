@@ -64,7 +64,7 @@ def sliced(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[
 
 
 def append_arrow(
-    df: DataFrame, columns_of: Callable[[pa.RecordBatch], list[pa.Array]], ddl: str
+    df: DataFrame, columns_of: Callable[[pa.RecordBatch], list[pa.Array]], ddl: str, limit: int = 8 << 20
 ) -> DataFrame:
     """``df`` with the columns that ``columns_of`` makes of each batch; same names are replaced."""
     added = _parse_datatype_string(ddl)
@@ -74,7 +74,7 @@ def append_arrow(
     types = arrow_type(ddl)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit):
             new = [a.cast(f.type) for a, f in zip(columns_of(batch), types)]
             old = [batch.column(source.index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*old, *new], names=[*names, *types.names])

@@ -27,6 +27,8 @@ table gives an empty table.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -37,6 +39,8 @@ from panelwatch.llm.common import WORD, append_arrow, mixed
 LEAST_WORDS = 12
 #: Words of the shortest piece that is looked up: a run repeats at least so many in a row.
 PIECE = LEAST_WORDS // 2
+#: Text that shares a grammar: the arrays of so much fit a processor's cache.
+BATCH_BYTES = 1 << 20
 #: Pairs of places extended at a time.
 AT_ONCE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -155,7 +159,7 @@ class Pieces:
 
     def __init__(self, hashes: Hashes, doc: np.ndarray, length: int, at: np.ndarray, n: int):
         key = hashes.of(at, length) ^ mixed(doc[at].astype("u8"), 13)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, at = key[order], at[order]
         new = np.ones(len(at), bool)
         new[1:] = key[1:] != key[:-1]
@@ -164,7 +168,7 @@ class Pieces:
         #: Number of the piece that begins at each word; -1 if it stands once.
         self.rank = np.full(n, -1, "i8")
         self.rank[at[many]] = rank[many]
-        self.sorted = rank[many] << 32 | at[many]
+        self.sorted = np.sort(rank[many] << 32 | at[many])
         self.at = np.sort(at[many])
 
     def within(self, anchor: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,21 +204,22 @@ def crossing_runs(
     """start, end, period, owner of all runs that cross a border, as far as they reach within its
     low to high, and of some that stand beside it; each with its smallest period."""
     n, found = len(ids), []
-    room = high - low >= LEAST_WORDS
-    borders, low, high, owner = borders[room], low[room], high[room], owner[room]
     hashes = Hashes(ids)
     ends = np.append(np.flatnonzero(doc[1:] != doc[:-1]) + 1, n)
-    end_of = ends[np.searchsorted(ends, np.arange(n), "right")] if n else ends[:0]
+    end_of = np.repeat(ends, np.diff(ends, prepend=0))
     alive, length = np.arange(n), PIECE
     # For each word, of the runs found with shorter periods the one that reaches furthest.
     reach, period = np.zeros(n, "i8"), np.ones(n, "i8")
     least, most = 1, 4 * PIECE
-    longest = int((high - low).max(initial=0))
-    while 2 * least <= longest:
+    while 2 * least <= int((high - low).max(initial=0)):
         alive = alive[alive + length <= end_of[alive]]
         pieces = Pieces(hashes, doc, length, alive, n)
         alive = pieces.at
         if length == PIECE:
+            # A border where no piece stands again is crossed by no run of any period.
+            so_far = np.concatenate([[0], np.cumsum(pieces.rank >= 0)])
+            near = (high - low >= LEAST_WORDS) & (so_far[np.minimum(borders + 1, n)] > so_far[np.maximum(borders - PIECE, 0)])
+            borders, low, high, owner = borders[near], low[near], high[near], owner[near]
             anchors = borders[:, None] + np.arange(-PIECE, 1)
         else:
             anchors = -(-(borders[:, None] - 2 * length) // length) * length + np.arange(4) * length
@@ -268,7 +273,8 @@ def find_runs(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """start, end, period of every run of a batch; ids and documents (in order) of all its words."""
     grammar = Grammar(ids, doc)
     p, border, q = grammar.rules.T
-    low, high = (np.searchsorted(doc, doc[grammar.borders], side) for side in ("left", "right"))
+    first = np.searchsorted(doc, np.arange(doc[-1] + 2 if len(doc) else 1))
+    low, high = first[doc[grammar.borders]], first[doc[grammar.borders] + 1]
     runs = crossing_runs(
         ids,
         doc,
@@ -294,7 +300,7 @@ def runs_of(texts: list[str | None]) -> tuple[list[list[dict]], list[str]]:
     numbers = Numbers()
     n_words = np.array([len(w) for w in words], "i8")
     first = np.concatenate([[0], np.cumsum(n_words)])
-    ids = np.fromiter((x for w in words for x in map(numbers.__getitem__, w)), "i8", int(first[-1]))
+    ids = np.fromiter(map(numbers.__getitem__, chain.from_iterable(words)), "i8", int(first[-1]))
     doc = np.repeat(np.arange(len(words)), n_words)
     start, end, period = find_runs(ids, doc).T
     change = np.zeros(len(ids) + 1, "i8")
@@ -322,7 +328,7 @@ def with_runs(df: DataFrame, text: str = "text") -> DataFrame:
         kind = pa.list_(pa.struct([(name, pa.int64()) for name in ("start", "length", "period")]))
         return [pa.array(runs, kind), pa.array(kept, pa.string())]
 
-    return append_arrow(df, of, f"runs {RUNS}, collapsed string")
+    return append_arrow(df, of, f"runs {RUNS}, collapsed string", BATCH_BYTES)
 
 
 def longest(runs: Column) -> Column:
