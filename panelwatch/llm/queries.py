@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import bpe, chat, line_dedup, minhash, mixing, order_minhash, periodic, pii, quality, substring, token_files, urls
+from panelwatch.llm import bpe, chat, conversation_repair, line_dedup, minhash, mixing, order_minhash, periodic, pii, quality, substring, token_files, urls
 from panelwatch.llm.common import available, digest, documents, scratch, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,12 @@ def op2_personal(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = documents(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.report_with_digest(conversation_repair.damaged(rows), rows)
+
+
 @query
 def op12_lines(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.drop_shared_lines(texts(spark, folder))

@@ -196,3 +196,74 @@ def runs(words):
     out = sorted((s, e - s, q) for (s, e), q in found.items())
     gone = {i for s, length, q in out for i in range(s + q, s + length)}
     return out, " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def damaged(rows):
+    """(conv_id, turn, role, text) with the faults planted by a checksum."""
+    out = []
+    for conv_id, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        name = ":".join(" " if x is None else str(x) for x in (conv_id, turn))
+        kind = zlib.crc32(name.encode()) % 20
+        if kind:
+            text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+            out += [(conv_id, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def cheapest(rows):
+    """Least (cost, edits, rows left) by trying all edits of (role, text, fault)."""
+    best = {("", 0): (0, "", ())}  # by state of the grammar and rows read
+
+    def allowed(state, initial):
+        return initial in {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+
+    states = ("", "s", "u", "a")
+    for i in range(len(rows) + 1):
+        for _ in range(3):
+            for state in states:
+                if (state, i) in best:
+                    cost, audit, left = best[state, i]
+                    role = "assistant" if state == "u" else "user"
+                    new = (cost + 5, audit + "I", (*left, (role, "")))
+                    key = (role[0], i)
+                    best[key] = min(best.get(key, new), new)
+        if i == len(rows):
+            break
+        role, text, fault = rows[i]
+        for state in states:
+            if (state, i) not in best:
+                continue
+            cost, audit, left = best[state, i]
+            options = [(state, cost + 2, "D", left)]
+            if fault not in ("blank", "duplicate"):
+                extra = 5 if fault else 0
+                if role and allowed(state, role[0]):
+                    options.append((role[0], cost + extra, "K", (*left, (role, text))))
+                to = "assistant" if state == "u" else "user"
+                options.append((to[0], cost + extra + 1, "R", (*left, (to, text))))
+            for to, c, e, rest in options:
+                new, key = (c, audit + e, rest), (to, i + 1)
+                best[key] = min(best.get(key, new), new)
+    return min(best[s, len(rows)] for s in ("", "a") if (s, len(rows)) in best)
+
+
+def repair(rows):
+    """What op11 returns of one conversation's (turn, role, text) after damage, but for its id."""
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.md5(r[2].encode()).digest())
+    rows, seen, read = sorted(rows, key=order), set(), []
+    for _, role, text in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "" if bare[-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        read.append((role, text, fault))
+    turns = {t for t, _, _ in rows} - {None}
+    count = Counter(f for _, _, f in read)
+    pairs = [a[0][:1] + b[0][:1] for a, b in zip(read, read[1:])]
+    cost, audit, left = cheapest(read)
+    return (
+        max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+        *(count[f] for f in ("blank", "duplicate", "truncated")),
+        sum(p not in ("su", "ua", "au") for p in pairs),
+        cost, audit, sha("\n".join(f"{r}:{t}" for r, t in left)),
+    )

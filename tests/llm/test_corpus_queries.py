@@ -125,6 +125,15 @@ def test_op10(spark, tiny):
             assert (g.verdict == "block") == any(b in host for b in bad)
 
 
+def test_op11(spark, tiny):
+    rows = [tuple(r) for r in spark.read.parquet(f"{tiny}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    turns = {r[0]: [] for r in rows}
+    for conv_id, *turn in brute.damaged(rows):
+        turns[conv_id].append(turn)
+    found = got(spark, tiny, "op11_repair", "conv_id")
+    assert {k: tuple(r)[1:] for k, r in found.items()} == {k: brute.repair(v) for k, v in turns.items()}
+
+
 def test_op12(spark, tiny, rows):
     found = got(spark, tiny, "op12_lines")
     for k, n_lines, n_dropped, kept in brute.shared_lines(rows):
