@@ -12,9 +12,11 @@ of its patterns of at least ``CONFIDENCE``. Scores only rise; they are computed
 does. The instances of the patterns found that no fixed kind covers are new spans, of kind
 ``near_`` and the kind.
 
-Only patterns that can reach ``SUPPORT`` are counted, but these over all their instances: the texts
-are read for the instances of such patterns, and for the patterns of the instances that these
-reach, until nothing new is reached. Where no pattern has enough seeds, they aren't read again.
+Only patterns that can reach ``SUPPORT`` and ``CONFIDENCE`` are counted, but these over all their
+instances: the texts are read for the instances of such patterns, and for the patterns of the
+instances that these reach, until nothing new is reached. Frequent patterns are mostly found to
+have too many instances in a part of the texts (see ``_possible``; exact, nothing is lost). Where
+no pattern has enough seeds, the texts aren't read again.
 DataFrame functions only.
 
 Cases: a null text is empty; rows are treated one by one, so repeated rows have equal spans
@@ -45,6 +47,12 @@ PIECE = rf"(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){{1,{PIECE_WORDS}}}+"
 #: The last two words of a piece, read backwards.
 LAST_TWO = r"^[^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++"
 SUPPORT, CONFIDENCE = 5, 0.7
+#: Items of an array dealt with at a time where each costs a copy.
+BLOCK_ITEMS = 64
+#: One text of so many is read at first for patterns that have too many instances, then one of so many.
+SLICES = (64, 8)
+#: Code points of the pieces from which a text is put together again.
+CHUNK = 4096
 #: Places of a score; below, a rise isn't one.
 PLACES = 6
 
@@ -85,23 +93,51 @@ _BASE = "array<struct<kind:string,start:int,end:int,match:string>>"
 _PIECE = f"array<struct<at:int,before:string,piece:string,base:{_BASE}>>"
 
 
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def _in_blocks(items: Column) -> Column:
+    """``items`` in arrays of ``BLOCK_ITEMS`` each."""
+    n = F.ceil(F.size(items) / BLOCK_ITEMS).cast("int")
+    at = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda b: F.slice(items, b * BLOCK_ITEMS + 1, F.lit(BLOCK_ITEMS)))
+
+
+def running(items: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Total so far at each of an array of int, from 0 on; appending to short lists only, since
+    each append copies a list."""
+
+    def totals(values: Column, start: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            total = add(state["total"], x)
+            return F.struct(total.alias("total"), F.array_append(state["found"], total).alias("found"))
+
+        begun = F.struct(start.alias("total"), F.array().cast("array<int>").alias("found"))
+        return F.aggregate(values, begun, step, lambda state: state["found"])
+
+    def joined(blocks: Column) -> Column:
+        whole = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), add))
+        before = F.concat(F.array(F.lit(0)), totals(whole, F.lit(0)))
+        return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), totals))
+
+    return _let(items, lambda own: _let(_in_blocks(own), joined))
+
+
 def spans(text: Column, pattern: str, letter: str | None = None) -> Column:
     """start, end (code points, end exclusive), match of every match."""
     searched = text if letter is None else F.when(F.contains(text, F.lit(letter)), text).otherwise(F.lit(""))
     matches = F.regexp_extract_all(searched, F.lit(pattern), F.lit(0))
     between = F.split(searched, pattern, -1)
 
-    def step(state: Column, item: Column) -> Column:
-        start = state["at"] + F.length(item["gap"])
-        end = start + F.length(item["match"])
-        row = F.struct(start.alias("start"), end.alias("end"), item["match"].alias("match"))
-        return F.struct(end.alias("at"), F.array_append(state["found"], row).alias("found"))
+    def placed(found: Column) -> Column:
+        before = F.slice(found["between"], F.lit(1), F.size(found["matches"]))
+        steps = F.zip_with(before, found["matches"], lambda g, m: F.length(g) + F.length(m))
+        span = lambda end, m: F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("match"))
+        return F.zip_with(running(steps, lambda x, y: x + y), found["matches"], span).cast(_SPAN)
 
-    items = F.zip_with(
-        F.slice(between, F.lit(1), F.size(matches)), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match"))
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
-    return F.aggregate(items, start, step, lambda s: s["found"])
+    return _let(F.struct(matches.alias("matches"), between.alias("between")), placed)
 
 
 def base_spans(text: Column) -> Column:
@@ -125,9 +161,19 @@ def pieces(text: Column, base: Column) -> Column:
     fixed spans that touch the piece, so that no word is compared with all spans of a long text.
     """
 
-    def step(state: Column, piece: Column) -> Column:
+    blocks = F.transform(
+        _in_blocks(base),
+        lambda b: F.struct(
+            F.array_min(F.transform(b, lambda s: s["start"])).alias("start"),
+            F.array_max(F.transform(b, lambda s: s["end"])).alias("end"),
+            b.alias("spans"),
+        ),
+    )
+
+    def step(state: Column, piece: Column, held: Column) -> Column:
         end = state["at"] + F.length(piece)
-        touching = F.filter(base, lambda b: (b["start"] < end) & (b["end"] > state["at"]))
+        near = lambda b: (b["start"] < end) & (b["end"] > state["at"])
+        touching = F.filter(F.flatten(F.transform(F.filter(held, near), lambda b: b["spans"])), near)
         row = F.struct(state["at"].alias("at"), state["before"].alias("before"), piece.alias("piece"), touching.alias("base"))
         last = F.reverse(F.regexp_extract(F.reverse(piece), LAST_TWO, 0))
         return F.struct(end.alias("at"), last.alias("before"), F.array_append(state["found"], row).alias("found"))
@@ -136,7 +182,7 @@ def pieces(text: Column, base: Column) -> Column:
         F.lit(0).alias("at"), F.lit(None).cast("string").alias("before"), F.array().cast(_PIECE).alias("found")
     )
     cut = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
-    return F.aggregate(cut, start, step, lambda s: s["found"])
+    return _let(blocks, lambda held: F.aggregate(cut, start, lambda state, piece: step(state, piece, held), lambda s: s["found"]))
 
 
 def words(known: DataFrame, placed: bool = False) -> DataFrame:
@@ -237,6 +283,24 @@ def score_patterns(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         scores = certain.unionByName(reached.join(seeds, ["token", "kind"], "left_anti"))
 
 
+def _possible(wanted: DataFrame, known: DataFrame) -> DataFrame:
+    """Of patterns with ``n`` reached instances, those that these may lift to ``CONFIDENCE``.
+
+    A reached instance scores one at most, so that a pattern with more than n / ``CONFIDENCE``
+    distinct instances can't be learnt now (once more are reached, it is looked at again). A part
+    of the texts shows that of the frequent ones; what it doesn't show stays, and nothing is lost.
+    """
+    for share in SLICES:
+        if wanted.isEmpty():
+            break
+        part = known.where(F.pmod(F.xxhash64("row"), F.lit(share)) == 0)
+        seen = _edges(instances(words(part)).join(wanted.select("pattern"), "pattern", "left_semi"))
+        sizes = seen.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
+        good = F.col("size").isNull() | (F.col("n") >= CONFIDENCE * F.col("size"))
+        wanted = stored(wanted.join(sizes, "pattern", "left").where(good).select("pattern", "n"), "possible")
+    return wanted
+
+
 def learnt_patterns(known: DataFrame) -> DataFrame | None:
     """pattern, kind, score of the patterns learnt from the texts of ``known``; none if there are none."""
     # A seed of one word, wherever it stands, has a digit or an @.
@@ -252,11 +316,11 @@ def learnt_patterns(known: DataFrame) -> DataFrame | None:
     while True:
         wanted = (
             occurrences.join(reached, "token").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") >= SUPPORT).select("pattern").distinct()
+            .groupBy("pattern").agg(F.max("n").alias("n")).where(F.col("n") >= SUPPORT)
         )
         if edges is not None:
             wanted = wanted.join(edges.select("pattern").distinct(), "pattern", "left_anti")
-        wanted = stored(wanted, "wanted")
+        wanted = _possible(stored(wanted, "wanted"), known).select("pattern")
         if wanted.isEmpty():
             return patterns
         found = stored(_edges(instances(words(known)).join(wanted, "pattern", "left_semi")), "edges")
@@ -309,16 +373,23 @@ def listed(found: Column) -> Column:
 def redacted(text: Column, found: Column) -> Column:
     """``text`` with every span replaced by its kind in brackets; overlapping spans become one."""
     ordered = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
 
-    def step(state: Column, s: Column) -> Column:
-        before = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        apart = s["start"] >= state["at"]
-        mark = F.concat(state["out"], before, F.lit("["), s["kind"], F.lit("]"))
-        return F.struct(
-            F.when(apart, mark).otherwise(state["out"]).alias("out"),
-            F.greatest(state["at"], s["end"]).alias("at"),
-        )
+    def part(held: Column, start: Column, length: Column) -> Column:
+        first = F.floor(start / CHUNK).cast("int")
+        near = F.slice(held, first + 1, F.floor((start + length) / CHUNK).cast("int") - first + 1)
+        return F.when(length > 0, F.substr(F.array_join(near, ""), start - first * CHUNK + 1, length)).otherwise("")
+
+    def joined(x: Column) -> Column:
+        upto = running(F.transform(x["spans"], lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        before = F.concat(F.array(F.lit(0)), upto)
+
+        def piece(s: Column, at: Column) -> Column:
+            mark = F.when(s["start"] >= at, F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise("")
+            return F.concat(part(x["chunks"], at, s["start"] - at), mark)
+
+        pieces = lambda at: F.zip_with(x["spans"], F.slice(at, F.lit(1), F.size(x["spans"])), piece)
+        rest = lambda at: part(x["chunks"], F.element_at(at, -1), F.length(text) - F.element_at(at, -1))
+        return _let(before, lambda at: F.concat(F.array_join(pieces(at), ""), rest(at)))
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    rest = lambda state: F.concat(state["out"], F.substr(text, state["at"] + 1, F.length(text)))
-    return F.aggregate(ordered, start, step, rest)
+    return _let(F.struct(ordered.alias("spans"), chunks.alias("chunks")), joined)

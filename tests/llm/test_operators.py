@@ -378,3 +378,38 @@ def test_digests_hold_no_conversation_whole(spark):
     assert found.count() == 3
     read = spark.createDataFrame([], "conv_id long, block long, n_turns long, said string, loss string, formatted_chars long")
     assert "collect_list" not in chat.digests(read)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_many_spans_in_one_text(spark):
+    """Positions, pieces and the redacted text of thousands of spans, in linear time."""
+    import time
+
+    def run(n):
+        text = "é " + " ".join(f"x{i} user{i}@ex.org, +49 30 1234{i:05d}" for i in range(n))
+        df = frame(spark, [(1, text)])
+        found = df.select(pii.base_spans(F.col("text")).alias("spans"))
+        start = time.perf_counter()
+        spans = found.first().spans
+        out = df.select(pii.redacted(F.col("text"), pii.base_spans(F.col("text"))).alias("t")).first().t
+        took = time.perf_counter() - start
+        expected = brute.personal(text)
+        assert [(s.kind, s.start, s.end) for s in spans] == expected
+        for kind, a, b in sorted(expected, key=lambda s: -s[1]):
+            text = f"{text[:a]}[{kind}]{text[b:]}"
+        assert out == text
+        return took
+
+    run(100)
+    assert run(8000) < 8 * max(run(2000), 0.5)
+
+
+def test_frequent_patterns_are_passed_over_early(spark):
+    """A pattern with enough seeds but far more other words goes after a part of the texts."""
+    rows = [(i, f"write to user{i}@ex.org now") for i in range(8)]
+    rows += [(100 + i, f"write to person{chr(97 + i % 26)}{chr(97 + i // 26)} now") for i in range(600)]
+    rows += [(1000 + i, f"account name: q{i}@ex.org") for i in range(6)] + [(2000, "account name: zebra")]
+    known = frame(spark, rows).select(F.col("doc_id").alias("row"), "text", pii.base_spans(F.col("text")).alias("base"))
+    wanted = frame(spark, [("write to", 8), ("account name:", 6)], "pattern string, n long")
+    assert {r.pattern for r in pii._possible(wanted, known).collect()} == {"account name:"}
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(frame(spark, rows)).collect()}
+    assert found[2000] == [("near_email", 14, 19)] and found[100] == []
