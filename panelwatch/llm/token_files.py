@@ -20,13 +20,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelwatch.llm.bpe import Codec, byte_letters
+from panelwatch.llm.bpe import MARKS, Codec, byte_letters
 from panelwatch.llm.common import arrow_type, map_arrow, sliced
 
 SHARD_TOKENS = 1 << 20
@@ -48,10 +49,20 @@ class LibraryCodec(Codec):
         super().__init__(path)
         self.model = Tokenizer.from_file(path).model
         self.letters = byte_letters()
+        self.blank = self.letters[ord(" ")]
 
     def word_ids(self, word: bytes) -> list[int]:
         return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word]))]
 
+    def _inner_piece(self, piece: str) -> bytes:
+        if piece.isalpha():
+            # ASCII letters stand for themselves; only the blank before them has another letter.
+            ids = [t.id for t in self.model.tokenize(self.blank + piece)] if piece.isascii() else self.word_ids(f" {piece}".encode())
+            return pack(f"<{len(ids)}I", *ids)
+        if piece[-1:] in MARKS and piece[:-1].isalpha():
+            return self.inner[piece[:-1]] + self.words[piece[-1]]
+        return super()._inner_piece(piece)
+
 
 @cache
 def library(path: str) -> LibraryCodec:
@@ -80,7 +91,8 @@ class WaveletMatrix:
             planes.append(plane.tobytes())
             ones.append(np.concatenate([[0], np.cumsum(by_block)]).astype("<u4").tobytes())
             zeros.append(n - int(np.count_nonzero(bit)))
-            rest = np.concatenate([rest[~bit], rest[bit]])
+            # Places first: several times as fast as selecting by a mask.
+            rest = np.concatenate([rest[np.flatnonzero(~bit)], rest[np.flatnonzero(bit)]])
         return cls(n, zeros, planes, ones)
 
     def _rank1(self, level: int, i: int) -> int:
@@ -146,8 +158,8 @@ class WaveletMatrix:
         for level in reversed(range(len(self.zeros))):
             plane = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             zeros, here = self.zeros[level], np.empty(self.n, "u4")
-            here[~plane] = below[:zeros]
-            here[plane] = below[zeros:] | np.uint32(1 << (len(self.zeros) - 1 - level))
+            here[np.flatnonzero(~plane)] = below[:zeros]
+            here[np.flatnonzero(plane)] = below[zeros:] | np.uint32(1 << (len(self.zeros) - 1 - level))
             below = here
         return below
 
@@ -197,7 +209,8 @@ def write(
 ) -> None:
     """Encodes and writes the texts in ascending order of ``key``, one file per task."""
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # Rows of one id are in the order of their texts, and are split between tasks like others.
+    ordered = rows.repartitionByRange("key", "text").sortWithinPartitions("key", "text")
     shards = map_arrow(ordered, _shards(vocabulary, end_id, shard_tokens), SHARD)
     shards.write.option("compression", "zstd").mode("errorifexists").parquet(path)
 
