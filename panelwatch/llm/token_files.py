@@ -41,7 +41,7 @@ SHARD = (
 class LibraryCodec(Codec):
     """Pieces are remembered as in ``bpe``; the tokenizers library merges each new word."""
 
-    room = 400_000  # one worker a task; ``bpe`` has two
+    room = 600_000  # one worker a task; ``bpe`` has two
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -63,20 +63,21 @@ class LibraryCodec(Codec):
         found = [*map(self.pieces.get, rest)]
         if None in found:
             pieces, old, tokenize, blank = self.pieces, self.old_pieces, self.model.tokenize, self.blank
-            for i, value in enumerate(found):
+            i = -1
+            for _ in range(found.count(None)):
+                i = found.index(None, i + 1)
+                piece = rest[i]
+                value = pieces.get(piece) or old.get(piece)
                 if value is None:
-                    piece = rest[i]
-                    value = pieces.get(piece) or old.get(piece)
-                    if value is None:
-                        if piece.isascii() and piece.isalpha():
-                            # ASCII letters stand for themselves; only the blank before them has another letter.
-                            ids = [t.id for t in tokenize(blank + piece)]
-                            value = pack(f"<{len(ids)}I", *ids)
-                        elif not piece or piece[0].isspace() or piece[-1].isspace():
-                            return self.piece_ids(text)
-                        else:
-                            value = self._new_piece(piece)
-                    found[i] = pieces[piece] = value
+                    if piece.isascii() and piece.isalpha():
+                        # ASCII letters stand for themselves; only the blank before them has another letter.
+                        ids = [t.id for t in tokenize(blank + piece)]
+                        value = pack(f"<{len(ids)}I", *ids)
+                    elif not piece or piece[0].isspace() or piece[-1].isspace():
+                        return self.piece_ids(text)
+                    else:
+                        value = self._new_piece(piece)
+                found[i] = pieces[piece] = value
             if len(pieces) >= self.room:
                 self.old_pieces, self.pieces = pieces, {}
         return self.piece_ids(head) + b"".join(found)
