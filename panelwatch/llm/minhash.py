@@ -247,9 +247,10 @@ def near_duplicates(
         (F.col("node") != F.col("centre.node")) & alike(F.col("n_shingles"), F.col("centre.n_shingles"))
     ).select(F.col("centre.node").alias("u"), F.col("node").alias("v"))
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "row.*")
-    sets = stored(
-        _with_sets(rows.join(wanted, ["text_hash", "doc_id"]), words).select("node", "shingles"), "sets"
-    )
+    # A null id is an id here; of repeated rows one stands for the node.
+    same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_hash"] == wanted["text_hash"])
+    texts = rows.join(wanted, same).select("node", rows["text"]).dropDuplicates(["node"])
+    sets = stored(_with_sets(texts, words).select("node", "shingles"), "sets")
     links = stored(_confirmed(pairs.distinct(), sets, percent), "links")
     found = stored(components(links), "components")
     root = F.coalesce("root", "node").alias("root")

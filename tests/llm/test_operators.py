@@ -413,3 +413,30 @@ def test_frequent_patterns_are_passed_over_early(spark):
     assert {r.pattern for r in pii._possible(wanted, known).collect()} == {"account name:"}
     found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(frame(spark, rows)).collect()}
     assert found[2000] == [("near_email", 14, 19)] and found[100] == []
+
+
+def test_null_ids_are_linked(spark):
+    text = [f"w{i}" for i in range(200)]
+    near = [*text[:100], "other", *text[101:]]
+    for ids in ((1, 2), (None, 2), (2, None)):
+        df = frame(spark, [(ids[0], " ".join(text)), (ids[1], " ".join(near)), (9, "far away from all of it")])
+        found = minhash.near_duplicates(df).collect()
+        assert {r.component_id for r in found} == {min(i for i in ids if i), 9}
+        assert sum(r.kept for r in found) == 2
+
+
+def test_repeated_rows_are_one_node(spark, monkeypatch):
+    text = [f"w{i}" for i in range(200)]
+    near = [*text[:100], "other", *text[101:]]
+    counted = []
+    confirmed = minhash._confirmed
+    def counting(pairs, sets, percent):
+        out = confirmed(pairs, sets, percent)
+        counted.append((sets.count(), out.count()))
+        return out
+    monkeypatch.setattr(minhash, "_confirmed", counting)
+    df = frame(spark, [(1, " ".join(text))] * 300 + [(2, " ".join(near))] * 300)
+    found = minhash.near_duplicates(df).collect()
+    assert len(found) == 600 and {r.component_id for r in found} == {1}
+    assert sum(r.kept for r in found) == 300
+    assert all(sets == 2 and links <= 2 for sets, links in counted)
