@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwatch.functions.geometry import edges, envelope, strictly_inside
+from panelwatch.functions.geometry import clip_parts, envelope, rings, shape_area, shape_edges, strictly_inside
 from panelwatch.functions.text import place_key
 from panelwatch.settings import DEFAULT_DENSITY_PER_KM2
 
+#: Binary logarithm of the least width of a tile, so that its number stays a whole number.
+FINEST = -30
+
 
 def drop_bad_coordinates(points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Null and exactly zero coordinates mean 'unknown'."""
@@ -44,7 +49,7 @@ def geocode_rate(events: DataFrame, places: DataFrame, name: str) -> DataFrame:
 
 def bbox_prune(polygons: DataFrame, xmin, xmax, ymin, ymax) -> DataFrame:
     """Polygons whose envelope meets a box (given as columns, e.g. scalar subqueries)."""
-    boxed = polygons.select("*", *envelope(F.col("ring")))
+    boxed = polygons.select("*", *envelope(F.flatten(rings(polygons))))
     return boxed.where(
         (F.col("xmin") <= xmax)
         & (F.col("xmax") >= xmin)
@@ -53,6 +58,36 @@ def bbox_prune(polygons: DataFrame, xmin, xmax, ymin, ymax) -> DataFrame:
     )
 
 
+def clipped(polygons: DataFrame, boundary: list[tuple[float, float]]) -> DataFrame:
+    """Polygons (with ``parts``) cut to a convex boundary, with ``area`` above 0."""
+    cut = polygons.withColumn("parts", clip_parts(F.col("parts"), boundary))
+    return cut.withColumn("area", shape_area(F.col("parts"))).where("area > 0")
+
+
+def quad_tiles(polygons: DataFrame, finest: int = FINEST) -> DataFrame:
+    """unit_id, edges and envelope for each tile that a polygon's envelope touches.
+
+    A polygon is kept at the level of a quadtree whose tiles are just wider than its envelope, so
+    that it touches four tiles at most, whatever its size; ``_level`` is the binary logarithm of
+    their width. Polygons without extent hold no point and have no tile.
+    """
+    boxed = polygons.select(
+        "unit_id", *envelope(F.flatten(rings(polygons))), shape_edges(rings(polygons)).alias("_edges")
+    )
+    extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    level = F.ceil(F.log2(extent)).cast("int")
+    level = F.when(F.pow(F.lit(2.0), level) < extent, level + 1).otherwise(level)
+    leveled = boxed.where((F.col("xmax") > F.col("xmin")) & (F.col("ymax") > F.col("ymin"))).withColumn(
+        "_level", F.greatest(level, F.lit(finest))
+    )
+    along = lambda low, high: F.explode(F.sequence(_tile(F.col(low)), _tile(F.col(high))))
+    return leveled.withColumn("_tx", along("xmin", "xmax")).withColumn("_ty", along("ymin", "ymax"))
+
+
+def _tile(coordinate: Column) -> Column:
+    return F.floor(coordinate / F.pow(F.lit(2.0), F.col("_level")))
+
+
 def point_in_polygon(
     points: DataFrame,
     polygons: DataFrame,
@@ -62,34 +97,22 @@ def point_in_polygon(
 ) -> DataFrame:
     """Points strictly within polygons; overlaps give several rows, outside points none.
 
-    Both sides are cut into square tiles: a polygon is listed in every tile its
-    envelope touches, a point lies in one. Without ``tile`` a tile is as wide as the mean
-    envelope, so that a polygon has a few tiles at any scale. Tiles hold ids and envelopes
-    only; edges are joined to the points that lie in an envelope. Crowded tiles are split
-    by the adaptive skew join.
+    Holes are outside, parts inside (even-odd rule over all rings), borders outside. Both sides
+    meet in tiles of a quadtree: a polygon has four at most (``quad_tiles``), a point one on each
+    level that any polygon is on (their number grows with the logarithm of the range of sizes).
+    ``tile`` is the least width of a tile. Crowded tiles are split by the adaptive skew join.
     """
-    boxed = polygons.select("unit_id", *envelope(F.col("ring")))
-    width = (
-        boxed.agg(F.avg((F.col("xmax") - F.col("xmin") + F.col("ymax") - F.col("ymin")) / 2)).scalar()
-        if tile is None
-        else F.lit(tile)
+    tiles = quad_tiles(polygons, FINEST if tile is None else math.floor(math.log2(tile)))
+    levels = tiles.agg(F.collect_set("_level")).scalar()  # one for each size of doubles at most
+    placed = (
+        points.withColumn("_level", F.explode(levels)).withColumn("_tx", _tile(F.col(lon))).withColumn("_ty", _tile(F.col(lat)))
     )
-    # Polygons without any extent hold no point; any width serves them.
-    width = F.when(width > 0, width).otherwise(1.0)
-    index = lambda c: F.floor(c / width)
-    tiles = boxed.withColumn(
-        "_tx", F.explode(F.sequence(index(F.col("xmin")), index(F.col("xmax"))))
-    ).withColumn("_ty", F.explode(F.sequence(index(F.col("ymin")), index(F.col("ymax")))))
-    placed = points.withColumn("_tx", index(F.col(lon))).withColumn("_ty", index(F.col(lat)))
-    near = placed.join(tiles, ["_tx", "_ty"]).where(
+    near = placed.join(tiles, ["_level", "_tx", "_ty"]).where(
         F.col(lon).between(F.col("xmin"), F.col("xmax"))
         & F.col(lat).between(F.col("ymin"), F.col("ymax"))
     )
-    shapes = polygons.select("unit_id", edges(F.col("ring")).alias("_edges"))
-    candidates = near.select(*points.columns, "unit_id").join(shapes, "unit_id")
-    return candidates.where(
-        strictly_inside(F.col(lon), F.col(lat), F.col("_edges"))
-    ).select(*points.columns, "unit_id")
+    inside = near.where(strictly_inside(F.col(lon), F.col(lat), F.col("_edges")))
+    return inside.select(*points.columns, "unit_id")
 
 
 def unit_population(

@@ -134,12 +134,39 @@ PARTS["place"] = """(SELECT 'nacion' || n_nationkey AS place,
   (SELECT count(*) * 1000 FROM customer WHERE c_nationkey = n_nationkey) AS pop
   FROM nation WHERE n_nationkey % 9 <> 8)"""
 PARTS["diamond"] = """(SELECT unit_id, half, -0.40177::DOUBLE + half * (2 * ((unit_id - 1) % side) + 1) AS cx,
-  -0.39713::DOUBLE + half * (2 * ((unit_id - 1) // side) + 1) AS cy
+  -0.39713::DOUBLE + half * (2 * floor((unit_id - 1)::DOUBLE / side) + 1) AS cy
   FROM unit, (SELECT 0.4::DOUBLE / ceil(sqrt(count(*))) AS half, CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM unit))"""
 PARTS["pt"] = """(SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS lon,
   CAST(embedding[2] AS DOUBLE) AS lat, label FROM embeddings)"""
 PARTS["located"] = """(SELECT id, unit_id, label FROM pt JOIN diamond
   ON abs(lon - cx) + abs(lat - cy) < half)"""
+PARTS["basin"] = """(SELECT unit_id, -0.40177::DOUBLE + 0.8 * ((unit_id - 1) % side) / side AS cx,
+  -0.39713::DOUBLE + 0.8 * floor((unit_id - 1)::DOUBLE / side) / side AS cy,
+  CASE WHEN unit_id % 20 = 0 THEN 0.3::DOUBLE WHEN unit_id % 20 < 4 THEN 0.03 WHEN unit_id % 20 < 9 THEN 0.003
+    WHEN unit_id % 20 < 19 THEN 0.0003 ELSE 0.00003 END AS r
+  FROM unit, (SELECT CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM unit))"""
+PARTS["in_basin"] = """(SELECT id, unit_id FROM pt JOIN basin
+  ON (abs(lon - cx) + abs(lat - cy) < r AND abs(lon - cx) + abs(lat - cy) > r / 2)
+  OR abs(lon - cx - 3 * r) + abs(lat - cy) < r / 2)"""
+_N = "(1 / 298.257222101::DOUBLE / (2 - 1 / 298.257222101::DOUBLE))"
+_BETA = (
+    "n / 2 - 2 * n ** 2 / 3 + 37 * n ** 3 / 96 - n ** 4 / 360", "n ** 2 / 48 + n ** 3 / 15 - 437 * n ** 4 / 1440",
+    "17 * n ** 3 / 480 - 37 * n ** 4 / 840", "4397 * n ** 4 / 161280",
+)
+_DELTA = (
+    "2 * n - 2 * n ** 2 / 3 - 2 * n ** 3 + 116 * n ** 4 / 45", "7 * n ** 2 / 3 - 8 * n ** 3 / 5 - 227 * n ** 4 / 45",
+    "56 * n ** 3 / 15 - 136 * n ** 4 / 35", "4279 * n ** 4 / 630",
+)
+_XI = " ".join(f"- ({b}) * sin({2 * k} * xi) * (exp({2 * k} * eta) + exp(-{2 * k} * eta)) / 2" for k, b in enumerate(_BETA, 1))
+_ETA = " ".join(f"- ({b}) * cos({2 * k} * xi) * (exp({2 * k} * eta) - exp(-{2 * k} * eta)) / 2" for k, b in enumerate(_BETA, 1))
+_LAT = " ".join(f"+ ({d}) * sin({2 * k} * chi)" for k, d in enumerate(_DELTA, 1))
+PARTS["on_grid"] = f"""(SELECT unit_id, punto, n, (800000 + 100000 * py) / q AS xi, 100000 * px / q AS eta
+  FROM (SELECT *, 0.9996 * 6378137.0 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) AS q
+    FROM (SELECT unit_id, {_N} AS n, unnest([1, 2, 3]) AS punto,
+        unnest([cx + r, cx + 3.5 * r, cx + r / 2]) AS px, cy AS py FROM basin)))"""
+PARTS["degrees"] = f"""(SELECT unit_id, punto, -75.0 + degrees(atan2((exp(e1) - exp(-e1)) / 2, cos(x1))) AS lon, degrees(chi {_LAT}) AS lat
+  FROM (SELECT *, asin(sin(x1) / ((exp(e1) + exp(-e1)) / 2)) AS chi
+    FROM (SELECT *, xi {_XI} AS x1, eta {_ETA} AS e1 FROM on_grid)))"""
 PARTS["populated"] = """(SELECT unit_id, sub_area, coalesce(pop, round_even(sub_area * 120, 0)) AS poblacion_estimada
   FROM unit LEFT JOIN (SELECT unit_id, CAST(sum(pop) AS DOUBLE) AS pop FROM place JOIN diamond
     ON abs(lon - cx) + abs(lat - cy) < half GROUP BY unit_id) USING (unit_id))"""
@@ -381,9 +408,23 @@ _BODIES: dict[str, str] = {
         UNION ALL SELECT week_start, NULL, semana, NULL, NULL, NULL, NULL, count(*),
           count(*) FILTER (nivel = 'Alto'), count(*) FILTER (nivel = 'Medio'), count(*) FILTER (nivel = 'Bajo'),
           'precip_acum_14d' FROM b GROUP BY week_start, semana""",
-    "geojson_features": """SELECT 'Feature/Polygon' AS tipo, unit_id, count(*) AS n_puntos,
+    "geojson_features": """SELECT 'Feature/Polygon' AS tipo, unit_id, count(id) AS n_puntos,
         5::BIGINT AS n_vertices, round(cx + half, 6) AS x, round(cy, 6) AS y
-        FROM located JOIN diamond USING (unit_id) GROUP BY unit_id, cx, cy, half""",
+        FROM diamond LEFT JOIN located USING (unit_id) GROUP BY unit_id, cx, cy, half""",
+    "basin_points": "SELECT id, unit_id FROM in_basin",
+    "basin_tiles": """SELECT CAST(ceil(log2(4.5 * r)) AS INTEGER) AS nivel, count(*) AS n_unidades, true AS hasta_cuatro
+        FROM basin GROUP BY r""",
+    "basin_clip": """WITH ring AS (SELECT unit_id, cx AS x, cy AS y, r, 1 AS s FROM basin
+          UNION ALL SELECT unit_id, cx, cy, r / 2, -1 FROM basin UNION ALL SELECT unit_id, cx + 3 * r, cy, r / 2, 1 FROM basin)
+        SELECT unit_id, round(sum(s * greatest(least(x + y + r, 0.2) - greatest(x + y - r, -0.2), 0)
+          * greatest(least(x - y + r, 0.2) - greatest(x - y - r, -0.2), 0) / 2), 9) AS area
+        FROM ring GROUP BY unit_id HAVING round(sum(s * greatest(least(x + y + r, 0.2) - greatest(x + y - r, -0.2), 0)
+          * greatest(least(x - y + r, 0.2) - greatest(x - y - r, -0.2), 0) / 2), 9) > 0""",
+    "basin_geojson": """SELECT 'Feature/MultiPolygon' AS tipo, unit_id, n_puntos, '2,1' AS anillos,
+          round(max(lon) FILTER (punto = 1), 7) AS lon, round(max(lat) FILTER (punto = 1), 7) AS lat,
+          round(max(lon) FILTER (punto = 2), 7) AS lon_2, round(max(lat) FILTER (punto = 3), 7) AS lat_hueco
+        FROM degrees JOIN (SELECT b.unit_id, count(id) AS n_puntos FROM basin b LEFT JOIN in_basin i USING (unit_id) GROUP BY 1)
+          USING (unit_id) GROUP BY unit_id, n_puntos""",
     "bbox_daily_mean": """SELECT fecha, round(coalesce(m, 0.0), 6) AS precip_mm FROM (
           SELECT CAST(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)),
             INTERVAL 1 DAY)) AS DATE) AS fecha FROM events)

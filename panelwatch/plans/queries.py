@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from panelwatch.functions import risk
+from panelwatch.functions import geometry, risk
 from panelwatch.functions.calendar import (
     client_seasonality,
     iso_label,
@@ -178,9 +178,8 @@ def week_band_counts(spark, d):
 def geojson_features(spark, d):
     hit = spatial.point_in_polygon(T.points(spark, d), T.diamonds(spark, d))
     counts = hit.groupBy("unit_id").agg(F.count(F.lit(1)).alias("n_puntos"))
-    lines = sinks.geojson_features(
-        T.diamonds(spark, d).join(counts, "unit_id"), ["unit_id", "n_puntos"]
-    )
+    every = T.diamonds(spark, d).join(counts, "unit_id", "left").fillna(0, ["n_puntos"])
+    lines = sinks.geojson_features(every, ["unit_id", "n_puntos"])
     form = (
         "type string, properties struct<unit_id bigint, n_puntos bigint>, "
         "geometry struct<type string, coordinates array<array<array<double>>>>"
@@ -379,6 +378,60 @@ def point_in_polygon(spark, d):
     )
 
 
+@query
+def basin_points(spark, d):
+    """Points in units of two parts with a hole, of sizes over four orders."""
+    return spatial.point_in_polygon(T.points(spark, d), T.basins(spark, d)).select("id", "unit_id")
+
+
+@query
+def basin_tiles(spark, d):
+    """How many tiles the units of each level of the quadtree have."""
+    tiles = spatial.quad_tiles(T.basins(spark, d)).groupBy("unit_id", "_level").agg(F.count(F.lit(1)).alias("n"))
+    return tiles.groupBy(F.col("_level").alias("nivel")).agg(
+        F.count(F.lit(1)).alias("n_unidades"), (F.max("n") <= 4).alias("hasta_cuatro")
+    )
+
+
+#: Corners of a convex boundary (a square on its corner), counter-clockwise.
+BOUNDARY = [(0.2, 0.0), (0.0, 0.2), (-0.2, 0.0), (0.0, -0.2)]
+GRID = geometry.TransverseMercator(lon0=-75.0)
+
+
+@query
+def basin_clip(spark, d):
+    """Area of each unit within the boundary."""
+    cut = spatial.clipped(T.basins(spark, d), BOUNDARY)
+    return cut.select("unit_id", F.round("area", 9).alias("area")).where("area > 0")
+
+
+@query
+def basin_geojson(spark, d):
+    """Units on a transverse Mercator grid, exported in degrees with the points they hold, read back."""
+    units = T.basins(spark, d)
+    counts = spatial.point_in_polygon(T.points(spark, d), units).groupBy("unit_id").agg(F.count(F.lit(1)).alias("n_puntos"))
+    metres = lambda ring: F.transform(ring, lambda c: F.struct((500000 + c["x"] * 100000).alias("x"), (800000 + c["y"] * 100000).alias("y")))
+    on_grid = units.withColumn("parts", F.transform("parts", lambda part: F.transform(part, metres)))
+    every = on_grid.withColumn("parts", geometry.to_degrees(F.col("parts"), GRID)).join(counts, "unit_id", "left").fillna(0, ["n_puntos"])
+    form = (
+        "type string, properties struct<unit_id bigint, n_puntos bigint>, "
+        "geometry struct<type string, coordinates array<array<array<array<double>>>>>"
+    )
+    read = sinks.geojson_features(every, ["unit_id", "n_puntos"]).select(F.from_json("feature", form).alias("j"))
+    parts = F.col("j.geometry.coordinates")
+    corner = lambda part, ring, k: F.round(F.get(F.get(F.get(F.get(parts, F.lit(part)), F.lit(ring)), F.lit(0)), F.lit(k)), 7)
+    return read.select(
+        F.concat_ws("/", "j.type", "j.geometry.type").alias("tipo"),
+        "j.properties.unit_id",
+        "j.properties.n_puntos",
+        F.array_join(F.transform(parts, lambda p: F.size(p)), ",").alias("anillos"),
+        corner(0, 0, 0).alias("lon"),
+        corner(0, 0, 1).alias("lat"),
+        corner(1, 0, 0).alias("lon_2"),
+        corner(0, 1, 1).alias("lat_hueco"),
+    )
+
+
 @query
 def bbox_prune(spark, d):
     box = (

@@ -95,14 +95,19 @@ def write_documents(documents: DataFrame, path: str) -> None:
 
 
 def geojson_features(polygons: DataFrame, properties: Sequence[str]) -> DataFrame:
-    """One GeoJSON feature per row; rings are lon/lat and already closed."""
-    ring = F.transform("ring", lambda c: F.array(c["x"], c["y"]))
+    """One GeoJSON feature per row; rings are lon/lat and already closed.
+
+    A ``ring`` is a Polygon, ``parts`` (with their holes) a MultiPolygon.
+    """
+    ring = lambda r: F.transform(r, lambda c: F.array(c["x"], c["y"]))
+    if "parts" in polygons.columns:
+        kind, coordinates = "MultiPolygon", F.transform("parts", lambda part: F.transform(part, ring))
+    else:
+        kind, coordinates = "Polygon", F.array(ring("ring"))
     feature = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(*properties).alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias(
-            "geometry"
-        ),
+        F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")).alias("geometry"),
     )
     return polygons.select("unit_id", F.to_json(feature).alias("feature"))
 

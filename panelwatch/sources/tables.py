@@ -175,6 +175,28 @@ def diamonds(spark: SparkSession, folder: str) -> DataFrame:
     return suppliers.select("unit_id", F.array(*[corner(*c) for c in ring]).alias("ring"))
 
 
+def basins(spark: SparkSession, folder: str) -> DataFrame:
+    """A unit of two parts, one with a hole, for each supplier; sizes differ by four orders.
+
+    A diamond of radius r around a place of the lattice with a hole of radius r / 2, and three
+    radii to the east a second one of radius r / 2. Units overlap.
+    """
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("unit_id"))
+    side = suppliers.agg(F.ceil(F.sqrt(F.count(F.lit(1))))).scalar()
+    n, size = F.col("unit_id") - 1, F.col("unit_id") % 20
+    x, y = F.lit(-0.40177) + 0.8 * (n % side) / side, F.lit(-0.39713) + 0.8 * F.floor(n / side) / side
+    r = F.when(size == 0, 0.3).when(size < 4, 0.03).when(size < 9, 0.003).when(size < 19, 0.0003).otherwise(0.00003)
+    corners = [(1, 0), (0, 1), (-1, 0), (0, -1), (1, 0)]
+
+    def diamond(cx, half):
+        return F.array(*[F.struct((cx + dx * half).alias("x"), (F.col("y") + dy * half).alias("y")) for dx, dy in corners])
+
+    placed = suppliers.select("unit_id", x.alias("x"), y.alias("y"), r.alias("r"))
+    first = F.array(diamond(F.col("x"), F.col("r")), diamond(F.col("x"), F.col("r") / 2))
+    second = F.array(diamond(F.col("x") + 3 * F.col("r"), F.col("r") / 2))
+    return placed.select("unit_id", F.array(first, second).alias("parts"))
+
+
 def raster(spark: SparkSession, folder: str) -> DataFrame:
     """Long form of daily rasters: fecha, lat, lon, value; masked cells are -9999."""
     user = F.col("user_id")

@@ -10,7 +10,7 @@ from compare import compare, duck
 
 CHECKED = (
     "feed_records month_extracts week_document geojson_features bbox_daily_mean prediction_log station_clean keyword_filter "
-    "panel_enriched geocode point_in_polygon pseudo_absence quality_gate confusion roc_auc "
+    "panel_enriched geocode point_in_polygon basin_points basin_tiles basin_clip basin_geojson pseudo_absence quality_gate confusion roc_auc "
     "score_hist weekly_rain_features interpolate_daily weekly_soil_features panel_folds "
     "priority_export norm_text monetise threshold_sweep bcr_topn ks_drift spearman"
 ).split()

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelwatch.functions import geometry
 from panelwatch.operators import impact as im
 from panelwatch.operators import spatial as sp
 from panelwatch.settings import CONSEQUENCES, Economics
@@ -32,6 +33,57 @@ def test_any_tile_size_and_crowding(spark, tile):
     assert placed(spark, [(2, LSHAPE)], pts, tile) == want
 
 
+PARTS = "unit_id long, parts array<array<array<struct<x:double,y:double>>>>"
+
+
+def box(x, y, half):
+    return [(x - half, y - half), (x + half, y - half), (x + half, y + half), (x - half, y + half), (x - half, y - half)]
+
+
+def test_parts_and_holes(spark):
+    """A part with a hole that holds an island, and a second part; borders are outside everywhere."""
+    shape = [[box(0.0, 0.0, 4.0), box(0.0, 0.0, 2.0)], [box(0.0, 0.0, 1.0)], [box(10.0, 0.0, 1.0)]]
+    points = [(3.0, 0.0), (1.5, 0.0), (0.0, 0.0), (10.5, 0.5), (7.0, 0.0), (2.0, 0.0), (1.0, 0.5), (4.0, 4.0), (None, 1.0)]
+    pts = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id long, lon double, lat double")
+    for tile in (None, 0.25, 64.0):
+        got = sp.point_in_polygon(pts, spark.createDataFrame([(7, shape)], PARTS), tile)
+        assert sorted((r.id, r.unit_id) for r in got.collect()) == [(0, 7), (2, 7), (3, 7)]
+
+
+def test_tiles_of_several_sizes(spark):
+    """Shapes over many orders of size have four tiles at most, and each point meets each once."""
+    shapes = [(i, [[box(0.37 * i % 1, 0.61 * i % 1, 10.0 ** -(i % 8))]]) for i in range(1, 60)]
+    polygons = spark.createDataFrame([*shapes, (99, [[box(0.0, 0.0, 0.0)]])], PARTS)
+    tiles = sp.quad_tiles(polygons).groupBy("unit_id").count().collect()
+    assert {r.unit_id for r in tiles} == {i for i, _ in shapes} and max(r["count"] for r in tiles) <= 4
+    rng = np.random.default_rng(3)
+    pts = [tuple(map(float, p)) for p in rng.uniform(-1, 2, (300, 2))] + [(0.37, 0.61), (0.0, 0.0)]
+    want = sorted(
+        (k, i) for k, (x, y) in enumerate(pts) for i, _ in shapes
+        if max(abs(x - 0.37 * i % 1), abs(y - 0.61 * i % 1)) < 10.0 ** -(i % 8)
+    )
+    frame = spark.createDataFrame([(k, *p) for k, p in enumerate(pts)], "id long, lon double, lat double")
+    assert sorted((r.id, r.unit_id) for r in sp.point_in_polygon(frame, polygons).collect()) == want
+
+
+def test_clipping(spark):
+    boundary = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]
+    shapes = [(1, [[box(0.0, 0.0, 1.0)]]), (2, [[box(1.0, 1.0, 1.0), box(1.0, 1.0, 0.5)]]), (3, [[box(9.0, 9.0, 1.0)]]),
+              (4, [[box(2.0, 1.0, 0.5)], [box(0.0, 1.0, 0.25)]]), (5, [[LSHAPE]]), (6, [[box(1.0, 1.0, 9.0), box(1.0, 1.0, 0.5)]])]
+    got = {r.unit_id: r.area for r in sp.clipped(spark.createDataFrame(shapes, PARTS), boundary).collect()}
+    assert got == pytest.approx({1: 1.0, 2: 3.0, 4: 0.5 + 0.125, 5: 3.0, 6: 3.0})
+
+
+def test_grid_coordinates_to_degrees(spark):
+    """Published control points of a national grid, and the grid's own origin."""
+    osgb = geometry.TransverseMercator(-2.0, 49.0, 0.9996012717, 400000.0, -100000.0, 6377563.396, 1 / 299.3249646)
+    lon, lat = osgb.to_degrees(F.col("x"), F.col("y"))
+    rows = spark.createDataFrame([(651409.903, 313177.270), (400000.0, -100000.0)], "x double, y double")
+    got = rows.select(lon.alias("lon"), lat.alias("lat")).collect()
+    assert [got[0].lon, got[0].lat] == pytest.approx([1 + 43 / 60 + 4.5177 / 3600, 52 + 39 / 60 + 27.2531 / 3600], abs=1e-7)
+    assert [got[1].lon, got[1].lat] == pytest.approx([-2.0, 49.0], abs=1e-9)
+
+
 def test_bbox_prune(spark):
     far = [(x + 10, y) for x, y in SQUARE]
     polys = spark.createDataFrame([(1, SQUARE), (2, far)], RING)
