@@ -7,6 +7,7 @@ the first is the outline and the others are holes.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -87,6 +88,11 @@ def shape_area(parts: Column) -> Column:
     return F.aggregate(F.transform(F.transform(parts, own), of_part), F.lit(0.0), add)
 
 
+def _once(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def clip_ring(ring: Column, boundary: list[tuple[float, float]]) -> Column:
     """What of a ring lies within a convex boundary, given by its corners counter-clockwise.
 
@@ -108,9 +114,9 @@ def clip_ring(ring: Column, boundary: list[tuple[float, float]]) -> Column:
             outside = F.when(s >= 0, F.array(cut)).otherwise(F.slice(F.array(cut), F.lit(1), F.lit(0)))
             return F.when(t >= 0, inside).otherwise(outside)
 
-        # Each step's ring is computed once: a lambda's variable, not a nested expression.
-        opened = F.flatten(F.transform(edges(ring), kept))
-        ring = F.get(F.transform(F.array(opened), lambda r: F.concat(r, F.slice(r, F.lit(1), F.lit(1)))), F.lit(0))
+        # Each step's ring is computed once, as a lambda's variable.
+        opened = _once(ring, lambda r: F.flatten(F.transform(edges(r), kept)))  # noqa: B023
+        ring = _once(opened, lambda r: F.concat(r, F.slice(r, F.lit(1), F.lit(1))))
     return ring
 
 

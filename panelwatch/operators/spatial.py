@@ -60,8 +60,10 @@ def bbox_prune(polygons: DataFrame, xmin, xmax, ymin, ymax) -> DataFrame:
 
 def clipped(polygons: DataFrame, boundary: list[tuple[float, float]]) -> DataFrame:
     """Polygons (with ``parts``) cut to a convex boundary, with ``area`` above 0."""
-    cut = polygons.withColumn("parts", clip_parts(F.col("parts"), boundary))
-    return cut.withColumn("area", shape_area(F.col("parts"))).where("area > 0")
+    # An explosion of one: what it holds is computed once, not again for the filter.
+    cut = F.explode(F.transform(F.array(clip_parts(F.col("parts"), boundary)), lambda p: F.struct(p.alias("parts"), shape_area(p).alias("area"))))
+    kept = polygons.withColumn("_cut", cut).where("_cut.area > 0")
+    return kept.withColumns({"parts": F.col("_cut.parts"), "area": F.col("_cut.area")}).drop("_cut")
 
 
 def quad_tiles(polygons: DataFrame, finest: int = FINEST) -> DataFrame:
