@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.operators.ordering import cumulative_by_value, exact_quantiles
@@ -43,8 +44,15 @@ def ks_test(
     Features with fewer than ten recent values are left out. Both samples are
     merged by value before anything is ordered.
     """
-    both = reference.select("feature", "value", F.lit(1).alias("a"), F.lit(0).alias("b")).union(
-        recent.select("feature", "value", F.lit(0).alias("a"), F.lit(1).alias("b"))
+    one = F.lit(1).alias("n")
+    return ks_of_states(reference.select("feature", "value", one), recent.select("feature", "value", one), settings)
+
+
+def ks_of_states(reference: DataFrame, recent: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The same of counted samples (feature, value, n), e.g. of merged states."""
+    none = F.lit(0).cast("bigint")
+    both = reference.select("feature", "value", F.col("n").cast("bigint").alias("a"), none.alias("b")).union(
+        recent.select("feature", "value", none.alias("a"), F.col("n").cast("bigint").alias("b"))
     )
     runs = cumulative_by_value(both, "value", ["a", "b"], ["feature"])
     gap = F.abs(F.col("a_cum") / F.col("a_total") - F.col("b_cum") / F.col("b_total"))
@@ -62,6 +70,33 @@ def ks_test(
     return rows.withColumn("p_value", p).withColumn("drift", F.col("p_value") < settings.drift_alpha)
 
 
+def week_states(cells: DataFrame, features: Sequence[str], week: str = "week_start") -> DataFrame:
+    """State of each week: (week, feature, value, n), one row for each distinct value."""
+    named = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
+    long = cells.select(week, F.inline(F.array(*named))).where(F.col("value").isNotNull())
+    return long.groupBy(week, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """States joined by addition: (feature, value, n)."""
+    whole = reduce(DataFrame.unionByName, [s.select("feature", "value", "n") for s in states])
+    return whole.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+
+
+def append_state(cells: DataFrame, features: Sequence[str], path: str, week: str = "week_start") -> None:
+    """Writes the states of the weeks in ``cells``, one folder a week; other weeks stay as they are.
+
+    A week that is there already is replaced, so that a job can be repeated after a failure.
+    """
+    states = week_states(cells, features, week).repartition(week)
+    states.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(week).parquet(path)
+
+
+def read_state(spark: SparkSession, path: str, week: str = "week_start") -> DataFrame:
+    schema = f"feature string, value double, n bigint, {week} date"
+    return spark.read.schema(schema).parquet(path)
+
+
 def drift_summary(tested: DataFrame) -> DataFrame:
     """One row: any drift, and the drifted features (as many as are monitored) by name."""
     return tested.agg(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwatch.functions.columns import safe_ratio
+from panelwatch.functions.distributions import correlation_p, normal_two_sided
 from panelwatch.operators.ordering import cumulative_by_value, exact_quantiles
 
 HISTOGRAM_EDGES = (0.0, 0.1, 0.3, 0.5, 0.7, 0.9, 1.0)
@@ -191,22 +192,6 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _two_sided_normal(z):
-    """2 (1 - Phi(|z|)) by the Abramowitz-Stegun 7.1.26 polynomial for erf, as an expression."""
-    x = F.abs(z) / F.sqrt(F.lit(2.0))
-    t = 1 / (1 + 0.3275911 * x)
-    poly = t * (
-        0.254829592
-        + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))
-    )
-    return poly * F.exp(-x * x)
-
-
-def _correlation_p(r, n):
-    """Two-sided large-sample p-value of a correlation of ``n`` pairs."""
-    return _two_sided_normal(r * F.sqrt((n - 2) / (1 - r * r)))
-
-
 def significant(tested: DataFrame, alpha: float = 0.05) -> DataFrame:
     """``tested`` with the flag of its p-value and its place by p-value, then name."""
     order = Window.orderBy("p_value", "feature")  # one row for each feature
@@ -215,7 +200,7 @@ def significant(tested: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 
 def point_biserial(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """r between each feature and a 0/1 label, with a large-sample p-value."""
+    """r between each feature and a 0/1 label, with its p-value (Student's t)."""
     row = df.agg(
         *[F.corr(f, label).alias(f"{f}|r") for f in features],
         *[
@@ -225,12 +210,12 @@ def point_biserial(df: DataFrame, features: Sequence[str], label: str) -> DataFr
     )
     fields = ", ".join(f"'{f}', `{f}|r`, `{f}|n`" for f in features)
     long = row.selectExpr(f"stack({len(features)}, {fields}) as (feature, r, n)")
-    p = _correlation_p(F.col("r"), F.col("n"))
+    p = correlation_p(F.col("r"), F.col("n"))
     return long.select("feature", F.col("n").cast("bigint").alias("n"), "r", p.alias("p_value"))
 
 
 def spearman(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Rank correlation of each feature with a label, and a large-sample p-value.
+    """Rank correlation of each feature with a label, and its p-value (Student's t).
 
     Pearson over average ranks, on distinct pairs with their counts; all features in one pass.
     """
@@ -266,7 +251,7 @@ def spearman(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     var_y = F.col("yy") / n - F.pow(F.col("y") / n, F.lit(2))
     rho = F.try_divide(cov, F.sqrt(var_x * var_y))
     return sums.select(
-        "feature", n.cast("bigint").alias("n"), rho.alias("rho"), _correlation_p(rho, n).alias("p_value")
+        "feature", n.cast("bigint").alias("n"), rho.alias("rho"), correlation_p(rho, n).alias("p_value")
     )
 
 
@@ -307,7 +292,7 @@ def mann_whitney(df: DataFrame, value: str, label: str) -> DataFrame:
         n0.cast("bigint").alias("n0"),
         n1.cast("bigint").alias("n1"),
         "u",
-        _two_sided_normal(F.greatest(z, F.lit(0.0))).alias("p_value"),
+        normal_two_sided(F.greatest(z, F.lit(0.0))).alias("p_value"),
     )
 
 

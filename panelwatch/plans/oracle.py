@@ -70,7 +70,9 @@ def _season(week_day: str, month_day: str) -> str:
 
 PARTS["daily"] = """(SELECT CAST(l_shipdate AS DATE) AS fecha, sum(l_quantity) AS mm
   FROM lineitem GROUP BY 1)"""
-PARTS["gapped"] = "(SELECT fecha, mm FROM unit_daily WHERE unit_id = 1)"
+PARTS["gapped"] = """(SELECT fecha, mm FROM (SELECT CAST(l_shipdate AS DATE) AS fecha, sum(l_quantity) AS mm, count(*) AS n
+  FROM lineitem GROUP BY 1) WHERE n * (SELECT count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem)
+    >= (SELECT count(l_shipdate) FROM lineitem))"""
 PARTS["unit_daily"] = """(SELECT l_suppkey AS unit_id, CAST(l_shipdate AS DATE) AS fecha,
   sum(l_quantity) AS mm FROM lineitem GROUP BY 1, 2)"""
 PARTS["unit"] = """(SELECT s_suppkey AS unit_id, s_acctbal AS up_area,
@@ -273,13 +275,20 @@ def _interpolated(source: str, key: str | None, value: str, digits: int | None =
                ahead AS ({by}ORDER BY fecha ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
 
 
+def _soil(source: str, key: str | None) -> str:
+    k, by = (f"{key}, ", f"PARTITION BY {key} ") if key else ("", "")
+    return f"""(SELECT {k}week_start, round(lag(v) OVER ({by}ORDER BY week_start), 6) AS soil_moisture_14d,
+      fecha_fin_semana FROM (
+        SELECT {k}CAST(date_trunc('week', fecha) AS DATE) AS week_start,
+          arg_max(r, fecha) FILTER (WHERE r IS NOT NULL) AS v, max(fecha) AS fecha_fin_semana
+        FROM (SELECT {k}fecha, CASE WHEN count(v) OVER w >= 7 THEN avg(v) OVER w END AS r FROM {source}
+              WINDOW w AS ({by}ORDER BY fecha ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)) GROUP BY ALL))"""
+
+
 PARTS["soil_daily"] = f"({_interpolated('gapped', None, 'v', None)})"
-PARTS["soil"] = """(SELECT week_start, round(lag(v) OVER (ORDER BY week_start), 6) AS soil_moisture_14d,
-  fecha_fin_semana FROM (
-    SELECT CAST(date_trunc('week', fecha) AS DATE) AS week_start,
-      arg_max(r, fecha) FILTER (WHERE r IS NOT NULL) AS v, max(fecha) AS fecha_fin_semana
-    FROM (SELECT fecha, CASE WHEN count(v) OVER w >= 7 THEN avg(v) OVER w END AS r FROM soil_daily
-          WINDOW w AS (ORDER BY fecha ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)) GROUP BY 1))"""
+PARTS["soil"] = _soil("soil_daily", None)
+PARTS["soil_by_day"] = f"({_interpolated('unit_daily', 'unit_id', 'v', None)})"
+PARTS["soil_of_unit"] = _soil("soil_by_day", "unit_id")
 
 
 def _long(source: str, features=RAIN_FEATURES, ids: str = "") -> str:
@@ -381,9 +390,20 @@ def _normal_p(z: str) -> str:
     return f"({poly} * exp(-{x} * {x}))"
 
 
+def _t_p(r: str, n: str) -> str:
+    """Two-sided p-value of a correlation: with t = tan(angle), the tail of Student's density is that
+    of cos(angle) ** (n - 3), integrated here by Simpson's rule."""
+    def integral(start: str) -> str:
+        at = f"{start} + i * (pi() / 2 - {start}) / 4000"
+        weight = "CASE WHEN i % 4000 = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+        return f"((SELECT sum({weight} * greatest(cos({at}), 0) ** ({n} - 3)) FROM range(4001) t(i)) * (pi() / 2 - {start}) / 12000)"
+
+    return f"({integral(f'asin(abs({r}))')} / {integral('0.0::DOUBLE')})"
+
+
 def _ranked(r: str, body: str) -> str:
     """Correlations (feature, n, r) with p-value, flag and order."""
-    p = _normal_p(f"({r} * sqrt((n - 2) / (1 - {r} * {r})))")
+    p = _t_p(r, "n")
     return f"""SELECT feature, n, round({r}, 6) AS {r}, round(p, 6) AS p_value, p < 0.05 AS significativa,
         row_number() OVER (ORDER BY p, feature) AS orden FROM (SELECT *, {p} AS p FROM ({body}))"""
 
@@ -570,7 +590,7 @@ _BODIES: dict[str, str] = {
     "panel_grid": "SELECT * FROM grid",
     "pseudo_absence": "SELECT * FROM selected",
     "inactive_units": """SELECT unit_id FROM unit WHERE unit_id NOT IN
-        (SELECT unit_id FROM hazard)""",
+        (SELECT unit_id FROM hazard WHERE fallecidos > 1 AND personas >= 50)""",
     "unit_population": "SELECT unit_id, poblacion_estimada FROM populated",
     "daily_station": """SELECT fecha, sum(precip_mm) AS precip_diaria, count(*) AS n_estaciones
         FROM station GROUP BY 1""",
@@ -692,6 +712,11 @@ _BODIES: dict[str, str] = {
         round(stddev_pop(value), 6) AS std, round(quantile_cont(value, 0.25), 6) AS p25,
         round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75
         FROM before_long WHERE week_start < DATE '1999-01-01' GROUP BY 1""",
+    "ks_state": """SELECT feature, round(estadistico_ks, 6) AS estadistico_ks, n_referencia,
+        n_produccion, round(p_value, 6) AS p_value, p_value < 0.05 AS drift FROM drift_tested""",
+    "resumed_store": """SELECT fecha, coalesce(CAST(mm AS DOUBLE), 0.0) AS precip_mm FROM (SELECT CAST(unnest(generate_series(
+          TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS fecha)
+        FULL JOIN gapped USING (fecha)""",
     "ks_drift": """SELECT feature, round(estadistico_ks, 6) AS estadistico_ks, n_referencia,
         n_produccion, round(p_value, 6) AS p_value, p_value < 0.05 AS drift FROM drift_tested""",
     "drift_features": """SELECT coalesce(bool_or(p_value < 0.05), FALSE) AS drift_detectado,
@@ -702,6 +727,7 @@ _BODIES: dict[str, str] = {
     "interpolate_daily": _interpolated("gapped", None, "soil_moisture_m3m3"),
     "interpolate_by_unit": _interpolated("unit_daily", "unit_id", "precip_mm"),
     "weekly_soil_features": "SELECT * FROM soil",
+    "soil_by_unit": "SELECT * FROM soil_of_unit",
     "target_next_week": """SELECT week_start, n_deslizamientos,
         CAST(lead(n_deslizamientos) OVER (ORDER BY week_start) > 0 AS INTEGER) AS deslizamiento
         FROM (SELECT week_start, coalesce(n, 0) AS n_deslizamientos FROM rain LEFT JOIN (

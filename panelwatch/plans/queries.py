@@ -111,6 +111,19 @@ def resumed_days(spark, d):
     return landing.append_days(landed, fetched)
 
 
+@query
+def resumed_store(spark, d):
+    """Days landed in a partitioned folder, the missing ones added by two resumed runs, read back."""
+    first, last, path = day("1995-01-01"), day("2001-12-31"), scratch_folder(spark, "days")
+    landed = T.gapped_signal(spark, d).withColumnRenamed("soil_moisture_m3m3", "precip_mm")
+    landing.land_days(landed.withColumn("precip_mm", F.col("precip_mm").cast("double")), path)
+    for until in (day("1998-06-30"), last):
+        have = landing.landed_days(spark, path, "precip_mm double, fecha date")
+        fetched = landing.missing_days(have, first, until).withColumn("precip_mm", F.lit(0.0))
+        landing.land_days(fetched, path)
+    return landing.landed_days(spark, path, "precip_mm double, fecha date").select("fecha", "precip_mm")
+
+
 @query
 def feature_order(spark, d):
     """The features of a served model in its order; one is absent from the rows."""
@@ -459,7 +472,9 @@ def pseudo_absence(spark, d):
 
 @query
 def inactive_units(spark, d):
-    return panel.inactive_units(T.units(spark, d), T.hazards(spark, d)).select("unit_id")
+    """Units without a single severe event (deaths above one, fifty people)."""
+    severe = T.hazards(spark, d).where((F.col("fallecidos") > 1) & (F.col("personas") >= 50))
+    return panel.inactive_units(T.units(spark, d), severe).select("unit_id")
 
 
 @query
@@ -643,6 +658,18 @@ def drift_reference(spark, d):
     return r6(out, "mean", "std", "p25", "p50", "p75")
 
 
+@query
+def ks_state(spark, d):
+    """Drift from stored states of weeks: the last year is added without the old panel being read."""
+    path, cells = scratch_folder(spark, "drift-state"), _enriched(spark, d).select("week_start", *RAIN_FEATURES)
+    recent = F.col("week_start") >= day("2001-01-01")
+    for part in (cells.where(~recent), cells.where(recent)):
+        drift.append_state(part, RAIN_FEATURES, path)
+    state, before = drift.read_state(spark, path), F.col("week_start") < day(DRIFT_START)
+    out = drift.ks_of_states(drift.merge_states(state.where(before)), drift.merge_states(state.where(~before)))
+    return r6(out, "estadistico_ks", "p_value")
+
+
 @query
 def ks_drift(spark, d):
     return r6(_drift(spark, d), "estadistico_ks", "p_value")
@@ -688,6 +715,14 @@ def weekly_soil_features(spark, d):
     return r6(timeseries.weekly_soil_features(T.gapped_signal(spark, d)), "soil_moisture_14d")
 
 
+@query
+def soil_by_unit(spark, d):
+    """Weekly soil features of every unit, from its own readings and their gaps."""
+    daily = _daily_by_unit(spark, d).withColumnRenamed("precip_mm", "soil_moisture_m3m3")
+    out = timeseries.weekly_soil_features(daily, ["unit_id"])
+    return r6(out.select("unit_id", "week_start", "soil_moisture_14d", "fecha_fin_semana"), "soil_moisture_14d")
+
+
 @query
 def target_next_week(spark, d):
     weekly = panel.event_counts(T.hazards(spark, d), keys=())

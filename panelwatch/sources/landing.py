@@ -33,6 +33,9 @@ SIGNAL_SCHEMA = T.StructType(
     [T.StructField("fecha", T.DateType()), T.StructField("precip_mm", T.DoubleType())]
 )
 
+#: Writers of one day at most.
+DAY_WRITERS = 4
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header. With a schema nothing is inferred; without one all columns are text."""
@@ -101,6 +104,19 @@ def missing_days(landed: DataFrame, first: Column, last: Column, day: str = "fec
     return calendar_days(landed.sparkSession, first, last).join(have, "fecha", "left_anti")
 
 
+def land_days(fetched: DataFrame, path: str, day: str = "fecha") -> None:
+    """Adds fetched days to a folder with one partition a day, without reading or rewriting others.
+
+    A day that is there already is replaced: repeating a job after a failure leaves the same files.
+    """
+    days = fetched.repartition(day, F.pmod(F.hash(*fetched.columns), F.lit(DAY_WRITERS)))
+    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
+def landed_days(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
 def append_days(landed: DataFrame, fetched: DataFrame) -> DataFrame:
     return landed.unionByName(fetched).orderBy("fecha")
 

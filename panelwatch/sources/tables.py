@@ -37,9 +37,14 @@ def daily_signal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gapped_signal(spark: SparkSession, folder: str) -> DataFrame:
-    """The series of one unit, which has days without readings: fecha, soil_moisture_m3m3."""
-    readings = readings_by_unit(spark, folder).where(F.col("unit_id") == 1)
-    return readings.groupBy("fecha").agg(F.sum("precip_mm").alias("soil_moisture_m3m3"))
+    """The regional series without the days that have fewer readings than the average day:
+    fecha, soil_moisture_m3m3. All readings are counted; the series has real gaps at any scale."""
+    daily = table(spark, folder, "lineitem").groupBy(F.to_date("l_shipdate").alias("fecha")).agg(
+        F.sum("l_quantity").alias("soil_moisture_m3m3"), F.count(F.lit(1)).alias("_n")
+    )
+    known = daily.where(F.col("fecha").isNotNull())
+    enough = F.col("_n") * known.agg(F.count(F.lit(1))).scalar() >= known.agg(F.sum("_n")).scalar()
+    return known.where(enough).drop("_n")
 
 
 def readings_by_unit(spark: SparkSession, folder: str) -> DataFrame:

@@ -91,7 +91,7 @@ def test_rank_statistics(sample):
 
 def test_normal_tail(spark):
     zs = [0.0, 1.0, 1.959964, 3.0]
-    df = spark.createDataFrame([(z,) for z in zs], "z double").select(me._two_sided_normal(F.col("z")))
+    df = spark.createDataFrame([(z,) for z in zs], "z double").select(me.normal_two_sided(F.col("z")))
     assert [r[0] for r in df.collect()] == pytest.approx([1.0, 0.317311, 0.05, 0.0027], abs=1e-5)
 
 
@@ -137,3 +137,41 @@ def test_reference_statistics(spark):
     values = np.array([r[2] for r in rows])
     assert stats.n == 1500 and stats.std == pytest.approx(values.std())
     assert stats.p25 == pytest.approx(np.percentile(values, 25))
+
+
+def test_student_p_values(spark):
+    """Against the tail of Student's density, integrated by Simpson's rule."""
+    import math
+
+    from panelwatch.functions.distributions import correlation_p
+
+    def tail(r, n, steps=20_000):
+        def area(low):
+            h = (math.pi / 2 - low) / steps
+            weights = (1 if i in (0, steps) else 4 if i % 2 else 2 for i in range(steps + 1))
+            return sum(w * max(math.cos(low + i * h), 0.0) ** (n - 3) for i, w in enumerate(weights)) * h
+
+        return area(math.asin(abs(r))) / area(0.0)
+
+    rows = [(r, n) for n in (4, 10, 11, 50, 400) for r in (0.0, 0.01, -0.3, 0.6, -0.95)] + [(0.02, 15_000), (0.01, 30_000)]
+    df = spark.createDataFrame([*rows, (1.0, 10), (0.5, 2), (None, 10)], "r double, n long")
+    got = [x.p for x in df.select(correlation_p(F.col("r"), F.col("n")).alias("p")).collect()]
+    assert got[:-3] == pytest.approx([tail(*x) for x in rows], abs=1e-6)
+    assert got[-3:] == [0.0, None, None]
+
+
+def test_drift_state_grows_by_weeks(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(f"2020-{1 + w // 4:02d}-{1 + 7 * (w % 4):02d}", float(round(v, 1)), float(w)) for w in range(12) for v in rng.normal(w / 6, 1, 60)]
+    cells = spark.createDataFrame(rows, "day string, x double, z double").selectExpr("cast(day as date) as week_start", "x", "z")
+    path = str(tmp_path / "state")
+    for upto in ("2020-02-01", "2020-03-01", "2021-01-01"):
+        dr.append_state(cells.where(F.col("week_start") < upto), ["x", "z"], path)
+        state = dr.read_state(spark, path)
+    split = F.col("week_start") < "2020-02-15"
+    old, new = (dr.merge_states(state.where(c)) for c in (split, ~split))
+    plain = dr.ks_test(*(dr.unpivot_features(cells.where(c), ["x", "z"]) for c in (split, ~split)))
+    key = lambda r: r.feature
+    assert sorted(dr.ks_of_states(old, new).collect(), key=key) == sorted(plain.collect(), key=key)
+    twice = dr.merge_states(old, new)
+    assert twice.agg(F.sum("n")).first()[0] == 2 * 720

@@ -184,3 +184,30 @@ def test_checkpoints_are_reliable_files(spark):
     before = stored()
     assert cut_lineage(spark.range(3)).count() == 3
     assert stored() > before
+
+
+def test_resumed_days_touch_new_days_only(spark, tmp_path):
+    """Two resumed runs leave equal files, and files of days already there keep their times."""
+    from pathlib import Path
+
+    path = str(tmp_path / "days")
+    first, last = (F.lit(d).cast("date") for d in ("2020-01-01", "2020-01-20"))
+    landed = spark.createDataFrame([(f"2020-01-{d:02d}", float(d)) for d in (2, 3, 9)], "fecha string, precip_mm double")
+    la.land_days(landed.withColumn("fecha", F.to_date("fecha")), path)
+
+    def files():
+        return {f.relative_to(path): (f.stat().st_mtime_ns, f.read_bytes()) for f in Path(path).rglob("*.parquet")}
+
+    def resume():
+        have = la.landed_days(spark, path, "precip_mm double, fecha date")
+        fetched = la.missing_days(have, first, last).withColumn("precip_mm", F.lit(0.0))
+        la.land_days(fetched, path)
+        return files()
+
+    before, once = files(), resume()
+    assert before.items() <= once.items() and resume() == once
+    rows = la.landed_days(spark, path, "precip_mm double, fecha date").collect()
+    assert len(rows) == 20 and sum(r.precip_mm for r in rows) == 14
+    la.land_days(landed.withColumn("fecha", F.to_date("fecha")), path)
+    again = la.landed_days(spark, path, "precip_mm double, fecha date").collect()
+    assert sorted(again) == sorted(rows)
