@@ -55,7 +55,7 @@ def incomplete_beta(a: Column, b: Column, x: Column) -> Column:
     v = F.when(inside, x).otherwise(0.5)
     front = F.exp(a * F.log(v) + b * F.log(1 - v) + log_gamma(a + b) - log_gamma(a) - log_gamma(b))
     near = F.when(v < (a + 1) / (a + b + 2), front * _fraction(a, b, v) / a).otherwise(1 - front * _fraction(b, a, 1 - v) / b)
-    return F.when(x <= 0, 0.0).when(x >= 1, 1.0).otherwise(near)
+    return F.when(x <= 0, 0.0).when(x >= 1, 1.0).when(inside, near)
 
 
 def normal_two_sided(z: Column) -> Column:
