@@ -7,6 +7,7 @@ bags); every fit and every score is distributed.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -22,7 +23,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwatch.operators.folds import fold_sides
@@ -143,17 +144,94 @@ def gradient_boosting(data: Prepared, rounds: int = 100, depth: int = 3) -> list
     return [GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=SEED).fit(data.rows)]
 
 
-def bag_rows(rows: DataFrame, positives: int, seed: int) -> DataFrame:
-    """All positives and the ``positives`` unlabelled rows with the smallest hashes.
+#: Cumulative probabilities of how often a bootstrap of n draws takes a row (Poisson, mean one).
+POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(10)]
+#: Weights are whole multiples of this, so that their sums are exact in any order.
+GRAIN = 1024
+
+
+def drawn(columns: Sequence[str], seed: int) -> Column:
+    """How often a bootstrap takes a row: a quantile of its hash, whatever the layout of the rows."""
+    u = hash_unit(columns, seed)
+    return reduce(add, [(u >= c).cast("int") for c in POISSON])
+
+
+def hashed_forest(
+    data: Prepared,
+    trees: int = 20,
+    depth: int = Settings.forest_depth,
+    min_leaf: int = Settings.forest_min_leaf,
+    parallel: int = 4,
+) -> list:
+    """A random forest of single trees whose bootstraps are hashes of row key and tree.
+
+    ``random_forest`` draws by partition, so its trees depend on how the rows are stored; here
+    two layouts of the same rows give the same trees (up to 10,000 rows; beyond, Spark looks for
+    cut points in a sample of that size, taken by partition).
+    """
+
+    def tree(i: int):
+        rows = data.rows.withColumn("boot", drawn(KEYS, SEED + i)).where("boot > 0")
+        weight = F.round(F.col("weight") * GRAIN) / GRAIN * F.col("boot")
+        one = RandomForestClassifier(
+            weightCol="weight", numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=depth,
+            minInstancesPerNode=min_leaf, seed=SEED + i,
+        )
+        return one.fit(rows.withColumn("weight", weight).drop("boot"))
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(tree, range(trees)))
+
 
-    The hash where the count is reached is found by running totals, not by a sort of all
-    rows; rows that share that very hash are all drawn.
+def bag_masks(rows: DataFrame, positives: int, bags: int, seed: int = SEED) -> DataFrame:
+    """``rows`` with ``mask``: bit i says whether the row is in bag i (63 bags at most).
+
+    A bag has all positives and the ``positives`` unlabelled rows with the smallest hashes (ties
+    by key). The hashes where the bags are full are found by running totals of all bags at once;
+    only rows that have one of these very hashes are ranked.
     """
-    coded = rows.withColumn("_code", hash_code(KEYS, seed))
-    unlabelled = coded.where(F.col("label") == 0).select("_code", F.lit(1).alias("_one"))
-    runs = cumulative_by_value(unlabelled, "_code", ["_one"])
-    last = runs.where(F.col("_one_cum") - F.col("_one") < positives).agg(F.max("_code")).scalar()
-    return coded.where((F.col("label") == 1) | (F.col("_code") <= last)).drop("_code")
+    if bags > 63:
+        raise ValueError("a mask has 63 bits")
+    coded = rows.withColumn("_codes", F.array(*[hash_code(KEYS, seed + i) for i in range(bags)]))
+    unlabelled = coded.where(F.col("label") == 0)
+    draws = unlabelled.select(*KEYS, F.posexplode("_codes").alias("_bag", "_code"))
+    runs = cumulative_by_value(draws.select("_bag", "_code", F.lit(1).alias("_one")), "_code", ["_one"], ["_bag"])
+    below = F.col("_one_cum") - F.col("_one")
+    # One row for each bag.
+    limits = runs.where(below < positives).groupBy("_bag").agg(
+        F.max("_code").alias("_last"), (positives - F.max(below)).alias("_room")
+    )
+    ties = draws.join(F.broadcast(limits), "_bag").where(F.col("_code") == F.col("_last"))
+    first = F.row_number().over(Window.partitionBy("_bag").orderBy(*KEYS)) <= F.col("_room")
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
+    tied = ties.withColumn("_in", first).where("_in").groupBy(*KEYS).agg(F.sum(bit(F.col("_bag"))).alias("_tied"))
+    last = limits.agg(F.map_from_entries(F.collect_list(F.struct("_bag", "_last")))).scalar()
+    everywhere = sum(1 << i for i in range(bags))
+    known = coded.withColumn("_limits", last).join(tied, KEYS, "left")
+    drawn_bits = reduce(
+        add,
+        [F.when(F.get("_codes", F.lit(i)) < F.element_at("_limits", F.lit(i)), 1 << i).otherwise(0).cast("bigint") for i in range(bags)],
+    )
+    mask = F.when(F.col("label") == 1, F.lit(everywhere).cast("bigint")).otherwise(
+        drawn_bits + F.coalesce("_tied", F.lit(0).cast("bigint"))
+    )
+    return known.withColumn("mask", mask).drop("_codes", "_limits", "_tied")
+
+
+def in_bag(mask: Column, bag: int) -> Column:
+    return mask.bitwiseAND(1 << bag) != 0
+
+
+def out_of_bag_mean(mask: Column, scores: Sequence[Column]) -> Column:
+    """Mean of the scores of the bags that a row isn't in; null if it is in all."""
+    outside = [~in_bag(mask, i) for i in range(len(scores))]
+    total = reduce(add, [F.when(o, s).otherwise(0.0) for o, s in zip(outside, scores)])
+    return F.try_divide(total, reduce(add, [o.cast("int") for o in outside]))
+
+
+def bag_rows(rows: DataFrame, positives: int, seed: int) -> DataFrame:
+    """The rows of one bag."""
+    return bag_masks(rows, positives, 1, seed).where(in_bag(F.col("mask"), 0)).drop("mask")
 
 
 def pu_bagging(
@@ -166,20 +244,25 @@ def pu_bagging(
     """Positive-unlabelled bagging: each bag has all positives and as many unlabelled rows.
 
     Unlabelled rows are drawn by a hash of their key, so a lost task draws the same
-    ones again.
+    ones again. Membership of all bags is found once.
     """
+    masked = bag_masks(data.rows, data.positives, bags, SEED).persist()
 
     def bag(i: int):
         forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED + i)
-        return forest.fit(bag_rows(data.rows, data.positives, SEED + i))
+        return forest.fit(masked.where(in_bag(F.col("mask"), i)).drop("mask"))
 
-    with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(bag, range(bags)))
+    try:
+        with ThreadPoolExecutor(parallel) as pool:
+            return list(pool.map(bag, range(bags)))
+    finally:
+        masked.unpersist()
 
 
 FAMILIES: dict[str, Callable[..., list]] = {
     "logistic_regression": logistic,
     "random_forest": random_forest,
+    "hashed_forest": hashed_forest,
     "gradient_boosting": gradient_boosting,
     "bagging_pu": pu_bagging,
 }
@@ -218,6 +301,18 @@ class Fitted:
             *KEYS, F.col("label").cast("int").alias("y"), "p"
         )
 
+    def out_of_bag(self, cells: DataFrame) -> DataFrame:
+        """Keys, y and p of the rows a bagged family was fitted on, each scored by the bags it isn't in.
+
+        Positives are in every bag and have no such score.
+        """
+        rows = self.vectors(cells).where(F.col("label").isNotNull())
+        positives = int(rows.agg(F.sum("label")).first()[0] or 0)
+        scored, columns = bag_masks(rows, positives, len(self.models)), []
+        for i, model in enumerate(self.models):
+            scored, columns = _probability(scored, [model], f"p{i}"), [*columns, F.col(f"p{i}")]
+        return scored.select(*KEYS, F.col("label").cast("int").alias("y"), out_of_bag_mean(F.col("mask"), columns).alias("p"))
+
     def importances(self) -> list[tuple[str, float]]:
         """Features by importance (trees) or by size of coefficient (logistic)."""
         totals = [0.0] * len(self.features)

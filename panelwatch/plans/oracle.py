@@ -7,6 +7,7 @@ affordable at check size only.
 
 from __future__ import annotations
 
+import math
 import re
 
 from panelwatch.settings import CONSEQUENCES, RAIN_FEATURES, SEASON_FEATURES, UNIT_PRICE_COP
@@ -444,6 +445,8 @@ _BEFORE = "SELECT 0 AS grp, * FROM training WHERE week_start < DATE '1999-01-01'
 _AFTER = "SELECT 0 AS grp, * FROM exact WHERE week_start >= DATE '1999-01-01'"
 _FOLDED = "SELECT fold AS grp, t.* FROM training t JOIN fold_of_selected USING (week_start) WHERE side = "
 
+_POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(10)]
+
 _BODIES: dict[str, str] = {
     "coefficient_table": _linear("SELECT 0 AS grp, * FROM training", "SELECT 0 AS grp, * FROM training", " UNION ALL ".join([
         *(f"SELECT '{f}' AS feature, round(med_{f}, 6) AS fill, round(m_{f}, 6) AS mean, round(sd_{f}, 6) AS sd, "
@@ -668,8 +671,17 @@ _BODIES: dict[str, str] = {
             AS weight, {", ".join(f"round((coalesce({f}, s_{f}.med) - s_{f}.m) / s_{f}.sd, 6) AS {f}" for f in _PREPARED)}
         FROM t, {", ".join(f"s_{f}" for f in _PREPARED)}""",
     "bag_members": f"""SELECT week_start, unit_id, CAST(deslizamiento AS DOUBLE) AS label FROM (
-        SELECT *, rank() OVER (PARTITION BY deslizamiento ORDER BY {_hash_code(42)}) AS r FROM selected)
+        SELECT *, row_number() OVER (PARTITION BY deslizamiento ORDER BY {_hash_code(42)}, week_start, unit_id) AS r FROM selected)
         WHERE deslizamiento = 1 OR r <= (SELECT sum(deslizamiento) FROM selected)""",
+    "bag_masks": f"""WITH b AS (SELECT *, {", ".join(f"(deslizamiento = 1 OR row_number() OVER (PARTITION BY deslizamiento "
+          f"ORDER BY {_hash_code(42 + i)}, week_start, unit_id) <= (SELECT sum(deslizamiento) FROM selected))::BIGINT AS b{i}, "
+          f"{_hash_code(1000 + i)} / 4294967296.0::DOUBLE AS s{i}" for i in range(5))} FROM selected)
+        SELECT week_start, unit_id, CAST(deslizamiento AS DOUBLE) AS label, {" + ".join(f"b{i} * {1 << i}" for i in range(5))} AS mascara,
+          round(({" + ".join(f"(1 - b{i}) * s{i}" for i in range(5))}) / nullif({" + ".join(f"(1 - b{i})" for i in range(5))}, 0), 6)
+            AS fuera_de_bolsa FROM b""",
+    "bootstrap_draws": f"""SELECT week_start, unit_id, {", ".join("(" + " + ".join(
+          f"({_hash_code(42 + i)} / 4294967296.0::DOUBLE >= {c!r}::DOUBLE)::INTEGER" for c in _POISSON) + f") AS arbol_{i}" for i in range(3))}
+        FROM selected""",
     "pr_curve": f"""SELECT round(threshold, 6) AS threshold, tp, fp,
         round({_ratio("tp", "tp + fp")}, 6) AS precision, round(tp / total, 6) AS recall FROM (
         SELECT p AS threshold, CAST(sum(sum(y)) OVER (ORDER BY p DESC) AS BIGINT) AS tp,

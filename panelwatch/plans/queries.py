@@ -1100,6 +1100,25 @@ def bag_members(spark, d):
     return models.bag_rows(rows, positives, models.SEED).select(*models.KEYS, "label")
 
 
+@query
+def bag_masks(spark, d):
+    """Membership of each training row in five bags as bits, and the mean of fixed scores out of bag."""
+    _, train = _stored(spark, d)
+    rows = models.model_rows(train, ["up_area"]).where(F.col("label").isNotNull())
+    positives = int(rows.agg(F.sum("label")).first()[0])
+    masked = models.bag_masks(rows, positives, 5)
+    scores = [models.hash_unit(models.KEYS, 1000 + i) for i in range(5)]
+    outside = F.round(models.out_of_bag_mean(F.col("mask"), scores), 6)
+    return masked.select(*models.KEYS, "label", F.col("mask").alias("mascara"), outside.alias("fuera_de_bolsa"))
+
+
+@query
+def bootstrap_draws(spark, d):
+    """How often the bootstraps of three trees take each training row."""
+    _, train = _stored(spark, d)
+    return train.select(*models.KEYS, *[models.drawn(models.KEYS, models.SEED + i).alias(f"arbol_{i}") for i in range(3)])
+
+
 @query
 def pu_bagging(spark, d):
     full, train = _stored(spark, d)

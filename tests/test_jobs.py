@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelwatch.plans import linear as li
 from panelwatch.plans import models as mo
 from panelwatch.plans import pipeline as pl
 from panelwatch.settings import MODEL_FEATURES, Settings
@@ -181,3 +182,59 @@ def test_streamed_counts_over_two_landings(spark, tmp_path):
     assert run() == {("2021-01-05", "Alto"): 2, ("2021-01-05", "Bajo"): 1, ("2021-01-06", "Medio"): 1}
     land(("2021-01-02 03:00:00", 0.7))  # later than the allowed day: left out
     assert ("2021-01-02", "Alto") not in run()
+
+
+def test_hashed_forests_do_not_depend_on_the_layout(spark, stored):
+    train = stored[1]
+    rows = train.orderBy("week_start", "unit_id").limit(1500).cache()
+    one = mo.fit(rows.repartition(1), "hashed_forest", trees=2, depth=4)
+    other = mo.fit(rows.repartition(7, "unit_id"), "hashed_forest", trees=2, depth=4)
+    score = lambda f: [(r.week_start, r.unit_id, r.p) for r in f.score(rows).orderBy("week_start", "unit_id").collect()]
+    assert score(one) == score(other)
+    assert len({p for _, _, p in score(one)}) > 1
+
+
+def test_out_of_bag(spark, stored):
+    train = stored[1]
+    rows = train.orderBy("week_start", "unit_id").limit(1500).cache()
+    fitted = mo.fit(rows, "bagging_pu", bags=3, trees=3, depth=3)
+    found = fitted.out_of_bag(rows).collect()
+    masks = {
+        (r.week_start, r.unit_id): r.mask
+        for r in mo.bag_masks(mo.model_rows(rows, ["up_area"]), sum(r.y for r in found), 3).collect()
+    }
+    positives = sum(r.y for r in found)
+    for i in range(3):
+        assert sum(m >> i & 1 for m in masks.values()) == 2 * positives
+    assert all((r.p is None) == (masks[r.week_start, r.unit_id] == 7) for r in found)
+    assert all(r.p is None for r in found if r.y == 1) and any(r.p is not None for r in found)
+
+
+def test_coefficient_table_scores_like_the_model(spark, stored):
+    full, train, *_ = stored
+    fitted = mo.fit(train, "logistic_regression")
+    table = li.of_fitted(spark, fitted)
+    rows = li.score(full, table, fitted.features).join(fitted.score(full).withColumnRenamed("p", "q").drop("y"), mo.KEYS)
+    assert rows.where(F.abs(F.col("p") - F.col("q")) > 1e-6).isEmpty() and rows.count() == full.count()
+
+
+def test_certificate_tells_the_optimum(spark, stored):
+    train = stored[1]
+    fitted = mo.fit(train, "logistic_regression")
+    rows = mo.model_rows(train, fitted.features).where(F.col("label").isNotNull())
+    n, pos = rows.count(), rows.where("label = 1").count()
+    weighted = rows.withColumn("weight", F.when(F.col("label") == 1, n / (2 * pos)).otherwise(n / (2 * (n - pos))))
+    table, penalty = li.of_fitted(spark, fitted), 1 / (SETTINGS.logistic_c * n)
+    good = li.certificate(weighted, table, fitted.features, penalty).first()
+    assert good.n == n and good.peso == pytest.approx(n)
+    assert good.gradiente < 1e-3 and good.perdida < good.perdida_cercana
+    moved = table.withColumn("weight", F.col("weight") + F.when(F.col("feature") == "up_area", 0.5).otherwise(0.0))
+    assert li.certificate(weighted, moved, fitted.features, penalty).first().gradiente > 1e-2
+
+
+def test_standardisation_by_fold_is_that_of_its_rows(spark, stored):
+    train = stored[1].withColumn("fold", F.col("unit_id") % 2)
+    together = {(r.fold, r.feature): r[2:] for r in li.standardisation(train, ["up_area", "precip_acum_7d"], ["fold"]).collect()}
+    for k in (0, 1):
+        alone = li.standardisation(train.where(F.col("fold") == k), ["up_area", "precip_acum_7d"]).collect()
+        assert {(k, r.feature): pytest.approx(r[1:]) for r in alone} == {x: v for x, v in together.items() if x[0] == k}
