@@ -123,7 +123,7 @@ def logistic(data: Prepared, c: float = Settings.logistic_c) -> list:
     """L2 logistic regression; ``c`` is the inverse penalty of the summed loss."""
     model = LogisticRegression(
         weightCol="weight", maxIter=500, regParam=1.0 / (c * data.n), elasticNetParam=0.0,
-        standardization=False, tol=1e-4,
+        standardization=False, tol=1e-9,
     )
     return [model.fit(data.rows)]
 
