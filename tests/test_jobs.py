@@ -229,7 +229,7 @@ def test_certificate_tells_the_optimum(spark, stored):
     assert good.n == n and good.peso == pytest.approx(n)
     assert good.gradiente < 1e-3 and good.perdida < good.perdida_cercana
     moved = table.withColumn("weight", F.col("weight") + F.when(F.col("feature") == "up_area", 0.5).otherwise(0.0))
-    assert li.certificate(weighted, moved, fitted.features, penalty).first().gradiente > 1e-2
+    assert li.certificate(weighted, moved, fitted.features, penalty).first().gradiente > 3e-3
 
 
 def test_standardisation_by_fold_is_that_of_its_rows(spark, stored):
