@@ -26,10 +26,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwatch.operators.folds import fold_sides
+from panelwatch.operators.folds import fold_sides, fold_table
 from panelwatch.operators.metrics import fold_summary, full_metrics
 from panelwatch.operators.ordering import cumulative_by_value, exact_quantiles
 from panelwatch.operators.panel import unpivot_features, year_slice
+from panelwatch.plans.linear import unpivoted
 from panelwatch.settings import MODEL_FEATURES, TARGET, Settings
 
 KEYS = ["week_start", "unit_id"]
@@ -98,10 +99,11 @@ class Prepared:
     fill: dict[str, float]
 
     @staticmethod
-    def of(cells: DataFrame) -> Prepared:
-        features = usable_features(cells)
+    def of(cells: DataFrame, fill: dict[str, float] | None = None) -> Prepared:
+        """``fill`` has the medians of the usable features, where they are known already."""
+        features = usable_features(cells) if fill is None else [f for f in MODEL_FEATURES if f in fill]
         rows = model_rows(cells, features).where(F.col("label").isNotNull())
-        fill = medians(rows, features)
+        fill = fill or medians(rows, features)
         transformer = preparation(features, fill).fit(rows)
         counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
         n, pos = counts["n"], int(counts["pos"] or 0)
@@ -341,29 +343,22 @@ def baseline_scores(cells: DataFrame, train: DataFrame, seed: int = SEED) -> Dat
     return cells.select(*KEYS, F.col(TARGET).alias("y"), guess.alias("p"))
 
 
-def _both_classes(cells: DataFrame) -> bool:
-    row = cells.agg(F.min(TARGET).alias("a"), F.max(TARGET).alias("b")).first()
-    return row["a"] == 0 and row["b"] == 1
-
-
 def _fold_metrics(
     sides: dict[str, DataFrame],
     fold: int,
+    fill: dict[str, float],
     family: str,
     draws: Sequence[dict],
     parallel: int,
-) -> DataFrame | None:
+) -> DataFrame:
     """Metrics of all parameter draws on one fold: prepared once, scored in one pass."""
-    train, val = sides["train"], sides["val"]
-    if not (_both_classes(train) and _both_classes(val)):
-        return None
-    data = Prepared.of(train)
+    data = Prepared.of(sides["train"], fill)
     try:
         with ThreadPoolExecutor(parallel) as pool:
             fitted = list(pool.map(lambda p: FAMILIES[family](data, **p), draws))
     finally:
         data.release()
-    scored = Fitted([], data.transformer, data.features).vectors(val)
+    scored = Fitted([], data.transformer, data.features).vectors(sides["val"])
     for i, models in enumerate(fitted):
         scored = _probability(scored, models, f"p{i}")
     columns = [f"p{i}" for i in range(len(draws))]
@@ -382,18 +377,35 @@ def _fold_metrics(
     )
 
 
+def fold_preparation(cells: DataFrame, folds: int) -> tuple[set[int], dict[int, dict[str, float]]]:
+    """Folds with both classes on both sides, and the medians of every fold's training side.
+
+    One grouped pass for all folds each; a few rows for each fold come to the driver.
+    """
+    placed = cells.join(F.broadcast(fold_table(cells, folds)), "week_start")
+    seen = placed.groupBy("fold", "side").agg(F.min(TARGET).alias("a"), F.max(TARGET).alias("b")).collect()
+    whole = [r["fold"] for r in seen if r["a"] == 0 and r["b"] == 1]
+    train = placed.where((F.col("side") == "train") & F.col(TARGET).isNotNull())
+    long = unpivoted(train, [f for f in MODEL_FEATURES if f in cells.columns], ["fold"])
+    fills: dict[int, dict[str, float]] = {}
+    for r in exact_quantiles(long, "value", {"median": 0.5}, ["fold", "feature"]).collect():
+        fills.setdefault(r["fold"], {})[r["feature"]] = r["median"]
+    return {f for f in whole if whole.count(f) == 2}, fills
+
+
 def search_folds(
     cells: DataFrame, family: str, draws: Sequence[dict], folds: int = 4, parallel: int = 4
 ) -> DataFrame:
     """Metrics of every (fold, draw). Folds with one class on a side are skipped.
 
-    Spark's own fold columns would train on later weeks too, hence this loop over folds.
+    Spark's own fold columns would train on later weeks too, hence these jobs by fold; they run
+    side by side.
     """
-    done = [
-        _fold_metrics(sides, fold, family, draws, parallel)
-        for fold, sides in fold_sides(cells, folds).items()
-    ]
-    done = [m for m in done if m is not None]
+    whole, fills = fold_preparation(cells, folds)
+    todo = [(fold, sides) for fold, sides in fold_sides(cells, folds).items() if fold in whole]
+    with ThreadPoolExecutor(max(1, len(todo))) as pool:
+        jobs = [pool.submit(_fold_metrics, sides, fold, fills[fold], family, draws, parallel) for fold, sides in todo]
+        done = [job.result() for job in jobs]
     if not done:
         schema = "fold int, iteracion int, " + ", ".join(f"{m} double" for m in CV_METRICS)
         return cells.sparkSession.createDataFrame([], schema)
