@@ -7,12 +7,15 @@ span of turn k. If an output doesn't begin with the one before, the template rew
 a text is found by rendering the same prefix with a probe in its place.
 
 Rendering every prefix is quadratic in the turns rendered together. A template that states a
-``lookback`` (how many earlier turns a turn's output depends on; the marked template: 0) is
-rendered in blocks of ``BLOCK_TURNS`` turns, each after its lookback; a conversation of any
-length is then spread over many rows. Without it a conversation is rendered as a whole.
+``lookback`` of 0 (a turn's output depends on no earlier turn, as in the marked template) is
+rendered in blocks of at most ``BLOCK_TURNS`` rows, counted in order, whatever their numbers; a
+conversation of any length is then spread over many rows and tasks. Blocks only stand for a
+template without lookback (0), which is tried where two blocks of one task meet; other templates
+leave it unset, and their conversations are rendered as a whole.
 
 Cases: null text and role are empty strings; turns are ordered by number (null first), then
-role and text, so repeated rows are repeated turns; null conversation ids form one
+role and a hash of the text (the text where rendered as a whole), so repeated rows are repeated
+turns; null conversation ids form one
 conversation; other columns are left out; an empty table gives an empty table.
 """
 
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwatch.llm.common import arrow_type, map_arrow
+from panelwatch.llm.common import arrow_type, map_arrow, sliced
 
 Turn = tuple[str, str]
 
@@ -74,14 +77,11 @@ def _shared(a: str, b: str) -> int:
     return low
 
 
-def locate(
-    turns: list[Turn], render: Callable[[list[Turn]], str], skip: int = 0
-) -> tuple[str, list[tuple[int, int, int, int]], bool]:
-    """Output for all turns, (start, end, text start, text end) of each but the first ``skip``,
-    and whether the template rewrites history. Places count from the end of the skipped turns."""
-    out, rewrites, spans = render(turns[:skip]) if skip else "", False, []
-    origin = len(out)
-    for k in range(skip, len(turns)):
+def locate(turns: list[Turn], render: Callable[[list[Turn]], str]) -> tuple[str, list[tuple[int, int, int, int]], bool]:
+    """Output for all turns, (start, end, text start, text end) of each, and whether the template
+    rewrites history."""
+    out, rewrites, spans = "", False, []
+    for k in range(len(turns)):
         now, probed = render(turns[: k + 1]), render([*turns[:k], (turns[k][0], PROBE)])
         start = len(out)
         if not now.startswith(out):
@@ -93,7 +93,7 @@ def locate(
             at, tail = len(now), 0
         spans.append((start, len(now), at, len(now) - tail))
         out = now
-    return out[origin:], [tuple(x - origin for x in s) for s in spans], rewrites
+    return out, spans, rewrites
 
 
 def render_conversations(
@@ -107,55 +107,68 @@ def render_conversations(
     The pieces of a conversation, joined by block, are its formatted text. ``spans`` has the
     places of each turn and of its text within the piece; ``loss`` marks trained texts.
     """
-    lookback = getattr(render, "lookback", None)
+    if getattr(render, "lookback", None) not in (None, 0):
+        raise ValueError("blocks are cut for templates without lookback; leave it unset otherwise")
+    whole = getattr(render, "lookback", None) is None
     rows = conversations.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
         F.col("turn").cast("bigint").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    if lookback == 0:
-        block = F.floor(F.col("turn") / block_turns)
-        rows = rows.withColumn("block", F.coalesce(block, F.lit(-(1 << 62))))
-    elif lookback is None:
-        rows = rows.withColumn("block", F.lit(0).cast("bigint"))
-    else:
-        raise ValueError("blocks are cut for templates without lookback; leave it unset otherwise")
-    turn = F.struct("turn", "role", "text")
-    grouped = rows.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     types = arrow_type(BLOCK)
 
+    def block_of(turns: list[dict], number: int, before: dict | None) -> dict:
+        said = [(t["role"], t["text"]) for t in turns]
+        piece, spans, rewrites = locate(said, render)
+        if before is not None:
+            # A template that says it looks at no earlier turn is taken at its word only here.
+            last = (before["role"], before["text"])
+            rewrites |= render([last, said[0]]) != render([last]) + render(said[:1])
+        names = ("turn", "start", "end", "text_start", "text_end", "loss")
+        marks = [dict(zip(names, (t["turn"], *s, t["role"] in loss_roles))) for t, s in zip(turns, spans)]
+        return {"conv_id": turns[0]["conv_id"], "block": number, "piece": piece, "rewrites": rewrites, "spans": marks}
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        from pyspark import TaskContext
+
+        first = TaskContext.get().partitionId() << 32
+        held, number, before = [], 0, None
+        for batch in sliced(batches):
             found = []
             for row in batch.to_pylist():
-                said = [(t["role"], t["text"]) for t in row["turns"]]
-                piece, spans, rewrites = locate(said, render)
-                names = ("turn", "start", "end", "text_start", "text_end", "loss")
-                marks = [
-                    dict(zip(names, (t["turn"], *s, t["role"] in loss_roles)))
-                    for t, s in zip(row["turns"], spans)
-                ]
-                found.append(
-                    {"conv_id": row["conv_id"], "block": row["block"], "piece": piece}
-                    | {"rewrites": rewrites, "spans": marks}
-                )
-            yield pa.RecordBatch.from_pylist(found, schema=types)
-
-    return map_arrow(grouped, step, BLOCK)
+                same = bool(held) and row["conv_id"] == held[0]["conv_id"]
+                if held and (not same or (len(held) == block_turns and not whole)):
+                    found.append(block_of(held, first + number, before))
+                    number, before, held = (number + 1, held[-1], []) if same else (0, None, [])
+                held.append(row)
+            if found:
+                yield pa.RecordBatch.from_pylist(found, schema=types)
+        if held:
+            yield pa.RecordBatch.from_pylist([block_of(held, first + number, before)], schema=types)
+
+    if whole:
+        ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    else:
+        # Ranges of rows, not of conversations: a long one, or many equal rows, are several tasks' work.
+        key = ["conv_id", "turn", "role", F.xxhash64("text"), F.monotonically_increasing_id()]
+        names = ["k0", "k1", "k2", "k3", "k4"]
+        keyed = rows.withColumns(dict(zip(names, [F.col(k) if isinstance(k, str) else k for k in key])))
+        ordered = keyed.repartitionByRange(*names).sortWithinPartitions(*names[:4]).select(*rows.columns)
+    return map_arrow(ordered, step, BLOCK)
 
 
 def read_back(blocks: DataFrame) -> DataFrame:
-    """conv_id, block, n_turns, said, loss, formatted_chars: what the output itself holds.
+    """conv_id, block, n_turns, said, loss, formatted_chars, rewrites: what the output itself holds.
 
     ``said`` is role, newline, text, newline of each turn; ``loss`` all text under the mask;
     both unescaped.
     """
-    ddl = "conv_id bigint, block bigint, n_turns bigint, said string, loss string, formatted_chars bigint"
+    ddl = "conv_id bigint, block bigint, n_turns bigint, said string, loss string, formatted_chars bigint, rewrites boolean"
     types = arrow_type(ddl)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = []
             for row in batch.to_pylist():
                 piece, turns = row["piece"], parse(row["piece"])
@@ -168,6 +181,7 @@ def read_back(blocks: DataFrame) -> DataFrame:
                         "said": "".join(f"{role}\n{text}\n" for role, text in turns),
                         "loss": "".join(map(unescape, under)),
                         "formatted_chars": len(piece),
+                        "rewrites": row["rewrites"],
                     }
                 )
             yield pa.RecordBatch.from_pylist(found, schema=types)
@@ -179,7 +193,7 @@ def digests(read: DataFrame) -> DataFrame:
     """One row per conversation, hashed block by block in order; no conversation is held whole."""
     ddl = (
         "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
-        "formatted_chars bigint"
+        "formatted_chars bigint, rewrites boolean"
     )
     types = arrow_type(ddl)
 
@@ -195,18 +209,20 @@ def digests(read: DataFrame) -> DataFrame:
                     begun, conv_id = True, row["conv_id"]
                     said, loss = hashlib.sha256(), hashlib.sha256()
                     n_turns = loss_chars = formatted_chars = 0
+                    rewrites = False
                 said.update(row["said"].encode())
                 loss.update(row["loss"].encode())
                 n_turns += row["n_turns"]
                 loss_chars += len(row["loss"])
                 formatted_chars += row["formatted_chars"]
-                result = lambda: (conv_id, n_turns, said.hexdigest(), loss_chars, loss.hexdigest(), formatted_chars)
+                rewrites |= row["rewrites"]
+                result = lambda: (conv_id, n_turns, said.hexdigest(), loss_chars, loss.hexdigest(), formatted_chars, rewrites)
             if done:
                 yield _batch(done, types)
         if begun:
             yield _batch([result()], types)
 
-    names = ["conv_id", "block", "n_turns", "said", "loss", "formatted_chars"]
+    names = ["conv_id", "block", "n_turns", "said", "loss", "formatted_chars", "rewrites"]
     ordered = read.select(*names).repartition("conv_id").sortWithinPartitions("conv_id", "block")
     return map_arrow(ordered, step, ddl)
 

@@ -4,7 +4,7 @@ Host and path are cut from the url by one pattern. A rule fits its host and all
 the path starts with the rule's; the longest fitting rule decides. Where none fits, the
 probability of a regression on hashed n-grams of host and path decides. The regression is fitted
 on a small labelled table of urls (the caller's, or ``seeds``; one partition, so that a fit can be
-repeated to the bit); scoring is one pass over the pages. DataFrame functions and Spark ML only.
+repeated to the bit: some hundred thousand urls at most); scoring is one pass over the pages. DataFrame functions and Spark ML only.
 
 Cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged
 by the intercept; an empty labelled table allows everything without a rule; repeated urls are
@@ -43,16 +43,27 @@ RULES = (
 PARTS = r"^(?s:.*?)://([^/?#]*)([^?#]*)"
 SIZES = (3, 4)
 BUCKETS = 1 << 12
-#: Words of the hosts of the default labelled table.
+#: Words of the hosts of the default labelled table, general ones of either kind.
 BAD_WORDS = (
-    "ads-track ad-server adclick trackers popunder casino free-casino free-bets sportsbet poker "
-    "adult-x adult porn sex-cams xxx-video cheap-pills viagra payday-loans win-prize warez spam-mail"
+    "adserver adclick adbanner banner-ad popup-ad popunder trackers clicktracking tracking-pixel affiliate-offers "
+    "gambling slotmachine jackpot roulette blackjack poker sportsbet betting bet-now onlinebets lucky-spins casinos "
+    "porn xxx-video sexcams nude-chat escorts adults-only adultvideo hookup viagra pharmacy-discount "
+    "diet-pill pillstore payday-loans instant-loan win-prize warez crackz keygen torrentz spam-offers"
 ).split()
 GOOD_WORDS = (
     "library museum school university research science journal news daily-post weather garden "
     "history music theatre travel cooking recipes sports health hospital physics chemistry "
     "mathematics language dictionary encyclopedia archive maps railway city-hall gallery books "
-    "publisher software compiler database astronomy biology geology economics"
+    "publisher software compiler database astronomy biology geology economics forum blog shop site "
+    "community studio market village reader writer photo video games radio club "
+    "nation station education information action section question position tradition collection "
+    "thing nothing something thinking other another mother brother together weather-report whether "
+    "north south earth health-care truth youth faith thread thanks author method theory theme thesis "
+    "health-center that-place there then they thirty thousand throne thunder "
+    "morning evening building meeting reading writing learning engineering training "
+    "family friendly daily early weekly monthly table cable noble able possible visible "
+    "river winter summer letter paper number order water center interest street forest "
+    "island ireland england finland land hand stand garden-house home house horse shed shelter"
 ).split()
 FORMS = (("", "example.com"), ("www.", "example.net"), ("blog.", "example.org"), ("m.", "example.com"))
 LANGUAGES = ("en", "de", "fr", "es")
@@ -106,12 +117,17 @@ def seeds() -> list[tuple[str, float]]:
 def fit(labelled: DataFrame) -> LogisticRegressionModel | None:
     """Regression on a small table of url and block (0 or 1); None if it is empty."""
     rows = with_parts(labelled.where("block IS NOT NULL")).coalesce(1).sortWithinPartitions("url")
-    if rows.isEmpty():
+    sizes = {r["block"]: r["count"] for r in rows.groupBy("block").count().collect()}
+    if not sizes:
         return None
+    # Both labels weigh the same, however many urls the table has of either.
+    weight = F.lit(1.0)
+    for label, n in sorted(sizes.items()):
+        weight = F.when(F.col("block") == label, 1.0 / n).otherwise(weight)
     regression = LogisticRegression(
-        featuresCol="_features", labelCol="block", maxIter=60, regParam=0.01, standardization=False
+        featuresCol="_features", labelCol="block", weightCol="_weight", maxIter=60, regParam=0.01, standardization=False
     )
-    return regression.fit(with_grams(rows).select("_features", "block"))
+    return regression.fit(with_grams(rows).withColumn("_weight", weight).select("_features", "block", "_weight"))
 
 
 def judged(

@@ -376,7 +376,7 @@ def test_digests_hold_no_conversation_whole(spark):
         said = "".join(f"{x[2]}\n{x[3]}\n" for x in own)
         assert tuple(r)[1:5] == (23, sha(said), len(loss), sha(loss))
     assert found.count() == 3
-    read = spark.createDataFrame([], "conv_id long, block long, n_turns long, said string, loss string, formatted_chars long")
+    read = spark.createDataFrame([], "conv_id long, block long, n_turns long, said string, loss string, formatted_chars long, rewrites boolean")
     assert "collect_list" not in chat.digests(read)._jdf.queryExecution().optimizedPlan().toString()
 
 
@@ -440,3 +440,34 @@ def test_repeated_rows_are_one_node(spark, monkeypatch):
     assert len(found) == 600 and {r.component_id for r in found} == {1}
     assert sum(r.kept for r in found) == 300
     assert all(sets == 2 and links <= 2 for sets, links in counted)
+
+
+def test_rows_of_one_turn_are_cut_into_blocks(spark):
+    """Blocks are counted by rows: many rows of one turn cost what as many turns cost."""
+    import time
+
+    ddl = "conv_id long, turn long, role string, text string"
+
+    def run(n):
+        rows = [(None, i % 4, "user" if i % 3 else "assistant", f"text {i % 50}") for i in range(n)]
+        blocks = chat.render_conversations(frame(spark, rows, ddl))
+        assert max(len(r.spans) for r in blocks.select("spans").collect()) <= chat.BLOCK_TURNS
+        start = time.perf_counter()
+        found = chat.digests(chat.read_back(blocks)).collect()
+        assert [(r.conv_id, r.n_turns, r.rewrites) for r in found] == [(None, n, False)]
+        return time.perf_counter() - start
+
+    run(500)
+    assert run(8000) < 8 * max(run(2000), 0.5)
+
+
+def test_templates_that_look_back_are_found_at_block_borders(spark):
+    def numbered_turns(turns):
+        return "".join(f"<{i}:{role}>{text}" for i, (role, text) in enumerate(turns))
+
+    numbered_turns.lookback = 0
+    rows = [(1, t, "user", f"text {t}") for t in range(10)]
+    df = frame(spark, rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    found = chat.render_conversations(df, numbered_turns, block_turns=4).collect()
+    assert len(found) > 1 and any(r.rewrites for r in found)
+    assert not any(r.rewrites for r in chat.render_conversations(df, block_turns=4).collect())
