@@ -4,7 +4,8 @@ The words of a text give k-mers of ``WORDS`` words, each numbered by its occurre
 repeated k-mer is several elements. For each of ``SKETCHES`` orders the ``KEPT`` smallest elements
 are taken, put back in text order and hashed as a tuple. Two texts agree on a sketch if they
 share the smallest elements and hold them in the same order, so that the share of equal
-sketches falls with the edit distance and not only with the shared vocabulary.
+sketches falls with the edit distance and not only with the shared vocabulary. Of texts under
+``SHORT_WORDS`` words single words are elements as well, as an edit touches most of their k-mers.
 
 Cases: a null text is empty; a text without words has one fixed fingerprint; fewer words than
 a k-mer are one k-mer; equal texts have equal fingerprints, whatever their rows; columns named
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from panelwatch.llm.common import append_arrow, arrow_type, hashes_of, map_arrow, mixed, run_hashes, sliced, stored
 
 WORDS, SKETCHES, KEPT = 5, 32, 2
+#: Shorter texts have few k-mers that an edit leaves alone; their words are elements too.
+SHORT_WORDS = 32
 CELLS = 1 << 20
 _FACTORS = mixed(np.arange(SKETCHES, dtype="u8"), 7) | np.uint64(1)
 _PLACES = mixed(np.arange(KEPT, dtype="u8"), 11) | np.uint64(1)
@@ -46,6 +49,10 @@ def sketch(text: str) -> np.ndarray:
     kmers = run_hashes(words, min(WORDS, len(words)) or 1)
     if not len(kmers):
         return np.zeros(SKETCHES, "u4")
+    if len(words) < SHORT_WORDS:
+        # Single words beside the k-mers, each before the k-mer that begins with it.
+        order = np.argsort(np.concatenate([2 * np.arange(len(words)), 2 * np.arange(len(kmers)) + 1]), kind="stable")
+        kmers = np.concatenate([mixed(words, 5), kmers])[order]
     with np.errstate(over="ignore"):
         elements = mixed(kmers ^ mixed(occurrences(kmers)))
         kept, rows = min(KEPT, len(elements)), max(1, CELLS // len(elements))
@@ -148,8 +155,9 @@ def compared_with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -
             ]
             yield pa.RecordBatch.from_pylist(rows, schema=types)
 
-    rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # Rows of one id are in the order of a hash of their texts and are split between tasks like others.
+    rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    ordered = rows.repartitionByRange("key", "hash").sortWithinPartitions("key", "hash", "text")
     walked = stored(map_arrow(ordered, walk, ENDS), "order-minhash")
     edge = walked.where(F.col("place").isNotNull()).select("doc_id", "writer", "place", "text")
     firsts = edge.where("place = 'first'").select("writer", F.col("text").alias("following"))

@@ -1,7 +1,7 @@
 """Removal of passages that stand anywhere else, found by a count-min prefilter.
 
 A window is ``WINDOW`` consecutive words. Documents are dealt into blocks of about ``BLOCK_BYTES``
-by a hash, and the hashes of windows into segments of about ``SEGMENT_BYTES`` of text, both in
+by row number, and the hashes of windows into segments of about ``SEGMENT_BYTES`` of text, both in
 proportion to the corpus, so that memory stays bounded whatever its size.
 
 1. Every block makes a sketch of its windows for each segment: the cells of ``DEPTH`` rows of
@@ -39,6 +39,9 @@ ASK = "block int, segment int, row int, cells binary"
 ANSWER = "block int, segment int, row int, bits binary"
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
 EXACT = -1
+#: Fewer cells than this are sent as they are: smaller than the counts of all high bits.
+FEW_CELLS = 2 << CELL_BITS - 16
+_FEW = 1 << 31
 _ENTRY = np.dtype([("a", "<u8"), ("b", "<u4")])
 
 
@@ -93,7 +96,10 @@ def _bits(packed: bytes, n: int) -> np.ndarray:
 
 
 def _pack_cells(cells: np.ndarray, twice: np.ndarray) -> bytes:
-    """Sorted cells with a flag: low 16 bits of each, counted by their high bits."""
+    """Sorted cells with a flag: low 16 bits of each, counted by their high bits; a few as they are,
+    so that what a block sends grows with its windows and not with the number of segments."""
+    if len(cells) < FEW_CELLS:
+        return (len(cells) | _FEW).to_bytes(4, "little") + cells.astype("<u4").tobytes() + np.packbits(twice).tobytes()
     high = np.bincount(cells >> 16, minlength=1 << CELL_BITS - 16).astype("<u4")
     head = len(cells).to_bytes(4, "little")
     return head + high.tobytes() + (cells & 0xFFFF).astype("<u2").tobytes() + np.packbits(twice).tobytes()
@@ -101,6 +107,9 @@ def _pack_cells(cells: np.ndarray, twice: np.ndarray) -> bytes:
 
 def _unpack_cells(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     n, at = int.from_bytes(raw[:4], "little"), 4 + 4 * (1 << CELL_BITS - 16)
+    if n & _FEW:
+        n ^= _FEW
+        return np.frombuffer(raw, "<u4", n, 4), _bits(raw[4 + 4 * n :], n)
     high = np.repeat(np.arange(1 << CELL_BITS - 16, dtype="u4"), np.frombuffer(raw[4:at], "<u4"))
     low = np.frombuffer(raw[at : at + 2 * n], "<u2")
     return high << np.uint32(16) | low, _bits(raw[at + 2 * n :], n)
@@ -217,7 +226,11 @@ def _steps(window: int, segments: int):
 def remove_repeats(
     df: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """doc_id, n_words, n_removed, kept: the words that stay, joined by one blank."""
+    """doc_id, n_words, n_removed, kept: the words that stay, joined by one blank.
+
+    ``df`` should be read from storage, or else be the same rows in the same order whenever it is
+    computed again: rows are dealt out by their number, so that equal rows don't meet in one block.
+    """
     _ship(df.sparkSession.sparkContext.applicationId)
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks, segments = 1 + size // BLOCK_BYTES, 1 + size // SEGMENT_BYTES
@@ -225,7 +238,7 @@ def remove_repeats(
     docs = df.select(
         F.col(key).cast("bigint").alias("doc_id"),
         F.col(text).alias("text"),
-        F.pmod(F.xxhash64(key, text), F.lit(blocks)).cast("int").alias("block"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("block"),
     )
     by_block = docs.groupBy("block")
     sketches = by_block.applyInArrow(sketch, ASK)

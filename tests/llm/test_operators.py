@@ -471,3 +471,36 @@ def test_templates_that_look_back_are_found_at_block_borders(spark):
     found = chat.render_conversations(df, numbered_turns, block_turns=4).collect()
     assert len(found) > 1 and any(r.rewrites for r in found)
     assert not any(r.rewrites for r in chat.render_conversations(df, block_turns=4).collect())
+
+
+def test_short_texts_have_a_likeness():
+    """A short text is more like its edited self than like another one."""
+    rng = np.random.default_rng(8)
+    near, far = [], []
+    for n in range(4, 40):
+        for _ in range(6):
+            a, b = (" ".join(f"w{i}" for i in rng.integers(0, 5000, n)) for _ in range(2))
+            one, changed, other = (order_minhash.sketch(x) for x in (a, order_minhash.edited(a, b), b))
+            near.append(order_minhash.likeness(one, changed))
+            far.append(order_minhash.likeness(one, other))
+    assert np.mean(np.array(near) > np.array(far)) > 0.95 and max(far) < 0.2
+    assert order_minhash.likeness(order_minhash.sketch("a b c"), order_minhash.sketch("a b c")) == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 511, 512, 5000])
+def test_cells_are_packed_and_read(n):
+    rng = np.random.default_rng(n)
+    cells = np.unique(rng.integers(0, 1 << substring.CELL_BITS, n).astype("u4"))
+    twice = rng.random(len(cells)) < 0.5
+    packed = substring._pack_cells(cells, twice)
+    back, flags = substring._unpack_cells(packed)
+    assert back.tolist() == cells.tolist() and flags.tolist() == twice.tolist()
+    assert len(packed) <= 4 + 4 * len(cells) + len(cells) // 8 + 1
+
+
+def test_equal_rows_are_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 20_000)
+    text = " ".join(f"w{i}" for i in range(60))
+    df = frame(spark, [(None, text)] * 800 + [(1, "a b c")])
+    found = substring.remove_repeats(df).collect()
+    assert sorted((r.n_words, r.n_removed) for r in found) == [(3, 0), *[(60, 60)] * 800]
