@@ -399,7 +399,8 @@ def _t_p(r: str, n: str) -> str:
         weight = "CASE WHEN i % 4000 = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
         return f"((SELECT sum({weight} * greatest(cos({at}), 0) ** ({n} - 3)) FROM range(4001) t(i)) * (pi() / 2 - {start}) / 12000)"
 
-    return f"({integral(f'asin(abs({r}))')} / {integral('0.0::DOUBLE')})"
+    start = f"CASE WHEN {r} BETWEEN -1 AND 1 THEN asin(abs({r})) END"  # null where there is no correlation
+    return f"(CASE WHEN {r} BETWEEN -1 AND 1 THEN {integral(f'({start})')} / {integral('0.0::DOUBLE')} END)"
 
 
 def _ranked(r: str, body: str) -> str:
