@@ -27,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelwatch.llm.bpe import MARKS, Codec, byte_letters
+from panelwatch.llm.bpe import Codec, byte_letters
 from panelwatch.llm.common import arrow_type, map_arrow, sliced
 
+#: ASCII characters that are neither letters, digits nor white space.
+TAIL_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 SHARD_TOKENS = 1 << 20
 BLOCK = 512
 SHARD = (
@@ -41,7 +43,7 @@ SHARD = (
 class LibraryCodec(Codec):
     """Pieces are remembered as in ``bpe``; the tokenizers library merges each new word."""
 
-    room = 600_000  # one worker a task; ``bpe`` has two
+    room = 1_200_000  # one worker a task; ``bpe`` has two
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,6 +53,8 @@ class LibraryCodec(Codec):
         self.letters = byte_letters()
         self.blank = self.letters[ord(" ")]
         self.pieces, self.old_pieces = {}, {}
+        # Letters and the marks after them hold no special token if each begins otherwise and has a letter.
+        self.tails = TAIL_MARKS if all(not s[0].isalpha() and any(map(str.isalpha, s)) for s in self.specials) else ""
 
     def word_ids(self, word: bytes) -> list[int]:
         return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word]))]
@@ -77,6 +81,10 @@ class LibraryCodec(Codec):
                         return self.piece_ids(text)
                     else:
                         value = self._new_piece(piece)
+                        if "\n" in piece:
+                            # Two words across a line end rarely meet again; both are remembered alone.
+                            found[i] = value
+                            continue
                 found[i] = pieces[piece] = value
             if len(pieces) >= self.room:
                 self.old_pieces, self.pieces = pieces, {}
@@ -93,13 +101,15 @@ class LibraryCodec(Codec):
     def _new_piece(self, piece: str) -> bytes:
         """Ids of a piece without white space at its ends, after a blank."""
         if piece.isalpha():
-            return self._packed_word(f" {piece}")
-        if piece[-1] in MARKS and piece[:-1].isalpha():
-            return self._blank_word(piece[:-1]) + self.words[piece[-1]]
+            return self._blank_word(piece)
+        word = piece.rstrip(self.tails)
+        if word.isalpha():
+            # Marks after letters, up to the end, are one token of the pattern.
+            return self._blank_word(word) + self.words[piece[len(word) :]]
         before, line, after = piece.partition("\n")
         # A single newline between two other characters is a token, and one begins after it.
         if line and after.isalpha() and not before[-1].isspace():
-            return self._new_piece(before) + self.words[line] + self._packed_word(after)
+            return self._new_piece(before) + self.words[line] + self.words[after]
         return self.piece_ids(f" {piece}")
 
 
