@@ -6,7 +6,9 @@ the same matches, so the lengths of gaps and matches give every position.
 
 Contextual identifiers are bootstrapped. Every word is an instance, in the lexical pattern of the
 two words before it, whatever these hold; their digits all read as 0. A fixed span is an instance
-as a whole, and a seed. A pattern scores, for each kind, the mean score of its distinct instances,
+as a whole, and a seed. Credentials that tell themselves by their form (``SECRETS``) are seeds of a
+kind of their own and new spans; what else stands where they stand, such as a password in plain
+words, is learnt from their contexts. A pattern scores, for each kind, the mean score of its distinct instances,
 if their scores reach ``SUPPORT``; an instance scores one minus the product of one minus the scores
 of its patterns of at least ``CONFIDENCE``. Scores only rise; they are computed anew until none
 does. The instances of the patterns found that no fixed kind covers are new spans, of kind
@@ -80,6 +82,7 @@ class Kind(NamedTuple):
     pattern: str
     holds: Callable[[Column], Column]
     letter: str | None  # any match has it, so that texts without it aren't searched
+    rare: bool = False  # a first look tells whether a text has any match
 
 
 KINDS = (
@@ -88,6 +91,12 @@ KINDS = (
     Kind("card", CARD, _luhn, None),
     Kind("phone", PHONE, lambda m: F.length(_digits(m)).between(9, 15), "+"),
 )
+#: Keys by their form: the published prefixes of cloud access keys before 16 capitals or digits, and runs
+#: of 16 hexadecimal digits or more (64 bits) with both letters and figures, as of keys, tokens and digests.
+SECRET = (
+    r"(?<![A-Za-z0-9])(?:A[KS]IA[A-Z0-9]{16}|(?=[0-9]*+[A-Fa-f])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{16,}+)(?![A-Za-z0-9])"
+)
+SECRETS = (Kind("secret", SECRET, lambda m: F.lit(True), None, rare=True),)
 _SPAN = "array<struct<start:int,end:int,match:string>>"
 _BASE = "array<struct<kind:string,start:int,end:int,match:string>>"
 _PIECE = f"array<struct<at:int,before:string,piece:string,base:{_BASE}>>"
@@ -125,9 +134,11 @@ def running(items: Column, add: Callable[[Column, Column], Column]) -> Column:
     return _let(items, lambda own: _let(_in_blocks(own), joined))
 
 
-def spans(text: Column, pattern: str, letter: str | None = None) -> Column:
+def spans(text: Column, pattern: str, letter: str | None = None, rare: bool = False) -> Column:
     """start, end (code points, end exclusive), match of every match."""
     searched = text if letter is None else F.when(F.contains(text, F.lit(letter)), text).otherwise(F.lit(""))
+    if rare:
+        searched = F.when(searched.rlike(pattern), searched).otherwise(F.lit(""))
     matches = F.regexp_extract_all(searched, F.lit(pattern), F.lit(0))
     between = F.split(searched, pattern, -1)
 
@@ -140,11 +151,11 @@ def spans(text: Column, pattern: str, letter: str | None = None) -> Column:
     return _let(F.struct(matches.alias("matches"), between.alias("between")), placed)
 
 
-def base_spans(text: Column) -> Column:
+def base_spans(text: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:
     """kind, start, end, match of the fixed kinds, by kind as listed and then by start."""
     parts = []
-    for kind in KINDS:
-        held = F.filter(spans(text, kind.pattern, kind.letter), lambda s: kind.holds(s["match"]))  # noqa: B023
+    for kind in kinds:
+        held = F.filter(spans(text, kind.pattern, kind.letter, kind.rare), lambda s: kind.holds(s["match"]))  # noqa: B023
         name = F.lit(kind.name)
         parts.append(F.transform(held, lambda s: F.struct(name.alias("kind"), s["start"], s["end"], s["match"])))  # noqa: B023
     return F.concat(*parts).cast(_BASE)
@@ -303,8 +314,8 @@ def _possible(wanted: DataFrame, known: DataFrame) -> DataFrame:
 
 def learnt_patterns(known: DataFrame) -> DataFrame | None:
     """pattern, kind, score of the patterns learnt from the texts of ``known``; none if there are none."""
-    # A seed of one word, wherever it stands, has a digit or an @.
-    marks = instances(words(known).where(F.col("word").rlike("[0-9@]")))
+    # A seed of one word, wherever it stands, has a digit, an @ or the prefix of a key.
+    marks = instances(words(known).where(F.col("word").rlike("[0-9@]|A[KS]IA")))
     marks = stored(
         marks.groupBy("pattern", F.xxhash64("token").alias("token")).agg(F.flatten(F.collect_set("kinds")).alias("kinds")),
         "pattern-instances",
@@ -338,19 +349,23 @@ def learnt_patterns(known: DataFrame) -> DataFrame | None:
 
 
 def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, base, spans: arrays of kind, start, end for each row of ``df``."""
+    """doc_id, text_hash, base, spans: arrays of kind, start, end for each row of ``df``.
+
+    ``base`` are the fixed kinds alone; ``spans`` adds credentials and what contexts tell.
+    """
     value = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(
         F.col(key).cast("bigint").alias("doc_id"),
         F.xxhash64(text).alias("text_hash"),
         value.alias("text"),
-        base_spans(value).alias("base"),
+        base_spans(value, KINDS + SECRETS).alias("base"),
     )
     known = stored(rows.withColumn("row", F.monotonically_increasing_id()), "personal")
-    base = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"]))
+    seeds = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"]))
+    fixed = F.filter(seeds, lambda s: s["kind"].isin(*(k.name for k in KINDS)))
     patterns = learnt_patterns(known)
     if patterns is None:
-        return known.select("doc_id", "text_hash", base.alias("base"), base.alias("spans"))
+        return known.select("doc_id", "text_hash", fixed.alias("base"), seeds.alias("spans"))
     fresh = (
         instances(words(known, placed=True))
         .where(F.size("kinds") == 0)
@@ -360,8 +375,10 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("near_"), "kind").alias("kind"), "start", "end"))).alias("fresh"))
     )
-    found = known.join(fresh, "row", "left").select("doc_id", "text_hash", base.alias("base"), "fresh")
-    everything = F.when(F.col("fresh").isNull(), F.col("base")).otherwise(F.concat("base", "fresh"))
+    found = known.join(fresh, "row", "left").select(
+        "doc_id", "text_hash", fixed.alias("base"), seeds.alias("seeds"), "fresh"
+    )
+    everything = F.when(F.col("fresh").isNull(), F.col("seeds")).otherwise(F.concat("seeds", "fresh"))
     return found.select("doc_id", "text_hash", "base", everything.alias("spans"))
 
 

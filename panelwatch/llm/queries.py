@@ -100,12 +100,15 @@ def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_personal(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(texts(spark, folder))
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    count = lambda kind, of="base": F.size(F.filter(of, lambda s: s["kind"] == kind)).cast("bigint")
+    learnt = F.filter("spans", lambda s: s["kind"].startswith("near_"))
     return found.select(
         "doc_id",
         *(count(k.name).alias(f"n_{k.name}") for k in pii.KINDS),
         digest(pii.listed(F.col("base"))).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),
+        *(count(k.name, "spans").alias(f"n_{k.name}") for k in pii.SECRETS),
+        F.size(learnt).cast("bigint").alias("n_near"),
     )
 
 
