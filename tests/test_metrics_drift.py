@@ -89,6 +89,13 @@ def test_rank_statistics(sample):
     assert pairs[("p", "g")] == pytest.approx(p.p.corr(p.g))
 
 
+def test_a_constant_label_has_no_correlation(spark):
+    rows = [(float(i), float(i % 3), 1, 5.0 if i else None) for i in range(6)]
+    df = spark.createDataFrame(rows, "p double, q double, y int, k double")
+    pairs = {(x.a, x.b): x.r for x in me.pearson_matrix(df, ["p", "q", "y", "k"]).collect()}
+    assert pairs[("p", "y")] is None and pairs[("y", "k")] is None and pairs[("p", "q")] == pytest.approx(0.478091, abs=1e-6)
+
+
 def test_normal_tail(spark):
     zs = [0.0, 1.0, 1.959964, 3.0]
     df = spark.createDataFrame([(z,) for z in zs], "z double").select(me.normal_two_sided(F.col("z")))
