@@ -94,6 +94,10 @@ def test_a_constant_label_has_no_correlation(spark):
     df = spark.createDataFrame(rows, "p double, q double, y int, k double")
     pairs = {(x.a, x.b): x.r for x in me.pearson_matrix(df, ["p", "q", "y", "k"]).collect()}
     assert pairs[("p", "y")] is None and pairs[("y", "k")] is None and pairs[("p", "q")] == pytest.approx(0.478091, abs=1e-6)
+    got = me.significant(me.point_biserial(df, ["p", "k"], "y")).collect()
+    assert {(r.feature, r.n, r.r, r.p_value, r.significativa) for r in got} == {("p", 6, None, None, None), ("k", 5, None, None, None)}
+    mixed = me.significant(me.point_biserial(df, ["k", "p"], "q")).collect()
+    assert {r.feature: r.orden for r in mixed} == {"p": 1, "k": 2} and {r.feature: r.r for r in mixed}["k"] is None
 
 
 def test_normal_tail(spark):
