@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelwatch.operators import folds as fo
 from panelwatch.operators import panel as pa
+from panelwatch.plans.queries import QUERIES
 from panelwatch.settings import Settings
 
 MONDAY = date(2021, 1, 4)
@@ -145,3 +146,12 @@ def test_summary_matches_pandas(spark):
     want = p.describe().T
     for ours, theirs in (("n", "count"), ("mean", "mean"), ("std", "std"), ("p25", "25%"), ("p50", "50%")):
         assert got[ours].loc[["a", "b"]].tolist() == pytest.approx(want[theirs].tolist())
+
+
+def test_a_unit_with_a_mild_event_is_active(spark, tmp_path):
+    spark.createDataFrame([(u, 1.0) for u in (1, 2, 3)], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    day = date(2000, 1, 3)
+    rows = [(1, 1, 1, 10.0, "R", day), (2, 1, 2, 50.0, "N", day), (9, 1, 2, 50.0, "R", day)]
+    schema = "l_suppkey long, l_partkey long, l_linenumber int, l_quantity double, l_returnflag string, l_shipdate date"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert {r.unit_id for r in QUERIES["inactive_units"](spark, str(tmp_path)).collect()} == {2, 3}
