@@ -100,6 +100,20 @@ def test_a_constant_label_has_no_correlation(spark):
     assert {r.feature: r.orden for r in mixed} == {"p": 1, "k": 2} and {r.feature: r.r for r in mixed}["k"] is None
 
 
+def test_a_score_is_computed_once_for_each_row(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def slow(i):
+        seen.add(1)
+        return i / 100
+
+    df = spark.range(100).select((F.col("id") % 2).cast("int").alias("y"), slow("id").alias("p"))
+    row = me.full_metrics(df).first()
+    assert row.n_total_full == 100 and row.auc_roc_full == pytest.approx(0.51)
+    assert seen.value == 100
+
+
 def test_normal_tail(spark):
     zs = [0.0, 1.0, 1.959964, 3.0]
     df = spark.createDataFrame([(z,) for z in zs], "z double").select(me.normal_two_sided(F.col("z")))
