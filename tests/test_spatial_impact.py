@@ -195,3 +195,14 @@ def test_priority(spark):
     assert [(r["rank"], r.unit_id, r.prob_pct, r.score) for r in ranked] == [
         (1, 2, "90.0", "1.080"), (2, 1, "50.0", "0.700"), (3, 3, "10.0", "0.100")
     ]
+
+
+def test_a_crowded_tile_is_the_work_of_several_tasks(spark):
+    x = F.lit(0.25) + F.col("id") / 10000
+    corner = lambda dx, dy: F.struct((x + dx * 0.2).alias("x"), (x + dy * 0.2).alias("y"))
+    ring = F.array(*[corner(*c) for c in ((1, 0), (0, 1), (-1, 0), (0, -1), (1, 0))])
+    polygons = spark.range(0, 60, 1, 1).select(F.col("id").alias("unit_id"), ring.alias("ring"))
+    points = spark.range(0, 40, 1, 1).select("id", (F.lit(0.25) + F.col("id") / 1000).alias("lon"), (F.lit(0.25) + F.col("id") / 100000).alias("lat"))
+    found = sp.point_in_polygon(points, polygons).withColumn("task", F.spark_partition_id())
+    assert found.dropDuplicates(["id", "unit_id"]).count() == found.count() == 60 * 40
+    assert found.select("task").distinct().count() > 1
