@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelwatch.operators import timeseries as ts
 from panelwatch.plans import models as mo
 
 
@@ -35,3 +36,15 @@ def test_fits_of_a_search_have_no_more_tasks_than_their_rows_need(train, monkeyp
         apart[i] = mo.panel_cv(train, "logistic_regression", 2, **params).agg(F.avg("auc_roc"), F.avg("recall")).first()
     for r in found:
         assert (r.auc_roc_mean, r.recall_mean) == pytest.approx(tuple(apart[r.iteracion]), abs=1e-9)
+
+
+def test_days_of_many_series_are_spread_over_many_tasks(spark):
+    days = [(u, date(2021, 1, 4) + timedelta(days=i), float(u + i)) for u in range(200) for i in (0, 3, 100)]
+    daily = spark.createDataFrame(days, "unit_id long, fecha date, value double")
+    filled = ts.interpolate_daily(daily, ["unit_id"])
+    assert filled.count() == 200 * 101 and filled.where("abs(value - unit_id - datediff(fecha, date'2021-01-04')) > 1e-9").isEmpty()
+    largest = filled.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest <= 200 * 101 / 20
+    soil = ts.weekly_soil_features(daily.withColumnRenamed("value", "soil_moisture_m3m3"), ["unit_id"])
+    alone = ts.weekly_soil_features(daily.where("unit_id = 7").withColumnRenamed("value", "soil_moisture_m3m3"), ["unit_id"])
+    assert sorted(soil.where("unit_id = 7").collect()) == sorted(alone.collect())
