@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwatch.operators import timeseries as ts
 from panelwatch.plans import models as mo
+from panelwatch.plans import pipeline as pl
 
 
 @pytest.fixture(scope="module")
@@ -48,3 +49,36 @@ def test_days_of_many_series_are_spread_over_many_tasks(spark):
     soil = ts.weekly_soil_features(daily.withColumnRenamed("value", "soil_moisture_m3m3"), ["unit_id"])
     alone = ts.weekly_soil_features(daily.where("unit_id = 7").withColumnRenamed("value", "soil_moisture_m3m3"), ["unit_id"])
     assert sorted(soil.where("unit_id = 7").collect()) == sorted(alone.collect())
+
+
+@pytest.mark.parametrize("positives", [1, 700, 5000])
+def test_running_totals_of_bags_see_few_hashes(spark, monkeypatch, positives):
+    rows = spark.range(4000).select(
+        F.lit(date(2021, 1, 4)).alias("week_start"), F.col("id").alias("unit_id"), F.lit(0.0).alias("label")
+    )
+    seen, running = [], mo.cumulative_by_value
+
+    def watched(df, *rest):
+        seen.append(df.count())
+        return running(df, *rest)
+
+    monkeypatch.setattr(mo, "cumulative_by_value", watched)
+    masked = mo.bag_masks(rows, positives, 2).select("unit_id", "mask").collect()
+    assert seen[0] <= 2 * 4000 / 100
+    codes = rows.select("unit_id", *[mo.hash_code(mo.KEYS, mo.SEED + i).alias(f"c{i}") for i in range(2)]).collect()
+    for i in range(2):
+        first = {r.unit_id for r in sorted(codes, key=lambda r: (r[f"c{i}"], r.unit_id))[:positives]}
+        assert {r.unit_id for r in masked if r["mask"] >> i & 1} == first
+
+
+def test_training_rows_are_chosen_from_the_stored_panel(train):
+    asked = []
+
+    def positive(kept):
+        asked.extend(kept.inputFiles())
+        return kept.where("deslizamiento = 1")
+
+    full, chosen = pl.store_panels(train, positive)
+    assert set(asked) == set(full.inputFiles())
+    assert sorted(full.collect()) == sorted(train.collect())
+    assert sorted(chosen.collect()) == sorted(train.where("deslizamiento = 1").collect())
