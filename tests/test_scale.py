@@ -82,3 +82,16 @@ def test_training_rows_are_chosen_from_the_stored_panel(train):
     assert set(asked) == set(full.inputFiles())
     assert sorted(full.collect()) == sorted(train.collect())
     assert sorted(chosen.collect()) == sorted(train.where("deslizamiento = 1").collect())
+
+
+def test_families_share_one_preparation(train, monkeypatch):
+    prepared, of = [], mo.Prepared.of
+    monkeypatch.setattr(mo.Prepared, "of", staticmethod(lambda *a: prepared.append(of(*a)) or prepared[-1]))
+    for family in ("logistic_regression", "random_forest", "gradient_boosting"):
+        monkeypatch.setitem(mo.FAMILIES, family, lambda data, own=mo.FAMILIES["logistic_regression"]: own(data))
+    fitted = mo.fit_each(train, ("logistic_regression", "random_forest", "gradient_boosting"))
+    assert len(prepared) == 1 and list(fitted) == ["logistic_regression", "random_forest", "gradient_boosting"]
+    alone = mo.fit(train, "logistic_regression").importances()
+    for found in fitted.values():
+        assert [f for f, _ in found.importances()] == [f for f, _ in alone]
+        assert [v for _, v in found.importances()] == pytest.approx([v for _, v in alone])
