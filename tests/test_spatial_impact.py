@@ -206,3 +206,13 @@ def test_a_crowded_tile_is_the_work_of_several_tasks(spark):
     found = sp.point_in_polygon(points, polygons).withColumn("task", F.spark_partition_id())
     assert found.dropDuplicates(["id", "unit_id"]).count() == found.count() == 60 * 40
     assert found.select("task").distinct().count() > 1
+
+
+def test_polygons_of_one_file_are_tiled_by_several_tasks(spark):
+    corner = lambda dx, dy: F.struct((F.col("id") + F.lit(dx)).cast("double").alias("x"), F.lit(float(dy)).alias("y"))
+    ring = F.array(*[corner(*c) for c in ((1, 0), (0, 1), (-1, 0), (0, -1), (1, 0))])
+    tiles = sp.quad_tiles(spark.range(0, 60, 1, 1).select(F.col("id").alias("unit_id"), ring.alias("ring")))
+    assert tiles.select(F.spark_partition_id()).distinct().count() > 1
+    # Nothing is computed from the shapes before they are spread.
+    assert "array_min" not in tiles._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+    assert {r.unit_id for r in tiles.select("unit_id").distinct().collect()} == set(range(60))
