@@ -1,5 +1,6 @@
 """Steps that must stay small per task or cheap per fit, whatever the size of the tables."""
 
+import inspect
 from datetime import date, timedelta
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from panelwatch.operators import timeseries as ts
 from panelwatch.plans import models as mo
 from panelwatch.plans import pipeline as pl
+from panelwatch.plans import queries
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +97,40 @@ def test_families_share_one_preparation(train, monkeypatch):
     for found in fitted.values():
         assert [f for f, _ in found.importances()] == [f for f, _ in alone]
         assert [v for _, v in found.importances()] == pytest.approx([v for _, v in alone])
+
+
+def test_a_report_compares_every_family_with_published_parameters(monkeypatch):
+    asked = {}
+
+    def report(train, full, families=None, **rest):
+        asked.update(families or dict.fromkeys(mo.FAMILIES, {}))
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "_stored", lambda spark, d: (None, None))
+    monkeypatch.setattr(queries.pipeline, "training_report", report)
+    with pytest.raises(InterruptedError):
+        queries.training_report(None, None)
+    assert asked == dict.fromkeys(mo.FAMILIES, {})
+    trees = {f: inspect.signature(mo.FAMILIES[f]).parameters["trees"].default for f in ("random_forest", "hashed_forest")}
+    assert set(trees.values()) == {mo.Settings.forest_trees}
+
+
+def test_scores_of_many_models_are_several_projections(train):
+    fitted = mo.fit(train, "hashed_forest", trees=2 * mo.MODELS_AT_ONCE + 1, depth=2)
+    rows = fitted.vectors(train).persist()
+    found = mo._probability(rows, fitted.models, "p")
+    assert found.columns == [*rows.columns, "p"]
+    apart = [m.transform(rows).select(*mo.KEYS, mo.vector_to_array("probability")[1].alias("p")) for m in fitted.models[:: mo.MODELS_AT_ONCE]]
+    some = mo._probability(rows, fitted.models[:: mo.MODELS_AT_ONCE], "p")
+    by_hand = mo.reduce(lambda a, b: a.union(b), apart).groupBy(*mo.KEYS).agg(F.avg("p").alias("q"))
+    assert some.join(by_hand, mo.KEYS).where("abs(p - q) < 1e-12").count() == rows.count()
+    assert found.where("p > 0 and p < 1").count() == rows.count()
+    # The optimizer keeps a step for each slice of models.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 2
+
+
+def test_hashed_trees_have_as_few_tasks_as_their_rows_need(train, monkeypatch):
+    widths, fit = [], mo.RandomForestClassifier.fit
+    monkeypatch.setattr(mo.RandomForestClassifier, "fit", lambda self, rows: widths.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    mo.fit(train, "hashed_forest", trees=3, depth=2)
+    assert widths == [1] * 3
