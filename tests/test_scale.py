@@ -129,6 +129,33 @@ def test_scores_of_many_models_are_several_projections(train):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 2
 
 
+def test_bags_that_hold_every_row_draw_none(train, monkeypatch):
+    mostly = train.withColumn("deslizamiento", 1 - F.col("deslizamiento"))
+    drawn = []
+    masks = mo.bag_masks
+    monkeypatch.setattr(mo, "bag_masks", lambda *a: drawn.append(1) or masks(*a))
+    for rows, times in ((mostly, 0), (train, 1)):
+        data, before = mo.Prepared.of(rows), len(drawn)
+        assert (data.n > 2 * data.positives) == bool(times)
+        models = mo.pu_bagging(data, bags=2, depth=2, trees=3)
+        assert len(models) == 2 and len(drawn) - before == times
+        if not times:
+            held = masks(data.rows, data.positives, 2)
+            assert held.where("mask <> 3").isEmpty() and held.count() == data.n
+        data.release()
+
+
+def test_held_places_give_the_same_trees(train, monkeypatch):
+    data, found = mo.Prepared.of(train), []
+    for most in (0, 1 << 28):
+        monkeypatch.setattr(mo, "PLACES_HELD", most)
+        forest = mo.random_forest(data, trees=4)[0]
+        assert forest.getCacheNodeIds() == bool(most)
+        found.append(forest.toDebugString.split("\n", 1)[1])
+    data.release()
+    assert found[0] == found[1]
+
+
 def test_hashed_trees_have_as_few_tasks_as_their_rows_need(train, monkeypatch):
     widths, fit = [], mo.RandomForestClassifier.fit
     monkeypatch.setattr(mo.RandomForestClassifier, "fit", lambda self, rows: widths.append(rows.rdd.getNumPartitions()) or fit(self, rows))
